@@ -28,13 +28,21 @@ def in_window(col: Column | str, window: StudyWindow) -> Column:
     return c.between(ts_literal(window.start), ts_literal(window.end))
 
 
-def dx_events(source: DataFrame, maps: CodeMaps, window: StudyWindow) -> DataFrame:
-    """One row per kept source row: ENC_HN, D001KEY (timestamp_ntz), code.
+def dx_standardized(spark, layouts) -> DataFrame:
+    """Every diagnosis layout standardized (E1 E2) and unioned."""
+    from cohortkit.operators.standardize import union_layouts
+    from cohortkit.schemas import DX_STANDARD
 
-    Rows are counted, never keyed: duplicates of the source stay duplicates here.
-    Null patient ids are dropped (T10, deliberate).
+    return union_layouts(spark, (standardize_diagnosis(d) for d in layouts), DX_STANDARD)
+
+
+def dx_events(std: DataFrame, maps: CodeMaps, window: StudyWindow) -> DataFrame:
+    """One row per kept source row: ENC_HN, D001KEY (timestamp_ntz), code.
+
+    Input is the standardized diagnosis table (``dx_standardized``). Rows are counted, never
+    keyed: duplicates of the source stay duplicates here. Null patient ids are dropped (T10,
+    deliberate).
     """
-    std = standardize_diagnosis(source)
     return std.filter(
         F.col("ENC_HN").isNotNull()
         & F.col("D001KEY").isNotNull()

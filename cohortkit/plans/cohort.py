@@ -1,7 +1,7 @@
 """The cohort plan: every stage of the pipeline as a lazy DataFrame over one set of sources.
 
 ``CohortPlan`` wires the operators together; each property returns a DataFrame and nothing
-runs until an action. Sources are anything with ``diagnosis()``, ``medication_layouts()``,
+runs until an action. Sources are anything with ``diagnosis_layouts()``, ``medication_layouts()``,
 ``procedure_layouts()`` and ``demographic()`` (derived sources or file sources).
 
 ``CohortPlan.run(out_dir)`` materializes the published tables. Each arm's working table is
@@ -31,9 +31,13 @@ class CohortPlan:
     window: StudyWindow = field(default_factory=StudyWindow)
 
     # -- diagnosis arm -------------------------------------------------------------------
+    @cached_property
+    def dx_standardized(self) -> DataFrame:
+        return diagnosis.dx_standardized(self.spark, self.sources.diagnosis_layouts().values())
+
     @cached_property
     def dx_events(self) -> DataFrame:
-        return diagnosis.dx_events(self.sources.diagnosis(), self.maps, self.window)
+        return diagnosis.dx_events(self.dx_standardized, self.maps, self.window)
 
     @cached_property
     def dx_working(self) -> DataFrame:

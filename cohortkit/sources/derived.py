@@ -99,6 +99,9 @@ class DerivedSources:
             _range_case(F.col("kd"), DX_CODE_BY_KD, DX_CODE_DEFAULT).alias("D035KEY"),
         )
 
+    def diagnosis_layouts(self) -> dict[str, DataFrame]:
+        return {"diagnosis": self.diagnosis()}
+
     # -- order / medication, three layouts ---------------------------------------------------
     def medication_layouts(self) -> dict[str, DataFrame]:
         """Layout A (order: REC_DATE, PROP_HELP, CODE), B (BillDate, freetext, Drugcode),
