@@ -14,15 +14,45 @@ def normalize_code(col: Column | str) -> Column:
     return F.regexp_replace(F.upper(c.cast("string")), r"[^A-Z0-9]", "")
 
 
-def prefix_match(col: Column | str, prefixes: Iterable[str]) -> Column:
+# Normalized codes only contain these characters
+CODE_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+_MAX_EXPANSION = 20000
+
+
+def _expanded_prefix_set(prefixes: list[str]) -> tuple[int, list[str]] | None:
+    """Every string s over the code alphabet with len(s) <= K that starts with a prefix, where
+    K is the longest prefix: then ``code`` starts with a prefix exactly when
+    ``substring(code, 1, K)`` is in the set. ``None`` when the set would be too large."""
+    k = max(len(p) for p in prefixes)
+    size = sum(sum(len(CODE_ALPHABET) ** j for j in range(k - len(p) + 1)) for p in prefixes)
+    if size > _MAX_EXPANSION:
+        return None
+    out: set[str] = set()
+    for p in prefixes:
+        level = [p]
+        out.update(level)
+        for _ in range(k - len(p)):
+            level = [x + ch for x in level for ch in CODE_ALPHABET]
+            out.update(level)
+    return k, sorted(out)
+
+
+def prefix_match(col: Column | str, prefixes: Iterable[str], normalized: bool = False) -> Column:
     """E5 / J6 (literal form): true when the code starts with any of ``prefixes``.
 
-    Prefixes are grouped by length and tested as ``substring(code, 1, k) IN (...)``: one hash
-    lookup per distinct prefix length (Catalyst turns the list into an ``InSet``), inside
-    whole-stage codegen, with no join, no shuffle and no row duplication. An empty list is
-    ``false``.
+    For a normalized code (alphabet ``[A-Z0-9]``) the test is one hash lookup,
+    ``substring(code, 1, K) IN <prefixes expanded to length K>``; otherwise prefixes are
+    grouped by length, one lookup per length. Either way the code expression is referenced
+    once or a few times, inside whole-stage codegen, with no join, no shuffle and no row
+    duplication. An empty list is ``false``.
     """
     c = F.col(col) if isinstance(col, str) else col
+    plist = sorted(set(p for p in prefixes if p))
+    if normalized and plist and all(set(p) <= set(CODE_ALPHABET) for p in plist):
+        exp = _expanded_prefix_set(plist)
+        if exp is not None:
+            k, values = exp
+            return F.coalesce(F.substring(c, 1, k).isin(values), F.lit(False))
     by_len: dict[int, list[str]] = {}
     for p in sorted(set(p for p in prefixes if p)):
         by_len.setdefault(len(p), []).append(p)

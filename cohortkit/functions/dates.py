@@ -19,11 +19,21 @@ DAYS_PER_YEAR = 365
 
 
 def _text_to_ts(s: Column) -> Column:
-    day_only = [F.try_to_date(s, fmt).cast("timestamp_ntz") for fmt in EVENT_DATE_FORMATS[:2]]
+    """The three fixed-width formats, each tried only on text of its width.
+
+    The width test is a cheap branch that keeps well-formed data away from the parser's
+    failure path (a failed ``try_`` parse costs an exception inside the JVM); text of
+    another width can never match a fixed-width pattern anyway.
+    """
+    n = F.length(s)
+    ymd = F.when(n == len("yyyyMMdd"), F.try_to_date(s, EVENT_DATE_FORMATS[0]))
+    iso = F.when(n == len("yyyy-MM-dd"), F.try_to_date(s, EVENT_DATE_FORMATS[1]))
     # The datetime pattern validates the text; the value itself comes from the zone-free
     # timestamp_ntz cast, so a DST gap of the session zone cannot move it.
-    with_time = F.when(F.try_to_timestamp(s, F.lit(EVENT_DATE_FORMATS[2])).isNotNull(), s.try_cast("timestamp_ntz"))
-    return F.coalesce(*day_only, with_time)
+    with_time = F.when((n == len("yyyy-MM-dd HH:mm:ss"))
+                       & F.try_to_timestamp(s, F.lit(EVENT_DATE_FORMATS[2])).isNotNull(),
+                       s.try_cast("timestamp_ntz"))
+    return F.coalesce(ymd.cast("timestamp_ntz"), iso.cast("timestamp_ntz"), with_time)
 
 
 def parse_event_ts(col: Column | str, dtype: T.DataType | None = None) -> Column:

@@ -19,7 +19,8 @@ def med_working(standard: DataFrame, maps: CodeMaps, window: StudyWindow) -> Dat
     """
     classes = maps.drug_classes()
     return (
-        standard.filter(in_window("REC_DATE", window) & code_in("CODE", maps.relevant_drug_codes))
+        standard.filter(F.col("ENC_HN").isNotNull() & code_in("CODE", maps.relevant_drug_codes)
+                        & in_window("REC_DATE", window))
         .select(
             "ENC_HN", "REC_DATE", "CODE",
             class_lookup("CODE", classes).alias("drug_class"),

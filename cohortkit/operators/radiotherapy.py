@@ -13,7 +13,9 @@ from cohortkit.sources.codemaps import CodeMaps
 
 def rt_working(standard: DataFrame, maps: CodeMaps, window: StudyWindow) -> DataFrame:
     """Procedure events whose ICD-9 code starts with a radiotherapy code."""
-    return standard.filter(in_window("PROC_DATE", window) & prefix_match("PROC_CODE", maps.radiotherapy))
+    return standard.filter(F.col("ENC_HN").isNotNull()
+                           & prefix_match("PROC_CODE", maps.radiotherapy, normalized=True)
+                           & in_window("PROC_DATE", window))
 
 
 def rt_summary(working: DataFrame, date_col: str = "PROC_DATE") -> DataFrame:
@@ -28,7 +30,7 @@ def rt_billing_working(med_standard: DataFrame, maps: CodeMaps, window: StudyWin
     events, with the brain/spine marker of the code."""
     brain = [c for c, b in maps.billing if b]
     return med_standard.filter(
-        in_window("REC_DATE", window) & code_in("CODE", [c for c, _ in maps.billing])
+        F.col("ENC_HN").isNotNull() & code_in("CODE", [c for c, _ in maps.billing]) & in_window("REC_DATE", window)
     ).select("ENC_HN", "REC_DATE", "CODE", code_in("CODE", brain).alias("is_brain_spine"))
 
 

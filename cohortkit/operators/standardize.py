@@ -51,18 +51,19 @@ def resolve_medication_columns(columns: Iterable[str]) -> tuple[str, str] | None
 
 
 def standardize_medication(df: DataFrame) -> DataFrame | None:
-    """One layout -> (ENC_HN, REC_DATE, CODE); rows with null id, date or code dropped."""
+    """One layout -> (ENC_HN, REC_DATE, CODE), a projection only.
+
+    The null filters are applied by the caller (``standardized_medication``), or implied by
+    the selective code and window filters of ``med_working``, which then run first.
+    """
     cols = resolve_medication_columns(df.columns)
     if cols is None:
         return None
     date_col, code_col = cols
-    return (
-        df.select(
-            F.col(ID_COL).cast("string").alias("ENC_HN"),
-            parse_event_ts(F.col(date_col), _dtype(df, date_col)).alias("REC_DATE"),
-            normalize_code(F.col(code_col)).alias("CODE"),
-        )
-        .filter(F.col("ENC_HN").isNotNull() & F.col("REC_DATE").isNotNull() & F.col("CODE").isNotNull())
+    return df.select(
+        F.col(ID_COL).cast("string").alias("ENC_HN"),
+        parse_event_ts(F.col(date_col), _dtype(df, date_col)).alias("REC_DATE"),
+        normalize_code(F.col(code_col)).alias("CODE"),
     )
 
 
@@ -74,20 +75,18 @@ def standardize_procedure(df: DataFrame) -> DataFrame | None:
     hn = F.col(ID_COL).cast("string").alias("ENC_HN")
     ts = parse_event_ts(F.col("D001KEY"), _dtype(df, "D001KEY")).alias("PROC_DATE")
     if "D036KEY" in names:
-        return (
-            df.select(hn, ts, normalize_code(F.col("D036KEY")).alias("PROC_CODE"))
-            .filter(F.col("ENC_HN").isNotNull() & F.col("PROC_DATE").isNotNull() & F.col("PROC_CODE").isNotNull())
-        )
+        return df.select(hn, ts, normalize_code(F.col("D036KEY")).alias("PROC_CODE"))
     opr = sorted(c for c in names if c.startswith("OPR_"))
     if not opr:
         return None
     wide = df.select(hn, ts, *[F.col(c).cast("string").alias(c) for c in opr])
     # wide -> long; unpivot keeps null cells, so blank and null codes are filtered after
     long = wide.unpivot(["ENC_HN", "PROC_DATE"], opr, "OPR_COL", "RAW_CODE")
+    # blank cells of the wide layout are not events (a blank code never matches a map code)
     return (
-        long.select("ENC_HN", "PROC_DATE", normalize_code(F.col("RAW_CODE")).alias("PROC_CODE"))
-        .filter(F.col("ENC_HN").isNotNull() & F.col("PROC_DATE").isNotNull()
-                & F.col("PROC_CODE").isNotNull() & (F.col("PROC_CODE") != ""))
+        long.filter(F.col("RAW_CODE").isNotNull())
+        .select("ENC_HN", "PROC_DATE", normalize_code(F.col("RAW_CODE")).alias("PROC_CODE"))
+        .filter(F.col("PROC_CODE") != "")
     )
 
 
@@ -108,9 +107,28 @@ def union_layouts(spark: SparkSession, frames: Iterable[DataFrame | None], schem
     return reduce(lambda a, b: a.unionByName(b), usable)
 
 
-def standardized_medication(spark: SparkSession, layouts: Iterable[DataFrame]) -> DataFrame:
+def medication_union(spark: SparkSession, layouts: Iterable[DataFrame]) -> DataFrame:
+    """All medication layouts projected to (ENC_HN, REC_DATE, CODE), unfiltered."""
     return union_layouts(spark, (standardize_medication(d) for d in layouts), S.MED_STANDARD)
 
 
-def standardized_procedure(spark: SparkSession, layouts: Iterable[DataFrame]) -> DataFrame:
+def procedure_union(spark: SparkSession, layouts: Iterable[DataFrame]) -> DataFrame:
+    """All procedure layouts projected to (ENC_HN, PROC_DATE, PROC_CODE), unfiltered."""
     return union_layouts(spark, (standardize_procedure(d) for d in layouts), S.PROC_STANDARD)
+
+
+def _complete(df: DataFrame, cols: tuple[str, ...]) -> DataFrame:
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+    return df.filter(cond)
+
+
+def standardized_medication(spark: SparkSession, layouts: Iterable[DataFrame]) -> DataFrame:
+    """Standardized medication rows with id, date and code present."""
+    return _complete(medication_union(spark, layouts), ("ENC_HN", "REC_DATE", "CODE"))
+
+
+def standardized_procedure(spark: SparkSession, layouts: Iterable[DataFrame]) -> DataFrame:
+    """Standardized procedure rows with id, date and code present."""
+    return _complete(procedure_union(spark, layouts), ("ENC_HN", "PROC_DATE", "PROC_CODE"))

@@ -18,7 +18,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortkit.operators import criteria, diagnosis, index, medication, radiotherapy, reports
-from cohortkit.operators.standardize import standardized_medication, standardized_procedure
+from cohortkit.operators.standardize import (
+    medication_union, procedure_union, standardized_medication, standardized_procedure,
+)
 from cohortkit.schemas import StudyWindow
 from cohortkit.sources.codemaps import CodeMaps
 
@@ -52,9 +54,13 @@ class CohortPlan:
     def med_standardized(self) -> DataFrame:
         return standardized_medication(self.spark, self.sources.medication_layouts().values())
 
+    @cached_property
+    def med_union(self) -> DataFrame:
+        return medication_union(self.spark, self.sources.medication_layouts().values())
+
     @cached_property
     def med_working(self) -> DataFrame:
-        return medication.med_working(self.med_standardized, self.maps, self.window)
+        return medication.med_working(self.med_union, self.maps, self.window)
 
     @cached_property
     def med_summary(self) -> DataFrame:
@@ -65,9 +71,13 @@ class CohortPlan:
     def proc_standardized(self) -> DataFrame:
         return standardized_procedure(self.spark, self.sources.procedure_layouts().values())
 
+    @cached_property
+    def proc_union(self) -> DataFrame:
+        return procedure_union(self.spark, self.sources.procedure_layouts().values())
+
     @cached_property
     def rt_working(self) -> DataFrame:
-        return radiotherapy.rt_working(self.proc_standardized, self.maps, self.window)
+        return radiotherapy.rt_working(self.proc_union, self.maps, self.window)
 
     @cached_property
     def rt_summary(self) -> DataFrame:
@@ -76,7 +86,7 @@ class CohortPlan:
     @cached_property
     def rt_billing_summary(self) -> DataFrame:
         return radiotherapy.rt_billing_summary(
-            radiotherapy.rt_billing_working(self.med_standardized, self.maps, self.window))
+            radiotherapy.rt_billing_working(self.med_union, self.maps, self.window))
 
     @cached_property
     def memantine_during_rt(self) -> DataFrame:

@@ -48,11 +48,15 @@ BIRTH_MULTIPLIER = 37
 
 
 def _range_case(key: Column, table, default: str) -> Column:
-    expr = None
+    """Code by key range as one array lookup (the key expression is referenced once, so a
+    filter pushed through this projection does not repeat it per range)."""
+    top = max(hi for _, hi, _ in table)
+    by_key = [default] * (top + 1)
     for lo, hi, code in table:
-        cond = key == lo if lo == hi else key.between(lo, hi)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr.otherwise(F.lit(default))
+        for k in range(lo, hi + 1):
+            by_key[k] = code
+    arr = F.array(*[F.lit(c) for c in by_key])
+    return F.coalesce(F.try_element_at(arr, (key + 1).cast("int")), F.lit(default))
 
 
 def _date_text(ts: Column, ln: Column) -> Column:
