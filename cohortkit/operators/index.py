@@ -16,17 +16,29 @@ INDEX_DISPLAY = (
 ADULT_AGE = 18
 
 
-def demographics_dedup(demographic: DataFrame, cohort_ids: DataFrame) -> DataFrame:
-    """One date of birth per cohort patient.
+def _parsed_dob(demographic: DataFrame) -> DataFrame:
+    return demographic.select(
+        F.col("ENC_HN").cast("string").alias("ENC_HN"),
+        parse_birth_date(F.col("D020AT3"), demographic.schema["D020AT3"].dataType).alias("dob"),
+    )
+
+
+def birth_dates(demographic: DataFrame) -> DataFrame:
+    """One date of birth per patient of the demographic table (no cohort needed).
 
     The latest date wins and an unparsable/missing one beats all (T17). Written as an
     aggregate rather than a window so it is combined map-side: a patient with very many
     demographic rows cannot pile up in one task.
     """
-    parsed = demographic.select(
-        F.col("ENC_HN").cast("string").alias("ENC_HN"),
-        parse_birth_date(F.col("D020AT3"), demographic.schema["D020AT3"].dataType).alias("dob"),
-    ).join(cohort_ids.select("ENC_HN"), "ENC_HN", "left_semi")
+    return _dedup(_parsed_dob(demographic))
+
+
+def demographics_dedup(demographic: DataFrame, cohort_ids: DataFrame) -> DataFrame:
+    """One date of birth per cohort patient (semi-join, then ``birth_dates``)."""
+    return _dedup(_parsed_dob(demographic).join(cohort_ids.select("ENC_HN"), "ENC_HN", "left_semi"))
+
+
+def _dedup(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("ENC_HN").agg(
         F.when(F.count_if(F.col("dob").isNull()) > 0, F.lit(None).cast("timestamp_ntz"))
         .otherwise(F.max("dob").cast("timestamp_ntz")).alias("D020AT3")
@@ -41,8 +53,9 @@ def with_index_date(final_cohort: DataFrame) -> DataFrame:
 def index_with_age(final_cohort: DataFrame, dob: DataFrame) -> DataFrame:
     """Index table (display names) with date of birth and age at index.
 
-    Patients without a usable date of birth keep a null age (they are dropped by the adult
-    filter and counted apart, T16).
+    ``dob`` is one row per patient (``birth_dates`` or ``demographics_dedup``); a left join
+    keeps every cohort patient. Patients without a usable date of birth keep a null age
+    (they are dropped by the adult filter and counted apart, T16).
     """
     base = with_index_date(final_cohort).select("ENC_HN", *[F.col(s).alias(d) for s, d in INDEX_DISPLAY])
     return base.join(dob, "ENC_HN", "left").withColumn(

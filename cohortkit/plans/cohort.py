@@ -47,7 +47,9 @@ class CohortPlan:
 
     @cached_property
     def dx_summary(self) -> DataFrame:
-        return diagnosis.dx_summary(self.dx_working, self.maps)
+        # lazily composed: straight from the events (one shuffle); ``run`` builds it from the
+        # stored dx_working table instead
+        return diagnosis.dx_summary_from_events(self.dx_events, self.maps)
 
     # -- medication arm ------------------------------------------------------------------
     @cached_property
@@ -108,8 +110,12 @@ class CohortPlan:
 
     @cached_property
     def indexed(self) -> DataFrame:
-        """All final-cohort patients with age at index (before the adult filter)."""
-        return index.index_with_age(self.final_cohort, self.demographics)
+        """All final-cohort patients with age at index (before the adult filter).
+
+        Birth dates are deduplicated over the demographic table and joined once, so the
+        cohort sub-plan is evaluated once (a semi-join on the cohort would evaluate it twice).
+        """
+        return index.index_with_age(self.final_cohort, index.birth_dates(self.sources.demographic()))
 
     @cached_property
     def dementia_index(self) -> DataFrame:

@@ -12,7 +12,7 @@ date and code columns exactly as they do for files.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +59,13 @@ def _range_case(key: Column, table, default: str) -> Column:
     return F.coalesce(F.try_element_at(arr, (key + 1).cast("int")), F.lit(default))
 
 
+def _as_source(df: DataFrame, *cols: Column) -> DataFrame:
+    """Project the layout's columns behind a generator so the layout behaves like a file scan:
+    every derived value is computed once per row, and filters of the consumer stay above it
+    instead of being inlined (repeatedly) into the derivation."""
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def _date_text(ts: Column, ln: Column) -> Column:
     """Date text of a timestamp by line number: yyyyMMdd (ln%3=0), yyyy-MM-dd (1), with time (2)."""
     m = ln % 3
@@ -73,12 +80,20 @@ class DerivedSources:
 
     spark: SparkSession
     sf_dir: str
+    _frames: dict = field(default_factory=dict, repr=False)
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._frames:  # one relation per table: identical subtrees, one footer read
+            self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._frames[name]
 
     def lines(self) -> DataFrame:
         """``lineitem JOIN orders`` with the patient id, dates and the three code keys."""
+        if "lines" not in self._frames:
+            self._frames["lines"] = self._lines()
+        return self._frames["lines"]
+
+    def _lines(self) -> DataFrame:
         li = self._table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
         o = self._table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
@@ -97,7 +112,8 @@ class DerivedSources:
     def diagnosis(self) -> DataFrame:
         x = self.lines()
         d001 = F.when((F.col("kd") == 4) & (F.col("ln") == 7), F.lit("n/a")).otherwise(_date_text(F.col("od"), F.col("ln")))
-        return x.select(
+        return _as_source(
+            x,
             F.col("hn").alias("ENC_HN"),
             d001.alias("D001KEY"),
             _range_case(F.col("kd"), DX_CODE_BY_KD, DX_CODE_DEFAULT).alias("D035KEY"),
@@ -115,15 +131,16 @@ class DerivedSources:
         date = _date_text(F.col("sd"), F.col("ln"))
         m = F.col("ln") % 3
         note = F.lit(None).cast("string")
-        a = x.filter(m == 0).select(F.col("hn").alias("ENC_HN"), date.alias("REC_DATE"),
-                                    note.alias("PROP_HELP"), code.alias("CODE"))
-        co = x.filter(F.col("kd") == 0).select(
+        a = _as_source(x.filter(m == 0), F.col("hn").alias("ENC_HN"), date.alias("REC_DATE"),
+                       note.alias("PROP_HELP"), code.alias("CODE"))
+        co = _as_source(
+            x.filter(F.col("kd") == 0),
             F.col("hn").alias("ENC_HN"), F.date_format(F.col("od"), "yyyyMMdd").alias("REC_DATE"),
             note.alias("PROP_HELP"), F.lit(CO_PRESCRIPTION_CODE).alias("CODE"))
-        b = x.filter(m == 1).select(F.col("hn").alias("ENC_HN"), date.alias("BillDate"),
-                                    note.alias("freetext"), code.alias("Drugcode"))
-        c = x.filter(m == 2).select(F.col("hn").alias("ENC_HN"), date.alias("D001KEY"),
-                                    note.alias("Comment"), code.alias("DSPCode"))
+        b = _as_source(x.filter(m == 1), F.col("hn").alias("ENC_HN"), date.alias("BillDate"),
+                       note.alias("freetext"), code.alias("Drugcode"))
+        c = _as_source(x.filter(m == 2), F.col("hn").alias("ENC_HN"), date.alias("D001KEY"),
+                       note.alias("Comment"), code.alias("DSPCode"))
         return {"order_a": a.unionByName(co), "medication_b": b, "medication_c": c}
 
     # -- procedures: operation (D036KEY) and surgery (OPR_1, OPR_2) --------------------------
@@ -133,8 +150,9 @@ class DerivedSources:
         date = _date_text(F.col("sd"), F.col("ln"))
         odd = (F.col("ln") % 2) == 1
         even_kp = (F.col("kp") % 2) == 0
-        op = x.filter(odd).select(F.col("hn").alias("ENC_HN"), date.alias("D001KEY"), code.alias("D036KEY"))
-        sg = x.filter(~odd).select(
+        op = _as_source(x.filter(odd), F.col("hn").alias("ENC_HN"), date.alias("D001KEY"), code.alias("D036KEY"))
+        sg = _as_source(
+            x.filter(~odd),
             F.col("hn").alias("ENC_HN"), date.alias("D001KEY"),
             F.when(even_kp, code).alias("OPR_1"),
             F.when(~even_kp, code).alias("OPR_2"),
