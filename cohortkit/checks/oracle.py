@@ -422,6 +422,13 @@ SELECT {len(TRANSITION_ORDER) + 1}, 'Column Total',
   CAST(count(*) AS BIGINT), {', '.join('CAST(NULL AS DOUBLE)' for _ in TRANSITION_ORDER)}
 FROM labelled""")
 
+    text_cells = ", ".join(
+        f"CASE WHEN \"{TRANSITION_KEY}\" = 'Column Total' THEN CAST(\"{b}\" AS VARCHAR) "
+        f"ELSE CAST(\"{b}\" AS VARCHAR) || ' (' || printf('%.2f', \"{b} %\") || '%)' END AS \"{b}\""
+        for b in TRANSITION_ORDER)
+    out["formatted_transition"] = out["subtype_transition"].replace("WITH ", "WITH tr AS (WITH ", 1) + f"""
+)
+SELECT row_order, "{TRANSITION_KEY}", "Row Total", {text_cells} FROM tr"""
     rrows = review_rows(maps)
     conds = []
     for r in rrows:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.codes import normalize_code, prefix_match
-from cohortkit.functions.format import fixed2, n_pct_text
+from cohortkit.functions.format import n_pct_text, with_fixed2
 from cohortkit.operators.index import at_index_flags
 from cohortkit.sources.codemaps import DISTRIBUTION_ORDER, SUBTYPE_DISPLAY, TRANSITION_ORDER, CodeMaps
 
@@ -112,12 +112,13 @@ def subtype_distribution(labelled: DataFrame) -> DataFrame:
 
 def subtype_distribution_display(labelled: DataFrame) -> DataFrame:
     """Published display form with "n (p.pp%)" text and % rounded to 2 places."""
-    d = subtype_distribution(labelled)
+    d = with_fixed2(subtype_distribution(labelled),
+                    [("Index %", "_it", "_ir"), ("Final %", "_ft", "_fr")])
     return d.select(
-        "row_order", "Subtype", "Index n", fixed2(F.col("Index %"), as_text=False).alias("Index %"),
-        n_pct_text(F.col("Index n"), F.col("Index %")).alias("Index n (%)"),
-        "Final n", fixed2(F.col("Final %"), as_text=False).alias("Final %"),
-        n_pct_text(F.col("Final n"), F.col("Final %")).alias("Final n (%)"),
+        "row_order", "Subtype", "Index n", F.col("_ir").alias("Index %"),
+        n_pct_text(F.col("Index n"), F.col("_it")).alias("Index n (%)"),
+        "Final n", F.col("_fr").alias("Final %"),
+        n_pct_text(F.col("Final n"), F.col("_ft")).alias("Final n (%)"),
     )
 
 
@@ -144,11 +145,11 @@ def subtype_transition(labelled: DataFrame) -> DataFrame:
 
 def subtype_transition_display(labelled: DataFrame) -> DataFrame:
     """Published display form: "n (p.pp%)" cells, Row Total, Column Total row."""
-    t = subtype_transition(labelled)
+    t = with_fixed2(subtype_transition(labelled), [(f"{b} %", f"_t{i}", None) for i, b in enumerate(TRANSITION_ORDER)])
     is_total = F.col(TRANSITION_KEY) == "Column Total"
     cells = [
-        F.when(is_total, F.col(b).cast("string")).otherwise(n_pct_text(F.col(b), F.col(f"{b} %"))).alias(b)
-        for b in TRANSITION_ORDER
+        F.when(is_total, F.col(b).cast("string")).otherwise(n_pct_text(F.col(b), F.col(f"_t{i}"))).alias(b)
+        for i, b in enumerate(TRANSITION_ORDER)
     ]
     return t.select("row_order", TRANSITION_KEY, "Row Total", *cells)
 

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from cohortkit.functions.codes import code_in, normalize_code, prefix_match, prefix_regex
 from cohortkit.functions.dates import parse_birth_date, parse_event_ts
-from cohortkit.functions.format import fixed2
+from cohortkit.functions.format import with_fixed2
 
 
 def test_normalize_code_t2(spark):
@@ -75,8 +75,12 @@ def test_fixed2_matches_python_t19(spark):
     random.seed(7)
     vals = [0.125, 0.265, 0.285, 12.125, 0.0, 100.0, 99.995, 0.005, 1 / 3 * 100, 2.675, 1e-9, 21.70]
     vals += [random.randint(0, 500) / random.randint(1, 500) * 100.0 for _ in range(500)]
+    vals += [-0.125, -12.345, 123456.785, None]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    rows = df.select("x", fixed2(F.col("x")).alias("t"), fixed2(F.col("x"), as_text=False).alias("r")).collect()
+    rows = with_fixed2(df, [("x", "t", "r")]).collect()
     for r in rows:
+        if r.x is None:
+            assert r.t is None and r.r is None
+            continue
         assert r.t == f"{r.x:.2f}", r.x
         assert r.r == round(r.x, 2), r.x

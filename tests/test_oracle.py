@@ -31,7 +31,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_oracle_keys_subset_of_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"source_profile", "formatted_transition"}
+    assert set(QUERIES) - set(SQL) == {"source_profile"}
 
 
 def test_entry_smoke(spark):
