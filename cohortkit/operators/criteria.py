@@ -32,6 +32,8 @@ def _false_if_null(c: Column) -> Column:
 def exact_criteria_base(dx_summary: DataFrame, med_summary: DataFrame, rt_summary: DataFrame) -> DataFrame:
     """The merged base with every flag of the exact criteria.
 
+    Join form over the three stored summaries: full outer join of diagnosis and medication
+    (J2), left join of the radiotherapy course (J3; radiotherapy-only patients never enter).
     ``medication_date`` is published as the *qualified* medication date (T13); the raw
     earliest dementia-drug date is only used for the candidate flags.
     """
@@ -40,6 +42,67 @@ def exact_criteria_base(dx_summary: DataFrame, med_summary: DataFrame, rt_summar
         .join(med_summary.select(*MED_COLS), "ENC_HN", "full_outer")
         .join(rt_summary.select(*RT_COLS), "ENC_HN", "left")
     )
+    return apply_criteria(merged)
+
+
+def merged_summaries_from_events(dx_events: DataFrame, med_working: DataFrame, rt_working: DataFrame,
+                                 maps) -> DataFrame:
+    """The same merged per-patient table as J2 + J3, as ONE aggregate over the union of the
+    three event streams: every summary column is a min, max or any, so the three summaries
+    and their joins collapse into a single shuffle with map-side partial aggregation.
+
+    Patients with radiotherapy events only are dropped, as the left join drops them (T20).
+    """
+    from cohortkit.functions.codes import prefix_match
+    from cohortkit.sources.codemaps import UNSPECIFIED_DATE_PREFIX
+
+    g = maps.diagnosis_groups()
+    code = F.col("code")
+    no = F.lit(None).cast("boolean")
+    dx_flags = {
+        "f_dementia": prefix_match(code, g["is_dementia"], normalized=True),
+        "f_ad": prefix_match(code, g["is_ad"], normalized=True),
+        "f_vad": prefix_match(code, g["is_vad"], normalized=True),
+        "f_other": prefix_match(code, g["is_other"], normalized=True),
+        "f_f03": code.startswith(UNSPECIFIED_DATE_PREFIX),
+        "f_mci": prefix_match(code, g["is_mci"], normalized=True),
+        "f_scz": prefix_match(code, g["is_schizophrenia"], normalized=True),
+    }
+    med_flags = {
+        "f_dmed": F.col("is_dementia_med"),
+        "f_achei": F.coalesce(F.col("drug_class") == "AChEI", F.lit(False)),
+        "f_mem": F.coalesce(F.col("drug_class") == "Memantine", F.lit(False)),
+        "f_cloz": F.col("is_clozapine"),
+    }
+    names = list(dx_flags) + list(med_flags)
+
+    def arm(df: DataFrame, src: str, ts: str, flags: dict) -> DataFrame:
+        return df.select(F.col("ENC_HN"), F.col(ts).alias("ts"), F.lit(src).alias("src"),
+                         *[(flags[n] if n in flags else no).alias(n) for n in names])
+
+    ev = (arm(dx_events, "dx", "D001KEY", dx_flags)
+          .unionByName(arm(med_working, "med", "REC_DATE", med_flags))
+          .unionByName(arm(rt_working, "rt", "PROC_DATE", {})))
+    ts, src = F.col("ts"), F.col("src")
+
+    def first(flag: str, name: str):
+        return F.min(F.when(F.col(flag), ts)).alias(name)
+
+    merged = ev.groupBy("ENC_HN").agg(
+        first("f_dementia", "diagnosis_date"), first("f_ad", "ad_date"), first("f_vad", "vad_date"),
+        first("f_other", "other_date"), first("f_f03", "unspecified_date"), first("f_mci", "mci_date"),
+        first("f_scz", "schizophrenia_date"),
+        F.bool_or("f_mci").alias("has_mci_history"), F.bool_or("f_scz").alias("has_schizophrenia_history"),
+        first("f_dmed", "medication_date"), first("f_achei", "achei_date"), first("f_mem", "memantine_date"),
+        first("f_cloz", "clozapine_date"), F.bool_or("f_cloz").alias("has_clozapine_history"),
+        F.min(F.when(src == "rt", ts)).alias("rt_first_date"), F.max(F.when(src == "rt", ts)).alias("rt_last_date"),
+        F.count_if(src != "rt").alias("_n_base_rows"),
+    )
+    return merged.filter(F.col("_n_base_rows") > 0).drop("_n_base_rows")
+
+
+def apply_criteria(merged: DataFrame) -> DataFrame:
+    """E13-E22 on the merged per-patient table (diagnosis, medication and course columns)."""
     col = F.col
     has_mci = _false_if_null(col("has_mci_history"))
     has_scz = _false_if_null(col("has_schizophrenia_history"))

@@ -97,7 +97,10 @@ class CohortPlan:
     # -- exact criteria ------------------------------------------------------------------
     @cached_property
     def exact_base(self) -> DataFrame:
-        return criteria.exact_criteria_base(self.dx_summary, self.med_summary, self.rt_summary)
+        """Lazily composed: one aggregate over the union of the three filtered event streams
+        (one shuffle); ``run`` uses the join form over the stored summaries (J2, J3)."""
+        merged = criteria.merged_summaries_from_events(self.dx_events, self.med_working, self.rt_working, self.maps)
+        return criteria.apply_criteria(merged)
 
     @cached_property
     def final_cohort(self) -> DataFrame:

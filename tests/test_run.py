@@ -21,3 +21,13 @@ def test_run_writes_tables_equal_to_lazy_plan(spark, tmp_dir):
         stored = spark.read.parquet(written[table]).toPandas()
         lazy = QUERIES[query](spark, SF_SMALL).toPandas()
         assert rows_of(stored) == rows_of(lazy), table
+
+
+def test_union_aggregate_equals_join_form(spark):
+    """The single-aggregate merge equals the full-outer/left join of the three summaries."""
+    from cohortkit.operators import criteria
+    from cohortkit.plans.queries import derived_plan
+
+    plan = derived_plan(spark, "/root/testdata/sf0.01")
+    joined = criteria.exact_criteria_base(plan.dx_summary, plan.med_summary, plan.rt_summary)
+    assert rows_of(joined.toPandas()) == rows_of(plan.exact_base.toPandas())
