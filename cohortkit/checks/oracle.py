@@ -297,6 +297,7 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (
   UNION ALL SELECT 'rt_summary_patients', count(*) FROM rt_summary)""")
 
     out["exact_criteria_base"] = w("SELECT * FROM exact_base")
+    out["refresh_exact_base"] = out["exact_criteria_base"]
     out["exact_med_evaluated"] = w("SELECT * FROM exact_base WHERE is_med_candidate")
     out["inferred_unspecified"] = w("SELECT * FROM exact_base WHERE is_inferred_unspecified")
     out["final_cohort"] = w("SELECT * FROM final_cohort")

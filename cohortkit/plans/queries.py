@@ -147,6 +147,29 @@ def q_source_profile(spark, sf_dir):
     return profile_sources(spark, [f"{lake}/operation", f"{lake}/surgery", f"{lake}/order", f"{lake}/medication"])
 
 
+def q_refresh_exact_base(spark, sf_dir):
+    """Streaming refresh: the derived sources are written as extract files (four per layout),
+    merged per patient by a streaming aggregation over several micro-batches, and the exact
+    criteria applied to the snapshot. Equals ``exact_criteria_base``."""
+    from cohortkit.sources.files import materialize_derived_lake
+    from cohortkit.streaming.refresh import StreamLayouts, refresh_merged_summaries, refreshed_base
+
+    lake = materialize_derived_lake(spark, sf_dir, split_layouts=True, files_per_layout=4)
+
+    def schema(folder):
+        return spark.read.parquet(f"{lake}/{folder}").schema
+
+    layouts = StreamLayouts(
+        diagnosis={f"{lake}/diagnosis": schema("diagnosis")},
+        medication={f"{lake}/{f}": schema(f) for f in ("order", "medication_b", "medication_c")},
+        procedure={f"{lake}/{f}": schema(f) for f in ("operation", "surgery")},
+        max_files_per_trigger=6,
+    )
+    out = refresh_merged_summaries(spark, layouts, f"{lake}/merged_summaries", f"{lake}/refresh-checkpoint",
+                                   window=DERIVED_STUDY_WINDOW)
+    return refreshed_base(spark, out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_codes": q_normalize_codes,
     "parse_dates": q_parse_dates,
@@ -183,4 +206,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rt_billing_summary": _plan_attr("rt_billing_summary"),
     "memantine_during_rt_events": _plan_attr("memantine_during_rt"),
     "source_profile": q_source_profile,
+    "refresh_exact_base": q_refresh_exact_base,
 }

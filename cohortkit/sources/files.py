@@ -250,23 +250,39 @@ def read_map_csv(spark: SparkSession, path: str, columns: list[str]) -> list[dic
 
 
 # -- a file lake written from the derived sources -------------------------------------------------
-def materialize_derived_lake(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
-    """Write the derived sources as a file lake (one folder per source, Parquet part files)
-    under the shared checkpoint folder, and return its root."""
+def materialize_derived_lake(spark: SparkSession, sf_dir: str, root: str | None = None,
+                             split_layouts: bool = False, files_per_layout: int | None = None) -> str:
+    """Write the derived sources as a file lake under the shared checkpoint folder and return
+    its root: ``diagnosis/ order/ medication/ operation/ surgery/ demographic/``.
+
+    By default the two medication layouts share ``medication/`` (a mixed folder, as in the
+    hospital extract); ``split_layouts`` gives each layout its own folder (``medication_b/``,
+    ``medication_c/``). ``files_per_layout`` spreads each layout over that many files
+    (several extracts).
+    """
     from cohortkit.session import checkpoint_dir
     from cohortkit.sources.derived import DerivedSources
 
     root = root or f"{checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex[:12]}"
     src = DerivedSources(spark, sf_dir)
-    src.diagnosis().write.mode("overwrite").parquet(f"{root}/diagnosis")
+
+    def write(df: DataFrame, folder: str, mode: str = "overwrite") -> None:
+        if files_per_layout:
+            df = df.repartition(files_per_layout)
+        df.write.mode(mode).parquet(f"{root}/{folder}")
+
+    write(src.diagnosis(), "diagnosis")
     lay = src.medication_layouts()
-    lay["order_a"].write.mode("overwrite").parquet(f"{root}/order")
-    # two layouts in one folder: the reader has to group the files by footer signature
-    lay["medication_b"].write.mode("overwrite").parquet(f"{root}/medication")
-    lay["medication_c"].write.mode("append").parquet(f"{root}/medication")
+    write(lay["order_a"], "order")
+    if split_layouts:
+        write(lay["medication_b"], "medication_b")
+        write(lay["medication_c"], "medication_c")
+    else:
+        # two layouts in one folder: the reader has to group the files by footer signature
+        write(lay["medication_b"], "medication")
+        write(lay["medication_c"], "medication", mode="append")
     proc = src.procedure_layouts()
-    proc["operation"].write.mode("overwrite").parquet(f"{root}/operation")
-    proc["surgery"].write.mode("overwrite").parquet(f"{root}/surgery")
-    src.demographic().write.mode("overwrite").parquet(f"{root}/demographic")
+    write(proc["operation"], "operation")
+    write(proc["surgery"], "surgery")
+    write(src.demographic(), "demographic")
     return root
-
