@@ -364,6 +364,19 @@ SELECT n AS count, CAST(s1 AS DOUBLE) / n / 365.0::DOUBLE AS mean,
   dmin / 365.0::DOUBLE AS min, q1 / 365.0::DOUBLE AS p25, q2 / 365.0::DOUBLE AS p50, q3 / 365.0::DOUBLE AS p75,
   dmax / 365.0::DOUBLE AS max
 FROM a""")
+    out["age_filter_counts"] = w("""
+SELECT metric, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'n_final_cohort' AS metric, count(*) AS value FROM indexed
+  UNION ALL SELECT 'n_adult', count(*) FILTER (WHERE age_at_index >= 18) FROM indexed
+  UNION ALL SELECT 'n_under_18', count(*) FILTER (WHERE age_at_index < 18) FROM indexed
+  UNION ALL SELECT 'n_unknown_age', count(*) FILTER (WHERE age_at_index IS NULL) FROM indexed
+  UNION ALL SELECT 'n_flagged_not_adult', count(*) FILTER (WHERE age_at_index < 18 OR age_at_index IS NULL)
+    FROM indexed)""")
+    out["null_id_counts"] = w("""
+SELECT metric, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'diagnosis_null_id_rows' AS metric, count(*) FILTER (WHERE ENC_HN IS NULL) AS value FROM dx_src
+  UNION ALL SELECT 'medication_null_id_rows', count(*) FILTER (WHERE ENC_HN IS NULL) FROM med_raw
+  UNION ALL SELECT 'procedure_null_id_rows', count(*) FILTER (WHERE ENC_HN IS NULL) FROM proc_code)""")
     out["dementia_index_labelled"] = w("SELECT * FROM labelled")
     out["label_with_arm"] = w("""
 , arms AS (

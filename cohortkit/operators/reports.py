@@ -215,6 +215,31 @@ def stage_counts(plan) -> DataFrame:
     return out.select("metric", F.col("value").cast("bigint").alias("value"))
 
 
+# -- age filter and dropped ids (T16, T10) -------------------------------------------------------
+def age_filter_counts(indexed: DataFrame) -> DataFrame:
+    """Cohort patients by age at index: adult, under 18, unknown age (published apart;
+    the published "< 18" number is under 18 plus unknown)."""
+    age = F.col("age_at_index")
+    agg = indexed.agg(F.count(F.lit(1)).alias("n_final_cohort"), F.count_if(age >= 18).alias("n_adult"),
+                      F.count_if(age < 18).alias("n_under_18"), F.count_if(age.isNull()).alias("n_unknown_age"))
+    agg = agg.withColumn("n_flagged_not_adult", F.col("n_under_18") + F.col("n_unknown_age"))
+    from cohortkit.operators.criteria import to_long
+
+    return to_long(agg, agg.columns, "metric", "value")
+
+
+def null_id_counts(plan) -> DataFrame:
+    """Source rows whose patient id is null, per arm (they are dropped, not kept as a
+    pseudo-patient)."""
+    from cohortkit.operators.criteria import to_long
+
+    parts = [df.agg(F.count_if(F.col("ENC_HN").isNull()).alias(name)) for name, df in (
+        ("diagnosis_null_id_rows", plan.dx_standardized), ("medication_null_id_rows", plan.med_union),
+        ("procedure_null_id_rows", plan.proc_union))]
+    longs = [to_long(p, p.columns, "metric", "value") for p in parts]
+    return longs[0].unionByName(longs[1]).unionByName(longs[2])
+
+
 # -- codes under review (A19) --------------------------------------------------------------
 def review_rows(maps: CodeMaps) -> list[dict]:
     """Report rows of the review map: exact code, ``prefix*``, and ``prefix* excluding ..``."""

@@ -119,6 +119,14 @@ def q_age_exception_stats(spark, sf_dir):
     return reports.age_exception_stats(derived_plan(spark, sf_dir).indexed)
 
 
+def q_age_filter_counts(spark, sf_dir):
+    return reports.age_filter_counts(derived_plan(spark, sf_dir).indexed)
+
+
+def q_null_id_counts(spark, sf_dir):
+    return reports.null_id_counts(derived_plan(spark, sf_dir))
+
+
 def q_subtype_distribution(spark, sf_dir):
     return derived_plan(spark, sf_dir).subtype_distribution()
 
@@ -196,6 +204,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dementia_index": _plan_attr("dementia_index"),
     "age_exceptions": _plan_attr("age_exceptions"),
     "age_exception_stats": q_age_exception_stats,
+    "age_filter_counts": q_age_filter_counts,
+    "null_id_counts": q_null_id_counts,
     "dementia_index_labelled": q_dementia_index_labelled,
     "label_with_arm": q_label_with_arm,
     "subtype_distribution": q_subtype_distribution,

@@ -119,3 +119,20 @@ def test_a16_empty_label_row_is_zero(spark):
     assert t["AD"]["AD"] == 1 and t["AD"]["AD %"] == 100.0
     d = {r["Subtype"]: r for r in reports.subtype_distribution(plan.labelled).collect()}
     assert d["Mixed Dementia"]["Index n"] == 0 and d["Total"]["Index n"] == 1
+
+
+def test_s14_empty_inputs_give_typed_empty_tables(spark):
+    plan = CohortPlan(spark, MemSources(spark))
+    for name in ("dx_working", "dx_summary", "med_working", "med_summary", "rt_summary", "exact_base", "labelled"):
+        df = getattr(plan, name)
+        assert df.count() == 0 and len(df.columns) > 2, name
+    dist = reports.subtype_distribution(plan.labelled).collect()
+    assert [r["Index n"] for r in dist] == [0] * 6 and all(r["Index %"] == 0.0 for r in dist[:5])
+
+
+def test_t10_null_ids_dropped_and_counted(spark):
+    plan = CohortPlan(spark, MemSources(spark, dx=[(None, "20150101", "F03"), ("p1", "20150101", "F03")],
+                                        demo=[("p1", BORN)]))
+    assert [r["ENC_HN"] for r in plan.exact_base.collect()] == ["p1"]
+    counts = {r["metric"]: r["value"] for r in reports.null_id_counts(plan).collect()}
+    assert counts["diagnosis_null_id_rows"] == 1 and counts["medication_null_id_rows"] == 0
