@@ -52,6 +52,9 @@ def prefix_match(col: Column | str, prefixes: Iterable[str], normalized: bool =
         exp = _expanded_prefix_set(plist)
         if exp is not None:
             k, values = exp
+            if isinstance(col, str):
+                # same InSet, handed to the JVM as one expression instead of one call per literal
+                return F.expr(f"coalesce(substring({_ident(col)}, 1, {k}) IN ({_sql_list(values)}), false)")
             return F.coalesce(F.substring(c, 1, k).isin(values), F.lit(False))
     by_len: dict[int, list[str]] = {}
     for p in sorted(set(p for p in prefixes if p)):
@@ -67,6 +70,14 @@ def prefix_match(col: Column | str, prefixes: Iterable[str], normalized: bool =
     return F.coalesce(cond, F.lit(False))
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_list(values: Iterable[str]) -> str:
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
 def prefix_regex(prefixes: Iterable[str]) -> str:
     """Anchored alternation, longest prefix first; an empty list is an error."""
     import re

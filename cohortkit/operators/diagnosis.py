@@ -58,7 +58,7 @@ def dx_events(std: DataFrame, maps: CodeMaps, window: StudyWindow) -> DataFrame:
     )
 
 
-def flag_codes(code: Column, maps: CodeMaps) -> list[Column]:
+def flag_codes(code: Column | str, maps: CodeMaps) -> list[Column]:
     """The seven diagnosis flags of one normalized code."""
     return [prefix_match(code, prefixes, normalized=True).alias(name)
             for name, prefixes in maps.diagnosis_groups().items()]
@@ -67,7 +67,7 @@ def flag_codes(code: Column, maps: CodeMaps) -> list[Column]:
 def dx_working(events: DataFrame, maps: CodeMaps) -> DataFrame:
     """A1 + A2 fused (no join back, J1): per (patient, timestamp) the sorted distinct codes
     joined by ", " and the any-flags of those codes."""
-    flagged = events.select("ENC_HN", "D001KEY", "code", *flag_codes(F.col("code"), maps))
+    flagged = events.select("ENC_HN", "D001KEY", "code", *flag_codes("code", maps))
     return flagged.groupBy("ENC_HN", "D001KEY").agg(
         F.array_join(F.array_sort(F.collect_set("code")), ", ").alias("D035KEY"),
         *[F.bool_or(f).alias(f) for f in DX_FLAGS],
@@ -104,13 +104,13 @@ def _summarize(codes: DataFrame, maps: CodeMaps) -> DataFrame:
 
     c = F.col("code")
     return codes.groupBy("ENC_HN").agg(
-        first(prefix_match(c, groups["is_dementia"], normalized=True), "diagnosis_date"),
-        first(prefix_match(c, groups["is_ad"], normalized=True), "ad_date"),
-        first(prefix_match(c, groups["is_vad"], normalized=True), "vad_date"),
-        first(prefix_match(c, groups["is_other"], normalized=True), "other_date"),
+        first(prefix_match("code", groups["is_dementia"], normalized=True), "diagnosis_date"),
+        first(prefix_match("code", groups["is_ad"], normalized=True), "ad_date"),
+        first(prefix_match("code", groups["is_vad"], normalized=True), "vad_date"),
+        first(prefix_match("code", groups["is_other"], normalized=True), "other_date"),
         first(c.startswith(UNSPECIFIED_DATE_PREFIX), "unspecified_date"),  # E8 / T11: literal F03
-        first(prefix_match(c, groups["is_mci"], normalized=True), "mci_date"),
-        first(prefix_match(c, groups["is_schizophrenia"], normalized=True), "schizophrenia_date"),
-        F.bool_or(prefix_match(c, groups["is_mci"], normalized=True)).alias("has_mci_history"),
-        F.bool_or(prefix_match(c, groups["is_schizophrenia"], normalized=True)).alias("has_schizophrenia_history"),
+        first(prefix_match("code", groups["is_mci"], normalized=True), "mci_date"),
+        first(prefix_match("code", groups["is_schizophrenia"], normalized=True), "schizophrenia_date"),
+        F.bool_or(prefix_match("code", groups["is_mci"], normalized=True)).alias("has_mci_history"),
+        F.bool_or(prefix_match("code", groups["is_schizophrenia"], normalized=True)).alias("has_schizophrenia_history"),
     )

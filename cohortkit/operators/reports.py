@@ -276,7 +276,7 @@ def review_code_counts(dx_events: DataFrame, maps: CodeMaps) -> DataFrame:
         else:
             cond = code.startswith(row["code"])
             if row["exclude"]:
-                cond = cond & ~prefix_match(code, row["exclude"], normalized=True)
+                cond = cond & ~prefix_match("code", row["exclude"], normalized=True)
         tags.append(F.when(cond, F.lit(f"r{row['row_order']}")))
         if not row["exclude"]:
             groups.append(F.when(cond, F.lit("g" + row["review_group"])))
