@@ -37,12 +37,26 @@ def exact_criteria_base(dx_summary: DataFrame, med_summary: DataFrame, rt_summar
     ``medication_date`` is published as the *qualified* medication date (T13); the raw
     earliest dementia-drug date is only used for the candidate flags.
     """
-    merged = (
-        dx_summary.select(*DX_COLS)
-        .join(med_summary.select(*MED_COLS), "ENC_HN", "full_outer")
-        .join(rt_summary.select(*RT_COLS), "ENC_HN", "left")
+    return apply_criteria(merged_summaries(dx_summary, med_summary, rt_summary))
+
+
+def merged_summaries(dx_summary: DataFrame, med_summary: DataFrame, rt_summary: DataFrame) -> DataFrame:
+    """J2 + J3 without a re-shuffle: the course is left-joined to each summary first (both
+    sides hashed on ENC_HN by their aggregates, the course aggregate computed once and its
+    exchange reused), then the two are full-outer joined on that same partitioning. Joining
+    the course after the full outer join would re-shuffle, because the coalesced key of a
+    full outer join has no known partitioning. Radiotherapy-only patients never enter (T20)."""
+    rt = rt_summary.select(*RT_COLS)
+    dx = dx_summary.select(*DX_COLS).join(rt, "ENC_HN", "left").withColumnsRenamed(
+        {"rt_first_date": "_dx_rt_first", "rt_last_date": "_dx_rt_last"})
+    med = med_summary.select(*MED_COLS).join(rt, "ENC_HN", "left").withColumnsRenamed(
+        {"rt_first_date": "_med_rt_first", "rt_last_date": "_med_rt_last"})
+    merged = dx.join(med, "ENC_HN", "full_outer")
+    return merged.select(
+        *DX_COLS, *MED_COLS[1:],
+        F.coalesce("_dx_rt_first", "_med_rt_first").alias("rt_first_date"),
+        F.coalesce("_dx_rt_last", "_med_rt_last").alias("rt_last_date"),
     )
-    return apply_criteria(merged)
 
 
 def merged_summaries_from_events(dx_events: DataFrame, med_working: DataFrame, rt_working: DataFrame,
