@@ -44,15 +44,27 @@ def rt_billing_summary(billing_working: DataFrame) -> DataFrame:
     )
 
 
-def memantine_during_rt(med_working: DataFrame, rt_summary_df: DataFrame) -> DataFrame:
+SALT_BUCKETS = 16
+
+
+def memantine_during_rt(med_working: DataFrame, rt_summary_df: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Every memantine event inside its patient's radiotherapy course.
 
-    An equi-join on the patient id (one course row per patient, so no fan-out) plus a range
-    predicate. The course table is per patient; Spark/AQE broadcasts it only when its
-    measured size is under the broadcast threshold, otherwise a sort-merge join is used and
-    AQE splits a skewed patient partition.
+    An equi-join on the patient id plus a range predicate. The course side has one row per
+    patient (no fan-out). Against a hot patient holding a large share of the events, the
+    join key is salted: each event gets a deterministic salt (hash of its date and code,
+    so a re-run task assigns the same salt) and the course row is replicated once per salt,
+    so the hot patient's events spread over ``salt_buckets`` tasks. When the course table is
+    measured small, AQE turns the join into a broadcast join instead.
     """
     mem = med_working.filter(F.col("drug_class") == "Memantine").select("ENC_HN", "REC_DATE", "CODE")
-    return mem.join(rt_summary_df, "ENC_HN", "inner").filter(
+    if salt_buckets and salt_buckets > 1:
+        mem = mem.withColumn("_salt", F.pmod(F.xxhash64("REC_DATE", "CODE"), F.lit(salt_buckets)).cast("int"))
+        courses = rt_summary_df.select("ENC_HN", "rt_first_date", "rt_last_date",
+                                       F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_salt"))
+        keys = ["ENC_HN", "_salt"]
+    else:
+        courses, keys = rt_summary_df, ["ENC_HN"]
+    return mem.join(courses, keys, "inner").filter(
         F.col("REC_DATE").between(F.col("rt_first_date"), F.col("rt_last_date"))
     ).select("ENC_HN", "REC_DATE", "CODE", "rt_first_date", "rt_last_date")
