@@ -202,14 +202,10 @@ def exact_criteria_counts(base: DataFrame) -> DataFrame:
     return to_long(wide, list(EXACT_COUNTERS), "metric", "value")
 
 
-def to_long(wide_one_row: DataFrame, names: list[str], key: str, value: str, order_col: str | None = None) -> DataFrame:
+def to_long(wide_one_row: DataFrame, names: list[str], key: str, value: str) -> DataFrame:
     """One-row wide aggregate -> (key, value) rows, via ``stack`` (no shuffle)."""
     parts = []
-    for i, n in enumerate(names):
-        parts.append(f"{i + 1}" if order_col else None)
+    for n in names:
         parts.append("'" + n.replace("'", "\\'") + "'")
         parts.append(f"`{n}`")
-    parts = [p for p in parts if p is not None]
-    width = 3 if order_col else 2
-    cols = f"{order_col}, {key}, {value}" if order_col else f"{key}, {value}"
-    return wide_one_row.selectExpr(f"stack({len(names)}, {', '.join(parts)}) as ({cols})")
+    return wide_one_row.selectExpr(f"stack({len(names)}, {', '.join(parts)}) as ({key}, {value})")
