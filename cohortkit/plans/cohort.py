@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortkit.operators import criteria, diagnosis, index, medication, radiotherapy, reports
 from cohortkit.operators.standardize import (
@@ -31,6 +32,9 @@ class CohortPlan:
     sources: object
     maps: CodeMaps = field(default_factory=CodeMaps.default)
     window: StudyWindow = field(default_factory=StudyWindow)
+    # radiotherapy course for the memantine exclusion: ICD-9 procedure codes (method 1, as
+    # published), institution billing codes on the order/medication events (method 2), or both
+    rt_method: str = "icd9"
 
     # -- diagnosis arm -------------------------------------------------------------------
     @cached_property
@@ -79,7 +83,14 @@ class CohortPlan:
 
     @cached_property
     def rt_working(self) -> DataFrame:
-        return radiotherapy.rt_working(self.proc_union, self.maps, self.window)
+        if self.rt_method not in ("icd9", "billing", "both"):
+            raise ValueError(f"rt_method must be icd9, billing or both, not {self.rt_method!r}")
+        icd9 = radiotherapy.rt_working(self.proc_union, self.maps, self.window)
+        if self.rt_method == "icd9":
+            return icd9
+        billing = radiotherapy.rt_billing_working(self.med_union, self.maps, self.window).select(
+            "ENC_HN", F.col("REC_DATE").alias("PROC_DATE"), F.col("CODE").alias("PROC_CODE"))
+        return billing if self.rt_method == "billing" else icd9.unionByName(billing)
 
     @cached_property
     def rt_summary(self) -> DataFrame:

@@ -136,3 +136,18 @@ def test_t10_null_ids_dropped_and_counted(spark):
     assert [r["ENC_HN"] for r in plan.exact_base.collect()] == ["p1"]
     counts = {r["metric"]: r["value"] for r in reports.null_id_counts(plan).collect()}
     assert counts["diagnosis_null_id_rows"] == 1 and counts["medication_null_id_rows"] == 0
+
+
+def test_e31_billing_course_as_exclusion(spark):
+    src = MemSources(spark, med=[med("p1", "20150210", "EBIX-T-"), med("p1", "20150201", "X00825"),
+                                 med("p1", "20150301", "X01376")],
+                     operation=[("p2", "20150201", "92.24")])
+    icd9 = {r["ENC_HN"]: r for r in CohortPlan(spark, src).exact_base.collect()}
+    assert icd9["p1"]["memantine_left"] is True  # no ICD-9 course for p1
+    billing = {r["ENC_HN"]: r for r in CohortPlan(spark, src, rt_method="billing").exact_base.collect()}
+    assert billing["p1"]["exclude_radiotherapy_memantine"] is True
+    assert billing["p1"]["rt_first_date"] == dt.datetime(2015, 2, 1)
+    both = {r["ENC_HN"]: r for r in CohortPlan(spark, src, rt_method="both").rt_summary.collect()}
+    assert set(both) == {"p1", "p2"}
+    b = CohortPlan(spark, src).rt_billing_summary.collect()[0]
+    assert b["has_brain_spine_code"] is True and b["n_billing_events"] == 2
