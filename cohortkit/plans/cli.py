@@ -35,6 +35,8 @@ def main(argv=None) -> dict:
     ap.add_argument("--procedure-dir", action="append", default=[])
     ap.add_argument("--demographic")
     ap.add_argument("--map-dir", help="code-map CSV folder (default: built-in maps)")
+    ap.add_argument("--rt-method", default="icd9", choices=["icd9", "billing", "both"],
+                    help="radiotherapy course: ICD-9 procedures, billing codes, or both")
     ap.add_argument("--start", default="2010-01-01")
     ap.add_argument("--end", default="2025-12-31")
     args = ap.parse_args(argv)
@@ -48,14 +50,15 @@ def main(argv=None) -> dict:
         from cohortkit.plans.queries import DERIVED_STUDY_WINDOW
         from cohortkit.sources.derived import DerivedSources
 
-        plan = CohortPlan(spark, DerivedSources(spark, args.derived_from), maps, DERIVED_STUDY_WINDOW)
+        plan = CohortPlan(spark, DerivedSources(spark, args.derived_from), maps, DERIVED_STUDY_WINDOW,
+                          rt_method=args.rt_method)
     else:
         from cohortkit.sources.files import FileSources
 
         window = StudyWindow(dt.datetime.fromisoformat(args.start), dt.datetime.fromisoformat(args.end))
         src = FileSources(spark, args.diagnosis_dir, args.order_dir, args.medication_dir,
                           tuple(args.procedure_dir), args.demographic)
-        plan = CohortPlan(spark, src, maps, window)
+        plan = CohortPlan(spark, src, maps, window, rt_method=args.rt_method)
     written = plan.run(args.out)
     print(json.dumps(written, indent=1))
     return written

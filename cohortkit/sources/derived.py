@@ -66,12 +66,22 @@ def _as_source(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*cols))))
 
 
+def _ymd(d: Column) -> Column:
+    """yyyyMMdd text of a date or naive timestamp, from its fields (no session time zone)."""
+    return F.format_string("%04d%02d%02d", F.year(d), F.month(d), F.dayofmonth(d))
+
+
 def _date_text(ts: Column, ln: Column) -> Column:
-    """Date text of a timestamp by line number: yyyyMMdd (ln%3=0), yyyy-MM-dd (1), with time (2)."""
+    """Date text of a timestamp by line number: yyyyMMdd (ln%3=0), yyyy-MM-dd (1), with time (2).
+
+    Built from the timestamp's fields, so the text does not depend on the session time zone.
+    """
     m = ln % 3
-    return (F.when(m == 0, F.date_format(ts, "yyyyMMdd"))
-            .when(m == 1, F.date_format(ts, "yyyy-MM-dd"))
-            .otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss")))
+    y, mo, d = F.year(ts), F.month(ts), F.dayofmonth(ts)
+    return (F.when(m == 0, F.format_string("%04d%02d%02d", y, mo, d))
+            .when(m == 1, F.format_string("%04d-%02d-%02d", y, mo, d))
+            .otherwise(F.format_string("%04d-%02d-%02d %02d:%02d:%02d", y, mo, d,
+                                       F.hour(ts), F.minute(ts), F.second(ts))))
 
 
 @dataclass
@@ -135,7 +145,7 @@ class DerivedSources:
                        note.alias("PROP_HELP"), code.alias("CODE"))
         co = _as_source(
             x.filter(F.col("kd") == 0),
-            F.col("hn").alias("ENC_HN"), F.date_format(F.col("od"), "yyyyMMdd").alias("REC_DATE"),
+            F.col("hn").alias("ENC_HN"), _ymd(F.col("od")).alias("REC_DATE"),
             note.alias("PROP_HELP"), F.lit(CO_PRESCRIPTION_CODE).alias("CODE"))
         b = _as_source(x.filter(m == 1), F.col("hn").alias("ENC_HN"), date.alias("BillDate"),
                        note.alias("freetext"), code.alias("Drugcode"))
@@ -167,7 +177,7 @@ class DerivedSources:
         hn = F.lpad(key.cast("string"), 7, "0")
 
         def as_double(d: Column) -> Column:
-            return F.date_format(d, "yyyyMMdd").cast("double")
+            return _ymd(d).cast("double")
 
         base = c.filter((key % 50) != 2).select(hn.alias("ENC_HN"), as_double(birth).alias("D020AT3"))
         nulls = c.filter((key % 50) == 0).select(hn.alias("ENC_HN"), F.lit(None).cast("double").alias("D020AT3"))

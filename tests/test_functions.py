@@ -84,3 +84,19 @@ def test_fixed2_matches_python_t19(spark):
             continue
         assert r.t == f"{r.x:.2f}", r.x
         assert r.r == round(r.x, 2), r.x
+
+
+def test_derived_sources_do_not_depend_on_session_zone(spark):
+    """Derived date texts come from timestamp fields, so a zone whose DST starts at midnight
+    (here Sao Paulo, 1999-10-03) cannot shift them."""
+    from cohortkit.checks.compare import rows_of
+    from cohortkit.plans.queries import QUERIES
+
+    base = rows_of(QUERIES["parse_dates"](spark, "/root/testdata/sf0.001").toPandas())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        other = rows_of(QUERIES["parse_dates"](spark, "/root/testdata/sf0.001").toPandas())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert base == other
