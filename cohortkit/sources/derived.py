@@ -67,21 +67,21 @@ def _as_source(df: DataFrame, *cols: Column) -> DataFrame:
 
 
 def _ymd(d: Column) -> Column:
-    """yyyyMMdd text of a date or naive timestamp, from its fields (no session time zone)."""
-    return F.format_string("%04d%02d%02d", F.year(d), F.month(d), F.dayofmonth(d))
+    """yyyyMMdd text of a date or naive timestamp (zone-free cast, no per-row formatter)."""
+    return F.translate(F.to_date(d).cast("string"), "-", "")
 
 
 def _date_text(ts: Column, ln: Column) -> Column:
     """Date text of a timestamp by line number: yyyyMMdd (ln%3=0), yyyy-MM-dd (1), with time (2).
 
-    Built from the timestamp's fields, so the text does not depend on the session time zone.
+    Built with casts of the naive timestamp, which involve no session time zone (a zone whose
+    daylight saving starts at midnight cannot shift the text).
     """
     m = ln % 3
-    y, mo, d = F.year(ts), F.month(ts), F.dayofmonth(ts)
-    return (F.when(m == 0, F.format_string("%04d%02d%02d", y, mo, d))
-            .when(m == 1, F.format_string("%04d-%02d-%02d", y, mo, d))
-            .otherwise(F.format_string("%04d-%02d-%02d %02d:%02d:%02d", y, mo, d,
-                                       F.hour(ts), F.minute(ts), F.second(ts))))
+    day = F.to_date(ts).cast("string")
+    return (F.when(m == 0, F.translate(day, "-", ""))
+            .when(m == 1, day)
+            .otherwise(F.substring(ts.cast("string"), 1, 19)))
 
 
 @dataclass
