@@ -56,13 +56,15 @@ def list_files(spark: SparkSession, directory: str, pattern: str | None = None)
 
 
 def hidden_files(spark: SparkSession, directory: str) -> list[str]:
-    """Files whose names start with ``_`` (Spark skips them); reported, not read."""
+    """Files whose names start with ``_`` (Spark's listing skips them); reported, not
+    read. Listed with ``pyarrow.fs`` (local, HDFS, S3, GCS URIs); an unsupported file system
+    reports nothing."""
     try:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(directory)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return sorted(str(s.getPath()) for s in fs.listStatus(path)
-                      if s.isFile() and s.getPath().getName().startswith("_"))
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(directory if "://" in directory else "file://" + _local(directory))
+        infos = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+        return sorted(i.path for i in infos if i.type == pafs.FileType.File and i.base_name.startswith("_"))
     except Exception:  # noqa: BLE001 - listing is a report only
         return []
 
