@@ -106,3 +106,14 @@ def test_maps_from_dir_s5_s6_t22(spark, tmp_dir):
     assert [r.exclude_codes for r in maps.review] == [("G318",), ()]  # T22
     assert maps.medication == (("ARIPT", "AChEI"),)  # bad include flag -> 0
     assert CodeMaps.default().diagnosis_prefixes == sorted(set(CodeMaps.default().diagnosis_prefixes))
+
+
+def test_profile_reports_unreadable_footer(spark, tmp_dir):
+    s = os.path.join(tmp_dir, "op2")
+    os.makedirs(s)
+    with open(f"{s}/a_bad.parquet.gzip", "w") as fh:
+        fh.write("not parquet")
+    _pq(f"{s}/b_ok.parquet.gzip", {"ENC_HN": ["p"], "D001KEY": ["20150101"], "D036KEY": ["9224"]})
+    rows = {r["file_name"]: r["columns"] for r in profile_sources(spark, [s]).collect()}
+    assert rows["a_bad.parquet.gzip"].startswith("SCHEMA_ERROR: ")
+    assert rows["b_ok.parquet.gzip"] == "ENC_HN, D001KEY, D036KEY"
