@@ -7,6 +7,7 @@ oracle SQL in ``cohortkit.checks.oracle``.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,15 +25,26 @@ from cohortkit.sources.derived import DERIVED_WINDOW, DerivedSources
 
 DERIVED_STUDY_WINDOW = StudyWindow(*DERIVED_WINDOW)
 
+# Derived source definitions per session and table folder, like temp views over the driver
+# tables: lazy DataFrames only (no data is cached; every query runs its whole plan).
+_SOURCES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DerivedSources]]" = weakref.WeakKeyDictionary()
+
+
+def derived_sources(spark: SparkSession, sf_dir: str) -> DerivedSources:
+    per_session = _SOURCES.setdefault(spark, {})
+    if sf_dir not in per_session:
+        per_session[sf_dir] = DerivedSources(spark, sf_dir)
+    return per_session[sf_dir]
+
 
 def derived_plan(spark: SparkSession, sf_dir: str, maps: CodeMaps | None = None) -> CohortPlan:
-    return CohortPlan(spark, DerivedSources(spark, sf_dir), maps or CodeMaps.default(), DERIVED_STUDY_WINDOW)
+    return CohortPlan(spark, derived_sources(spark, sf_dir), maps or CodeMaps.default(), DERIVED_STUDY_WINDOW)
 
 
 # -- scalar-function queries (E1, E2, E4/E5/J6) ---------------------------------------------
 def q_normalize_codes(spark, sf_dir):
     """E1 over every raw diagnosis and drug code: raw -> normalized, with row counts."""
-    src = DerivedSources(spark, sf_dir)
+    src = derived_sources(spark, sf_dir)
     parts = [src.diagnosis().select(F.lit("diagnosis").alias("source"), F.col("D035KEY").alias("raw_code"))]
     for df in src.medication_layouts().values():
         _, code_col = resolve_medication_columns(df.columns)
@@ -44,7 +56,7 @@ def q_normalize_codes(spark, sf_dir):
 
 def q_parse_dates(spark, sf_dir):
     """E2 over every raw event-date text: text -> timestamp (null when unparsable)."""
-    src = DerivedSources(spark, sf_dir)
+    src = derived_sources(spark, sf_dir)
     parts = [src.diagnosis().select(F.lit("diagnosis").alias("source"), F.col("D001KEY").alias("raw_date"))]
     for df in src.medication_layouts().values():
         date_col, _ = resolve_medication_columns(df.columns)
@@ -65,7 +77,7 @@ def q_prefix_match(spark, sf_dir):
                   | {(c, "schizophrenia") for c in maps.schizophrenia} | {(r.code, "review") for r in maps.review})
     lengths = sorted({len(c) for c, _ in rows})
     mp = spark.createDataFrame(rows, "prefix string, map_name string")
-    codes = DerivedSources(spark, sf_dir).diagnosis().select(normalize_code(F.col("D035KEY")).alias("code")).distinct()
+    codes = derived_sources(spark, sf_dir).diagnosis().select(normalize_code(F.col("D035KEY")).alias("code")).distinct()
     cand = codes.select("code", F.explode(F.array(*[F.substring("code", 1, k) for k in lengths])).alias("prefix"))
     cand = cand.distinct()
     return cand.join(F.broadcast(mp), "prefix", "inner").select("code", "prefix", "map_name").distinct()

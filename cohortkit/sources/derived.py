@@ -119,7 +119,15 @@ class DerivedSources:
         )
 
     # -- diagnosis (S2 shape: ENC_HN, D001KEY, D035KEY) -------------------------------------
+    def _memo(self, key: str, build):
+        if key not in self._frames:
+            self._frames[key] = build()
+        return self._frames[key]
+
     def diagnosis(self) -> DataFrame:
+        return self._memo("diagnosis", self._diagnosis)
+
+    def _diagnosis(self) -> DataFrame:
         x = self.lines()
         d001 = F.when((F.col("kd") == 4) & (F.col("ln") == 7), F.lit("n/a")).otherwise(_date_text(F.col("od"), F.col("ln")))
         return _as_source(
@@ -134,6 +142,9 @@ class DerivedSources:
 
     # -- order / medication, three layouts ---------------------------------------------------
     def medication_layouts(self) -> dict[str, DataFrame]:
+        return dict(self._memo("medication", self._medication_layouts))
+
+    def _medication_layouts(self) -> dict[str, DataFrame]:
         """Layout A (order: REC_DATE, PROP_HELP, CODE), B (BillDate, freetext, Drugcode),
         C (D001KEY, Comment, DSPCode); A also carries the same-day co-prescriptions."""
         x = self.lines()
@@ -155,6 +166,9 @@ class DerivedSources:
 
     # -- procedures: operation (D036KEY) and surgery (OPR_1, OPR_2) --------------------------
     def procedure_layouts(self) -> dict[str, DataFrame]:
+        return dict(self._memo("procedure", self._procedure_layouts))
+
+    def _procedure_layouts(self) -> dict[str, DataFrame]:
         x = self.lines()
         code = _range_case(F.col("kp"), PROC_CODE_BY_KP, PROC_CODE_DEFAULT)
         date = _date_text(F.col("sd"), F.col("ln"))
@@ -171,6 +185,9 @@ class DerivedSources:
 
     # -- demographic (S7 shape: ENC_HN, D020AT3 as double yyyymmdd) --------------------------
     def demographic(self) -> DataFrame:
+        return self._memo("demographic", self._demographic)
+
+    def _demographic(self) -> DataFrame:
         c = self._table("customer").select("c_custkey")
         key = F.col("c_custkey")
         birth = F.date_add(F.lit(BIRTH_BASE), ((key * BIRTH_MULTIPLIER) % BIRTH_SPAN_DAYS).cast("int"))
