@@ -45,6 +45,23 @@ def _rows(agg_one_row: DataFrame, rows: list[list[Column]], names: list[str]) ->
     return agg_one_row.select(F.inline(F.array(*structs)))
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _rows_sql(agg_one_row: DataFrame, rows: list[list[str]], names: list[str]) -> DataFrame:
+    """``_rows`` with SQL cell expressions: the whole fixed grid is one expression, built by
+    the JVM in a single call instead of one call per cell."""
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"{_sql_str(n)}, {e}" for n, e in zip(names, r)) + ")" for r in rows)
+    return agg_one_row.selectExpr(f"inline(array({structs}))")
+
+
+def _pct_sql(n: str, total: str) -> str:
+    """SQL of ``_pct`` (same operation order; ``100.0D`` is a double literal)."""
+    return f"CASE WHEN {total} > 0 THEN {n} / {total} * 100.0D ELSE 0.0D END"
+
+
 def _pct(n: Column, total: Column) -> Column:
     """n / total * 100 in double, 0.0 when the total is 0 (same operation order as published)."""
     return F.when(total > 0, n / total * F.lit(100.0)).otherwise(F.lit(0.0))
@@ -87,27 +104,19 @@ def exclusion_steps(base: DataFrame) -> DataFrame:
 
 
 # -- subtype distribution and transition (A13-A17) ----------------------------------------
-def _distribution_agg(labelled: DataFrame) -> DataFrame:
-    ini, fin = F.col("Initial Label"), F.col("Final Label")
-    return labelled.agg(
-        F.count(F.lit(1)).alias("n_total"),
-        *[F.count_if(ini == lab).alias(f"i_{lab}") for lab in DISTRIBUTION_ORDER],
-        *[F.count_if(fin == lab).alias(f"f_{lab}") for lab in DISTRIBUTION_ORDER],
-    )
-
-
 def subtype_distribution(labelled: DataFrame) -> DataFrame:
     """N and unrounded % at index and final per subtype, plus a Total row (T19: the
     rounded text is a display step, see ``subtype_distribution_display``)."""
-    agg = _distribution_agg(labelled)
+    agg = labelled.selectExpr(
+        "count(1) AS n_total",
+        *[f"count_if(`Initial Label` = {_sql_str(lab)}) AS i_{lab}" for lab in DISTRIBUTION_ORDER],
+        *[f"count_if(`Final Label` = {_sql_str(lab)}) AS f_{lab}" for lab in DISTRIBUTION_ORDER],
+    )
     display = dict(SUBTYPE_DISPLAY)
-    n = F.col("n_total")
-    rows = []
-    for i, lab in enumerate(DISTRIBUTION_ORDER):
-        ni, nf = F.col(f"i_{lab}"), F.col(f"f_{lab}")
-        rows.append([F.lit(i + 1), F.lit(display[lab]), ni, _pct(ni, n), nf, _pct(nf, n)])
-    rows.append([F.lit(len(DISTRIBUTION_ORDER) + 1), F.lit("Total"), n, F.lit(100.0), n, F.lit(100.0)])
-    return _rows(agg, rows, ["row_order", "Subtype", "Index n", "Index %", "Final n", "Final %"])
+    rows = [[str(i + 1), _sql_str(display[lab]), f"i_{lab}", _pct_sql(f"i_{lab}", "n_total"),
+             f"f_{lab}", _pct_sql(f"f_{lab}", "n_total")] for i, lab in enumerate(DISTRIBUTION_ORDER)]
+    rows.append([str(len(DISTRIBUTION_ORDER) + 1), "'Total'", "n_total", "100.0D", "n_total", "100.0D"])
+    return _rows_sql(agg, rows, ["row_order", "Subtype", "Index n", "Index %", "Final n", "Final %"])
 
 
 def subtype_distribution_display(labelled: DataFrame) -> DataFrame:
@@ -125,22 +134,21 @@ def subtype_distribution_display(labelled: DataFrame) -> DataFrame:
 def subtype_transition(labelled: DataFrame) -> DataFrame:
     """Initial x final counts on the fixed grid, row totals, unrounded row %,
     and a column-total row."""
-    ini, fin = F.col("Initial Label"), F.col("Final Label")
-    agg = labelled.agg(*[
-        F.count_if((ini == a) & (fin == b)).alias(f"t_{a}_{b}") for a in TRANSITION_ORDER for b in TRANSITION_ORDER
+    agg = labelled.selectExpr(*[
+        f"count_if(`Initial Label` = {_sql_str(a)} AND `Final Label` = {_sql_str(b)}) AS t_{a}_{b}"
+        for a in TRANSITION_ORDER for b in TRANSITION_ORDER
     ])
     rows = []
     for i, a in enumerate(TRANSITION_ORDER):
-        cells = [F.col(f"t_{a}_{b}") for b in TRANSITION_ORDER]
-        total = sum(cells[1:], cells[0])
-        rows.append([F.lit(i + 1), F.lit(a), *cells, total, *[_pct(x, total) for x in cells]])
-    col_tot = [sum([F.col(f"t_{a}_{b}") for a in TRANSITION_ORDER[1:]], F.col(f"t_{TRANSITION_ORDER[0]}_{b}"))
-               for b in TRANSITION_ORDER]
-    grand = sum(col_tot[1:], col_tot[0])
-    rows.append([F.lit(len(TRANSITION_ORDER) + 1), F.lit("Column Total"), *col_tot, grand,
-                 *[F.lit(None).cast("double") for _ in TRANSITION_ORDER]])
+        cells = [f"t_{a}_{b}" for b in TRANSITION_ORDER]
+        total = "(" + " + ".join(cells) + ")"
+        rows.append([str(i + 1), _sql_str(a), *cells, total, *[_pct_sql(x, total) for x in cells]])
+    col_tot = ["(" + " + ".join(f"t_{a}_{b}" for a in TRANSITION_ORDER) + ")" for b in TRANSITION_ORDER]
+    grand = "(" + " + ".join(col_tot) + ")"
+    rows.append([str(len(TRANSITION_ORDER) + 1), "'Column Total'", *col_tot, grand,
+                 *["CAST(NULL AS DOUBLE)" for _ in TRANSITION_ORDER]])
     names = ["row_order", TRANSITION_KEY, *TRANSITION_ORDER, "Row Total", *[f"{b} %" for b in TRANSITION_ORDER]]
-    return _rows(agg, rows, names)
+    return _rows_sql(agg, rows, names)
 
 
 def subtype_transition_display(labelled: DataFrame) -> DataFrame:
