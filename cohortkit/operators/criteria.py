@@ -1,9 +1,15 @@
 """Exact criteria (P5): merge the three patient summaries and apply the exclusion rules.
 
-All inputs are one row per patient and come out of an aggregate hashed on ``ENC_HN``, so
-the full-outer and left joins below are sort-merge joins that reuse that partitioning (or
-become broadcast joins under AQE when a side is measured small). Null handling follows T12:
-every comparison that may meet a missing value is wrapped in ``coalesce(.., false)``.
+Two equivalent merges feed ``apply_criteria``:
+
+* ``merged_summaries`` (join form, J2 + J3) over stored summaries: every input is one row per
+  patient hashed on ``ENC_HN``, and the joins are ordered so that none re-shuffles;
+* ``merged_summaries_from_events``: one aggregate over the union of the three filtered event
+  streams (a single shuffle with map-side combining), used by lazily composed plans and by
+  the streaming refresh.
+
+Null handling follows T12: every comparison that may meet a missing value is wrapped in
+``coalesce(.., false)``.
 """
 
 from __future__ import annotations

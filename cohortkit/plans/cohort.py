@@ -193,4 +193,11 @@ class CohortPlan:
         save("flow_by_availability", reports.flow_report(base, by="availability"))
         save("flow_by_index", reports.flow_report(base, by="index"))
         save("exclusion_steps", reports.exclusion_steps(base))
+        save("age_exception_stats", reports.age_exception_stats(indexed))
+        save("age_filter_counts", reports.age_filter_counts(indexed))
+        # codes under review from the stored working table: its distinct codes per
+        # (patient, time) give the same distinct-patient counts as the events
+        dx_codes = dxw.select("ENC_HN", F.explode(F.split("D035KEY", ", ")).alias("code"))
+        save("review_code_counts", reports.review_code_counts(dx_codes, self.maps))
+        save("memantine_during_rt_events", radiotherapy.memantine_during_rt(mdw, rts))
         return written

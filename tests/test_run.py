@@ -13,11 +13,14 @@ def test_run_writes_tables_equal_to_lazy_plan(spark, tmp_dir):
                 "exact_criteria_base", "exact_med_evaluated", "inferred_unspecified", "final_cohort_exact_step",
                 "exact_criteria_counts", "potential_age_issues", "dementia_index", "dementia_index_labelled",
                 "subtype_distribution", "subtype_transition", "flow_by_availability", "flow_by_index",
-                "exclusion_steps", "index_with_age"}
+                "exclusion_steps", "index_with_age", "age_exception_stats", "age_filter_counts",
+                "review_code_counts", "memantine_during_rt_events"}
     assert expected <= set(written)
     for table, query in [("dx_summary", "dx_summary"), ("exact_criteria_base", "exact_criteria_base"),
                          ("dementia_index_labelled", "dementia_index_labelled"),
-                         ("subtype_transition", "subtype_transition"), ("potential_age_issues", "age_exceptions")]:
+                         ("subtype_transition", "subtype_transition"), ("potential_age_issues", "age_exceptions"),
+                         ("review_code_counts", "review_code_counts"), ("age_exception_stats", "age_exception_stats"),
+                         ("memantine_during_rt_events", "memantine_during_rt_events")]:
         stored = spark.read.parquet(written[table]).toPandas()
         lazy = QUERIES[query](spark, SF_SMALL).toPandas()
         assert rows_of(stored) == rows_of(lazy), table
