@@ -103,11 +103,18 @@ def _footer_reader(batches):
         yield pd.DataFrame({"path": pdf["path"], "signature": cols, "error": errs})
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
+        return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def footer_signatures(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str | None, str | None]]:
     """path -> (signature, error); footers are read on the executors, one task per slice."""
     if not paths:
         return {}
-    n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
+    n = max(1, min(len(paths), _parallelism(spark)))
     df = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
     out = df.mapInPandas(_footer_reader, "path string, signature string, error string").collect()
     return {r.path: (r.signature, r.error) for r in out}
