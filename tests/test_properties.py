@@ -2,6 +2,7 @@
 plus the published identities on the driver data."""
 
 import datetime as dt
+import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -36,7 +37,8 @@ demo_row = st.tuples(st.sampled_from(PATIENTS),
                      st.sampled_from([19400101.0, 19501231.0, 20000101.0, 20050615.0, None, 19990231.0]))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=int(os.environ.get("COHORTKIT_PROPERTY_EXAMPLES", "12")), deadline=None,
+          suppress_health_check=list(HealthCheck))
 @given(st.lists(dx_row, max_size=14), st.lists(med_row, max_size=10), st.lists(op_row, max_size=6),
        st.lists(demo_row, max_size=8))
 def test_plan_matches_rules(spark, dx, meds, ops, demo):
