@@ -44,3 +44,20 @@ def test_scan_reads_only_needed_columns(spark, tmp_dir):
     plan = physical(CohortPlan(spark, FileSources(spark, diagnosis_dir=d)).dx_summary)
     assert "ReadSchema: struct<ENC_HN:string,D001KEY:string,D035KEY:string>" in plan
     assert "WARD" not in plan and "NOTE" not in plan
+
+
+def test_labelled_cohort_needs_two_patient_shuffles(spark):
+    """Without broadcasts (large-scale sizes): the merged arms (one aggregate) and the birth dates
+    (one aggregate) are the only shuffles on the patient id; their join adds none."""
+    from cohortkit.plans.queries import derived_plan
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = physical(derived_plan(spark, SF_SMALL).labelled)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert plan.count("Exchange hashpartitioning(ENC_HN") == 2
