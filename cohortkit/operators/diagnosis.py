@@ -58,6 +58,25 @@ def dx_events(std: DataFrame, maps: CodeMaps, window: StudyWindow) -> DataFrame:
     )
 
 
+def dx_events_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow) -> DataFrame:
+    """F1 F2 F3 per layout, before the union (filter before union).
+
+    A typed date column gets the window as a plain comparison on the raw column, which the
+    Parquet reader receives as a pushed filter (row groups outside the window are skipped);
+    a text date column gets the parse-once window test after the code filter.
+    """
+    from cohortkit.operators.standardize import raw_window_filter, union_layouts
+    from cohortkit.schemas import DX_STANDARD
+
+    frames = []
+    for layout in layouts:
+        raw = raw_window_filter(layout, "D001KEY", window)
+        std = standardize_diagnosis(layout.filter(raw) if raw is not None else layout)
+        cond = F.col("ENC_HN").isNotNull() & prefix_match("code", maps.diagnosis_prefixes, normalized=True)
+        frames.append(std.filter(cond if raw is not None else cond & in_window("D001KEY", window)))
+    return union_layouts(spark, frames, DX_STANDARD)
+
+
 def flag_codes(code: Column | str, maps: CodeMaps) -> list[Column]:
     """The seven diagnosis flags of one normalized code."""
     return [prefix_match(code, prefixes, normalized=True).alias(name)

@@ -17,10 +17,15 @@ def med_working(standard: DataFrame, maps: CodeMaps, window: StudyWindow) -> Dat
     The code filter and the class lookup are literal ``InSet`` tests (no join); the map is
     bounded by the drug vocabulary.
     """
+    return _with_classes(
+        standard.filter(F.col("ENC_HN").isNotNull() & code_in("CODE", maps.relevant_drug_codes)
+                        & in_window("REC_DATE", window)), maps)
+
+
+def _with_classes(events: DataFrame, maps: CodeMaps) -> DataFrame:
     classes = maps.drug_classes()
     return (
-        standard.filter(F.col("ENC_HN").isNotNull() & code_in("CODE", maps.relevant_drug_codes)
-                        & in_window("REC_DATE", window))
+        events
         .select(
             "ENC_HN", "REC_DATE", "CODE",
             class_lookup("CODE", classes).alias("drug_class"),
@@ -31,6 +36,26 @@ def med_working(standard: DataFrame, maps: CodeMaps, window: StudyWindow) -> Dat
     )
 
 
+def med_working_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow) -> DataFrame:
+    """``med_working`` with the window applied per layout before the union: a plain,
+    pushable comparison on a typed raw date column, the parse-once test on text."""
+    from cohortkit.operators.standardize import (
+        raw_window_filter, resolve_medication_columns, standardize_medication, union_layouts,
+    )
+    from cohortkit.schemas import MED_STANDARD
+
+    frames = []
+    for layout in layouts:
+        cols = resolve_medication_columns(layout.columns)
+        if cols is None:
+            continue
+        raw = raw_window_filter(layout, cols[0], window)
+        std = standardize_medication(layout.filter(raw) if raw is not None else layout)
+        cond = F.col("ENC_HN").isNotNull() & code_in("CODE", maps.relevant_drug_codes)
+        frames.append(std.filter(cond if raw is not None else cond & in_window("REC_DATE", window)))
+    return _with_classes(union_layouts(spark, frames, MED_STANDARD), maps)
+
+
 def med_summary(working: DataFrame) -> DataFrame:
     """A4: per patient, earliest dementia-drug / AChEI / memantine / clozapine date."""
     d = F.col("REC_DATE")

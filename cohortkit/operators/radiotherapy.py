@@ -18,6 +18,25 @@ def rt_working(standard: DataFrame, maps: CodeMaps, window: StudyWindow) -> Data
                            & in_window("PROC_DATE", window))
 
 
+def rt_working_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow) -> DataFrame:
+    """``rt_working`` with the window applied per layout before the union (pushable on a typed
+    raw date column)."""
+    from cohortkit.operators.standardize import raw_window_filter, standardize_procedure, union_layouts
+    from cohortkit.schemas import PROC_STANDARD
+
+    frames = []
+    for layout in layouts:
+        if "D001KEY" not in layout.columns:
+            continue
+        raw = raw_window_filter(layout, "D001KEY", window)
+        std = standardize_procedure(layout.filter(raw) if raw is not None else layout)
+        if std is None:
+            continue
+        cond = F.col("ENC_HN").isNotNull() & prefix_match("PROC_CODE", maps.radiotherapy, normalized=True)
+        frames.append(std.filter(cond if raw is not None else cond & in_window("PROC_DATE", window)))
+    return union_layouts(spark, frames, PROC_STANDARD)
+
+
 def rt_summary(working: DataFrame, date_col: str = "PROC_DATE") -> DataFrame:
     """A5: first and last radiotherapy date per patient (partial aggregate, skew-safe)."""
     return working.groupBy("ENC_HN").agg(

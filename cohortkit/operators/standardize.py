@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortkit import schemas as S
 from cohortkit.functions.codes import normalize_code
@@ -90,6 +91,29 @@ def standardize_procedure(df: DataFrame) -> DataFrame | None:
     )
 
 
+def raw_window_filter(df: DataFrame, date_col: str, window) -> Column | None:
+    """F3 on the *raw* date column when it is typed, so the reader gets a pushed filter and
+    skips row groups outside the study window by their statistics; ``None`` for text (or
+    zoned) columns, whose window test has to follow the parse.
+
+    naive timestamp: ``start <= d <= end``; date: the same on whole days (``cast(d) >= start``
+    is ``d >= start`` or the next day when ``start`` has a time part; ``cast(d) <= end`` is
+    ``d <= date(end)``).
+    """
+    import datetime as _dt
+
+    from cohortkit.operators.diagnosis import ts_literal
+
+    dtype = _dtype(df, date_col)
+    c = F.col(date_col)
+    if isinstance(dtype, T.TimestampNTZType):
+        return c.between(ts_literal(window.start), ts_literal(window.end))
+    if isinstance(dtype, T.DateType):
+        lo = window.start.date() + (_dt.timedelta(days=1) if window.start.time() != _dt.time(0) else _dt.timedelta(0))
+        return c.between(F.lit(lo), F.lit(window.end.date()))
+    return None
+
+
 def standardize_diagnosis(df: DataFrame) -> DataFrame:
     """Diagnosis layout: fixed ENC_HN, D001KEY, D035KEY (a missing column is an error)."""
     return df.select(

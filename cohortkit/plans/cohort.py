@@ -43,7 +43,8 @@ class CohortPlan:
 
     @cached_property
     def dx_events(self) -> DataFrame:
-        return diagnosis.dx_events(self.dx_standardized, self.maps, self.window)
+        return diagnosis.dx_events_from_layouts(self.spark, self.sources.diagnosis_layouts().values(),
+                                                self.maps, self.window)
 
     @cached_property
     def dx_working(self) -> DataFrame:
@@ -66,7 +67,8 @@ class CohortPlan:
 
     @cached_property
     def med_working(self) -> DataFrame:
-        return medication.med_working(self.med_union, self.maps, self.window)
+        return medication.med_working_from_layouts(self.spark, self.sources.medication_layouts().values(),
+                                                   self.maps, self.window)
 
     @cached_property
     def med_summary(self) -> DataFrame:
@@ -85,7 +87,8 @@ class CohortPlan:
     def rt_working(self) -> DataFrame:
         if self.rt_method not in ("icd9", "billing", "both"):
             raise ValueError(f"rt_method must be icd9, billing or both, not {self.rt_method!r}")
-        icd9 = radiotherapy.rt_working(self.proc_union, self.maps, self.window)
+        icd9 = radiotherapy.rt_working_from_layouts(self.spark, self.sources.procedure_layouts().values(),
+                                                    self.maps, self.window)
         if self.rt_method == "icd9":
             return icd9
         billing = radiotherapy.rt_billing_working(self.med_union, self.maps, self.window).select(
