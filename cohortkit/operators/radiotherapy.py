@@ -53,6 +53,26 @@ def rt_billing_working(med_standard: DataFrame, maps: CodeMaps, window: StudyWin
     ).select("ENC_HN", "REC_DATE", "CODE", code_in("CODE", brain).alias("is_brain_spine"))
 
 
+def rt_billing_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow) -> DataFrame:
+    """``rt_billing_working`` per order/medication layout before the union (the window is
+    pushable on a typed raw date column)."""
+    from cohortkit.operators.standardize import (
+        raw_window_filter, resolve_medication_columns, standardize_medication, union_layouts,
+    )
+    from cohortkit.schemas import MED_STANDARD
+
+    frames = []
+    for layout in layouts:
+        cols = resolve_medication_columns(layout.columns)
+        if cols is None:
+            continue
+        raw = raw_window_filter(layout, cols[0], window)
+        std = standardize_medication(layout.filter(raw) if raw is not None else layout)
+        frames.append(std if raw is not None else std.filter(F.col("CODE").isNotNull()))
+    union = union_layouts(spark, frames, MED_STANDARD)
+    return rt_billing_working(union, maps, window)
+
+
 def rt_billing_summary(billing_working: DataFrame) -> DataFrame:
     """E31 + A5: billing-code radiotherapy course per patient."""
     return billing_working.groupBy("ENC_HN").agg(

@@ -91,7 +91,7 @@ class CohortPlan:
                                                     self.maps, self.window)
         if self.rt_method == "icd9":
             return icd9
-        billing = radiotherapy.rt_billing_working(self.med_union, self.maps, self.window).select(
+        billing = self.rt_billing_working.select(
             "ENC_HN", F.col("REC_DATE").alias("PROC_DATE"), F.col("CODE").alias("PROC_CODE"))
         return billing if self.rt_method == "billing" else icd9.unionByName(billing)
 
@@ -99,10 +99,14 @@ class CohortPlan:
     def rt_summary(self) -> DataFrame:
         return radiotherapy.rt_summary(self.rt_working)
 
+    @cached_property
+    def rt_billing_working(self) -> DataFrame:
+        return radiotherapy.rt_billing_from_layouts(self.spark, self.sources.medication_layouts().values(),
+                                                    self.maps, self.window)
+
     @cached_property
     def rt_billing_summary(self) -> DataFrame:
-        return radiotherapy.rt_billing_summary(
-            radiotherapy.rt_billing_working(self.med_union, self.maps, self.window))
+        return radiotherapy.rt_billing_summary(self.rt_billing_working)
 
     @cached_property
     def memantine_during_rt(self) -> DataFrame:

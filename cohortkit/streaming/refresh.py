@@ -24,10 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cohortkit.operators import criteria, diagnosis, medication, radiotherapy
-from cohortkit.operators.standardize import (
-    standardize_diagnosis, standardize_medication, standardize_procedure, union_layouts,
-)
-from cohortkit import schemas as S
 from cohortkit.schemas import StudyWindow
 from cohortkit.sources.codemaps import CodeMaps
 
@@ -57,16 +53,15 @@ def merged_summary_stream(spark: SparkSession, layouts: StreamLayouts, maps: Cod
     """Streaming per-patient merged summaries (the table J2 + J3 produce in batch)."""
     maps = maps or CodeMaps.default()
     window = window or StudyWindow()
-    dx_std = union_layouts(spark, [standardize_diagnosis(_stream(spark, f, s, layouts))
-                                   for f, s in layouts.diagnosis.items()], S.DX_STANDARD)
-    med_std = union_layouts(spark, [standardize_medication(_stream(spark, f, s, layouts))
-                                    for f, s in layouts.medication.items()], S.MED_STANDARD)
-    proc_std = union_layouts(spark, [standardize_procedure(_stream(spark, f, s, layouts))
-                                     for f, s in layouts.procedure.items()], S.PROC_STANDARD)
+
+    def streams(folders: dict[str, T.StructType]) -> list[DataFrame]:
+        return [_stream(spark, f, s, layouts) for f, s in folders.items()]
+
+    # the same per-layout filters as the batch plan, on streaming frames
     return criteria.merged_summaries_from_events(
-        diagnosis.dx_events(dx_std, maps, window),
-        medication.med_working(med_std, maps, window),
-        radiotherapy.rt_working(proc_std, maps, window),
+        diagnosis.dx_events_from_layouts(spark, streams(layouts.diagnosis), maps, window),
+        medication.med_working_from_layouts(spark, streams(layouts.medication), maps, window),
+        radiotherapy.rt_working_from_layouts(spark, streams(layouts.procedure), maps, window),
         maps,
     )
 
