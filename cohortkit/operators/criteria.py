@@ -189,6 +189,11 @@ def final_cohort(base: DataFrame) -> DataFrame:
 
 def exact_criteria_counts(base: DataFrame) -> DataFrame:
     """The twelve counters as (metric, value) rows, from one global aggregate."""
+    return to_long(exact_criteria_counts_wide(base), list(EXACT_COUNTERS), "metric", "value")
+
+
+def exact_criteria_counts_wide(base: DataFrame) -> DataFrame:
+    """The twelve counters as one row (one global aggregate, partial + final)."""
     c = F.col
     conds = {
         "medication_patients_evaluated": c("is_med_candidate"),
@@ -204,8 +209,7 @@ def exact_criteria_counts(base: DataFrame) -> DataFrame:
         "medication_excluded_patients": c("is_med_candidate") & ~c("is_med_qualifying"),  # T14
         "inferred_unspecified_patients": c("is_inferred_unspecified"),
     }
-    wide = base.agg(*[F.count_if(conds[name]).alias(name) for name in EXACT_COUNTERS])
-    return to_long(wide, list(EXACT_COUNTERS), "metric", "value")
+    return base.agg(*[F.count_if(conds[name]).alias(name) for name in EXACT_COUNTERS])
 
 
 def to_long(wide_one_row: DataFrame, names: list[str], key: str, value: str) -> DataFrame:

@@ -95,10 +95,9 @@ def flow_report(base: DataFrame, by: str = "availability") -> DataFrame:
 
 def exclusion_steps(base: DataFrame) -> DataFrame:
     """The medication exclusion steps (spacers dropped, T24 row kept)."""
-    from cohortkit.operators.criteria import exact_criteria_counts
+    from cohortkit.operators.criteria import exact_criteria_counts_wide
 
-    counts = exact_criteria_counts(base)
-    wide = counts.groupBy().pivot("metric", [m for _, m in EXCLUSION_STEPS]).agg(F.first("value"))
+    wide = exact_criteria_counts_wide(base)  # one aggregate; unpivoted in place below
     rows = [[F.lit(i + 1), F.lit(step), F.col(m).cast("bigint")] for i, (step, m) in enumerate(EXCLUSION_STEPS)]
     return _rows(wide, rows, ["step_order", "Step", "Patients"])
 
