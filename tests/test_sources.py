@@ -137,3 +137,34 @@ def test_file_lake_pipeline_equals_derived_pipeline(spark, tmp_dir):
     derived = derived_plan(spark, SF_SMALL)
     for name in ("med_standardized", "exact_base", "labelled"):
         assert rows_of(getattr(files, name).toPandas()) == rows_of(getattr(derived, name).toPandas()), name
+
+
+def test_maps_round_trip_through_csv(spark, tmp_dir):
+    """The built-in code lists written as map CSVs (published column layout, review lines
+    without exclude codes one field short) load back to the same CodeMaps."""
+    import csv
+
+    from cohortkit.sources import codemaps as M
+
+    m = os.path.join(tmp_dir, "maps_rt")
+    os.makedirs(m)
+
+    def write(name, header, rows):
+        with open(f"{m}/{name}", "w", newline="") as fh:
+            w = csv.writer(fh)
+            w.writerow(header)
+            w.writerows(rows)
+
+    write("dementia_icd10_map.csv", ["code", "match_type", "subtype", "group_name"],
+          [(c, "exact", s, "g") for c, s in M.DEMENTIA_ICD10])
+    write("mci_icd10_map.csv", ["code", "match_type", "group_name"], [(c, "exact", "MCI") for c in M.MCI_ICD10])
+    write("schizophrenia_icd10_map.csv", ["code", "match_type"], [(c, "prefix") for c in M.SCHIZOPHRENIA_ICD10])
+    write("review_code_map.csv",
+          ["code", "match_type", "domain", "review_group", "include_in_cohort", "exclude_codes", "note"],
+          [(c, mt, "diagnosis", g, "0", x, "note") if x else (c, mt, "diagnosis", g, "0", "a note")
+           for c, mt, g, x in M.REVIEW_CODES])
+    write("medication_map.csv", ["drug_code", "drug_name_normalized", "drug_class", "include_in_cohort"],
+          [(c, "n", k, "1") for c, k in M.MEDICATION])
+    write("clozapine_map.csv", ["drug_code", "drug_name_normalized"], [(c, "Clozapine") for c in M.CLOZAPINE])
+    write("radiotherapy_icd9_map.csv", ["code", "match_type"], [(c, "exact") for c in M.RADIOTHERAPY_ICD9])
+    assert CodeMaps.from_dir(spark, m) == CodeMaps.default()
