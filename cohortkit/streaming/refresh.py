@@ -90,3 +90,13 @@ def refresh_merged_summaries(spark: SparkSession, layouts: StreamLayouts, out_pa
 def refreshed_base(spark: SparkSession, merged_path: str) -> DataFrame:
     """The exact-criteria base (E13-E22) over the refreshed merged snapshot."""
     return criteria.apply_criteria(spark.read.parquet(merged_path))
+
+
+def refreshed_labelled(spark: SparkSession, merged_path: str, demographic: DataFrame) -> DataFrame:
+    """The labelled adult cohort (index date, age filter, initial and final labels) over the
+    refreshed snapshot: the batch steps P6/P7 on the per-patient table."""
+    from cohortkit.operators import index
+
+    cohort = criteria.final_cohort(refreshed_base(spark, merged_path))
+    indexed = index.index_with_age(cohort, index.birth_dates(demographic))
+    return index.label_subtypes(index.dementia_index(indexed))

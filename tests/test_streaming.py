@@ -8,7 +8,7 @@ from cohortkit.checks.compare import rows_of
 from cohortkit.operators import criteria
 from cohortkit.plans.queries import DERIVED_STUDY_WINDOW, derived_plan
 from cohortkit.sources.files import materialize_derived_lake
-from cohortkit.streaming.refresh import StreamLayouts, refresh_merged_summaries, refreshed_base
+from cohortkit.streaming.refresh import StreamLayouts, refresh_merged_summaries, refreshed_base, refreshed_labelled
 from tests.conftest import SF_SMALL
 
 FOLDERS = {"diagnosis": "diagnosis", "order": "medication", "medication_b": "medication",
@@ -46,3 +46,6 @@ def test_refresh_in_two_extracts_equals_batch(spark, tmp_dir):
     assert rows_of(refreshed_base(spark, out).toPandas()) == rows_of(batch.toPandas())
     assert rows_of(refreshed_base(spark, out).toPandas()) == rows_of(criteria.apply_criteria(
         spark.read.parquet(out)).toPandas())
+    plan = derived_plan(spark, SF_SMALL)
+    labelled = refreshed_labelled(spark, out, plan.sources.demographic())
+    assert rows_of(labelled.toPandas()) == rows_of(plan.labelled.toPandas())
