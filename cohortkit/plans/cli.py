@@ -35,6 +35,8 @@ def main(argv=None) -> dict:
     ap.add_argument("--procedure-dir", action="append", default=[])
     ap.add_argument("--demographic")
     ap.add_argument("--map-dir", help="code-map CSV folder (default: built-in maps)")
+    ap.add_argument("--pattern", default="*.parquet.gzip",
+                    help="file pattern of the order, medication and procedure folders")
     ap.add_argument("--rt-method", default="icd9", choices=["icd9", "billing", "both"],
                     help="radiotherapy course: ICD-9 procedures, billing codes, or both")
     ap.add_argument("--start", default="2010-01-01")
@@ -57,7 +59,7 @@ def main(argv=None) -> dict:
 
         window = StudyWindow(dt.datetime.fromisoformat(args.start), dt.datetime.fromisoformat(args.end))
         src = FileSources(spark, args.diagnosis_dir, args.order_dir, args.medication_dir,
-                          tuple(args.procedure_dir), args.demographic)
+                          tuple(args.procedure_dir), args.demographic, pattern=args.pattern)
         plan = CohortPlan(spark, src, maps, window, rt_method=args.rt_method)
     written = plan.run(args.out)
     print(json.dumps(written, indent=1))
