@@ -251,6 +251,8 @@ def read_map_csv(spark: SparkSession, path: str, columns: list[str]) -> list[dic
     if not list_files(spark, os.path.dirname(path) or ".", base_name(path)):
         return []
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    # header names as written, without a leading byte-order mark or surrounding blanks
+    df = df.toDF(*[c.lstrip("\ufeff").strip() for c in df.columns])
     present = [c for c in columns if c in df.columns]
     if columns[0] not in df.columns:  # S6: no code column -> empty map
         return []

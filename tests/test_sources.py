@@ -168,3 +168,11 @@ def test_maps_round_trip_through_csv(spark, tmp_dir):
     write("clozapine_map.csv", ["drug_code", "drug_name_normalized"], [(c, "Clozapine") for c in M.CLOZAPINE])
     write("radiotherapy_icd9_map.csv", ["code", "match_type"], [(c, "exact") for c in M.RADIOTHERAPY_ICD9])
     assert CodeMaps.from_dir(spark, m) == CodeMaps.default()
+
+
+def test_map_csv_with_byte_order_mark(spark, tmp_dir):
+    m = os.path.join(tmp_dir, "maps_bom")
+    os.makedirs(m)
+    with open(f"{m}/mci_icd10_map.csv", "w", encoding="utf-8-sig") as fh:
+        fh.write("code,match_type\nF06.7,exact\nR41,exact\n")
+    assert CodeMaps.from_dir(spark, m).mci == ("F067", "R41")
