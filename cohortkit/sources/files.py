@@ -140,7 +140,9 @@ def group_by_signature(spark: SparkSession, paths: list[str]) -> "OrderedDict[st
 
 
 def _read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(paths)
+    df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(paths)
+    # header names as written, without a leading byte-order mark
+    return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
 
 
 def read_group(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -176,3 +176,12 @@ def test_map_csv_with_byte_order_mark(spark, tmp_dir):
     with open(f"{m}/mci_icd10_map.csv", "w", encoding="utf-8-sig") as fh:
         fh.write("code,match_type\nF06.7,exact\nR41,exact\n")
     assert CodeMaps.from_dir(spark, m).mci == ("F067", "R41")
+
+
+def test_diagnosis_csv_with_byte_order_mark(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "dx_bom")
+    os.makedirs(d)
+    with open(f"{d}/a.csv", "w", encoding="utf-8-sig") as fh:
+        fh.write("ENC_HN,D001KEY,D035KEY\n0000123,20150101,F03\n")
+    rows = CohortPlan(spark, FileSources(spark, diagnosis_dir=d)).dx_events.collect()
+    assert [(r["ENC_HN"], r["code"]) for r in rows] == [("0000123", "F03")]
