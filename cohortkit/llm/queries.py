@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.llm import exact_dedup, mixing, packing, url_filters
+from cohortkit.llm import exact_dedup, mixing, packing, simhash, toxicity, url_filters
 from cohortkit.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -26,11 +30,17 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_source_mixing": op4_source_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE_SQL = {
