@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.llm import exact_dedup, mixing, packing, simhash, toxicity, url_filters
+from cohortkit.llm import exact_dedup, mixing, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
 from cohortkit.llm.common import table
 
 
@@ -30,6 +30,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -40,6 +48,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_source_mixing": op4_source_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
 }
 
