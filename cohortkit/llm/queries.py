@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.llm import exact_dedup, mixing, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
+from cohortkit.llm import exact_dedup, license_scan, mixing, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
 from cohortkit.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op4_source_mixing": op4_source_mixing,
+    "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,

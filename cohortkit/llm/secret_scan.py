@@ -41,7 +41,7 @@ CONTEXT_KEYS = (b"pass", b"pwd", b"credential", b"auth", b"bearer", b"private_ke
 WORDS = """password admin welcome login qwerty letmein monkey dragon master hello secret test user root pass guest love
 sunshine princess football baseball iloveyou shadow michael superman batman trustno ninja access flower hottie freedom
 whatever changeme default example sample dummy fake temp temporary demo token value string your here none null true false
-key apikey placeholder insert replace redacted hidden unknown change server system manager database oracle mysql postgres
+key api apikey placeholder insert replace redacted hidden unknown change server system manager database oracle mysql postgres
 service account public private config prod production staging local summer winter spring autumn monday friday january
 june july august october december company office computer internet network security""".split()
 RANK = {w: math.log10(i + 2) for i, w in enumerate(WORDS)}
@@ -50,7 +50,7 @@ LOOKALIKE = str.maketrans("013457@$", "oleastas")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
 NEXT = {a + b for row in ROWS for a, b in (*zip(row, row[1:]), *zip(row[::-1], row[::-1][1:]))}
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])[-/.](?:0[1-9]|1[0-2])[-/.](?:19|20)\d\d")
-DIGIT, LETTER, OTHER = 1.0, math.log10(26), math.log10(33)
+DIGIT, LETTER, OTHER, JOINT = 1.0, math.log10(26), math.log10(33), 0.6
 UNIT = 8  # longest repeated unit
 SEGMENT = 0.3  # log10 of the ways to join one more segment
 
@@ -70,7 +70,7 @@ def guess_cost(value: str) -> float:
     walk, until = 0, [0] * (UNIT + 1)
     for i in range(n):
         ch = value[i]
-        reach(i, i + 1, DIGIT if ch.isdigit() else LETTER + 0.3 * ch.isupper() if ch.isalpha() else OTHER)
+        reach(i, i + 1, DIGIT if ch.isdigit() else LETTER + 0.3 * ch.isupper() if ch.isalpha() else JOINT if ch in "_-." else OTHER)
         for j in range(i + 3, min(n, i + LONGEST) + 1):
             rank = RANK.get(plain[i:j])
             if rank is not None:
