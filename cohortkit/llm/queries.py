@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.llm import exact_dedup, license_scan, mixing, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
+from cohortkit.llm import exact_dedup, license_scan, mixing, ngram_lm, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
 from cohortkit.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
+    "op10_ngram_lm": op10_ngram_lm,
 }
 
 ORACLE_SQL = {

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from cohortkit.llm import common
 
-FIT_ROWS = 16_000
+FIT_ROWS = 10_000
 MAX_TERMS, MIN_DOCS, FACTORS = 4_000, 2, 6
 EPOCHS, BATCH, RATE, L2, SEED = 12, 64, 1.0, 1e-4, 7
 STEP0 = 1.0  # starting value of the squared-gradient sums: rare terms learn no faster than common ones
@@ -84,19 +84,20 @@ def fit(docs: list[np.ndarray], labels: np.ndarray) -> Machine:
     if not n or n1 in (0, n):
         rate = n1 / n if n else 0.0
         return Machine(none.astype(np.uint32), 35.0 * np.sign(rate - 0.5), none, none.reshape(0, FACTORS))
-    flat = np.concatenate(docs)
-    ids, inv = np.unique(flat, return_inverse=True)
-    row = np.repeat(np.arange(n), [len(d) for d in docs])
-    df, df1 = np.bincount(inv, minlength=len(ids)), np.bincount(inv, labels[row], minlength=len(ids))
+    ids, inv = np.unique(np.concatenate(docs), return_inverse=True)
+    inv = inv.astype(np.int32)
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(d) for d in docs])
+    df, df1 = np.bincount(inv, minlength=len(ids)), np.bincount(inv[labels[row] > 0], minlength=len(ids))
     expected = df * (n1 / n)
     chi = (df1 - expected) ** 2 / np.maximum(expected * (1 - n1 / n) * (1 - df / n), 1e-9)
     chi[(df < MIN_DOCS) | (df == n)] = -1
     keep = np.sort(np.argsort(-chi, kind="stable")[:MAX_TERMS])
     keep = keep[chi[keep] > 0]
-    new = np.full(len(ids), -1)
+    new = np.full(len(ids), -1, np.int32)
     new[keep] = np.arange(len(keep))
-    ok = new[inv] >= 0
-    idx, row = new[inv][ok], row[ok]
+    idx = new[inv]
+    idx, row, kept = idx[idx >= 0].astype(np.int64), row[idx >= 0], ids[keep]
+    del ids, inv, new, df, df1, expected, chi
     start = np.searchsorted(row, np.arange(n + 1))
     r = np.random.default_rng(SEED)
     bias, w, v = float(np.log(n1 / (n - n1))), np.zeros(len(keep)), r.normal(0, 0.02, (len(keep), FACTORS))
@@ -123,7 +124,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray) -> Machine:
             v[t] -= 0.2 * RATE * dv / np.sqrt(gv[t])
             gb += g.sum() ** 2
             bias -= 0.2 * RATE * g.sum() / np.sqrt(gb)
-    return Machine(ids[keep], bias, w, v)
+    return Machine(kept, bias, w, v)
 
 
 def held_out(doc_id: Column) -> Column:
