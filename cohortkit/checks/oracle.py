@@ -298,6 +298,14 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (
 
     out["exact_criteria_base"] = w("SELECT * FROM exact_base")
     out["refresh_exact_base"] = out["exact_criteria_base"]
+    out["exact_criteria_base_joined"] = out["exact_criteria_base"]
+    out["file_exact_base"] = out["exact_criteria_base"]
+    for name in ("dx_summary", "med_working", "rt_summary"):
+        out[f"file_{name}"] = out[name]
+    # the folders' own column names
+    out["source_profile"] = """SELECT * FROM (VALUES
+  ('operation', true, 'ENC_HN, D001KEY, D036KEY'), ('surgery', true, 'ENC_HN, D001KEY, OPR_1, OPR_2'),
+  ('order', true, 'ENC_HN, REC_DATE, PROP_HELP, CODE'), ('none', false, NULL)) AS t(folder, has_files, columns)"""
     out["exact_med_evaluated"] = w("SELECT * FROM exact_base WHERE is_med_candidate")
     out["inferred_unspecified"] = w("SELECT * FROM exact_base WHERE is_inferred_unspecified")
     out["final_cohort"] = w("SELECT * FROM final_cohort")
@@ -479,4 +487,5 @@ SELECT ENC_HN, min(REC_DATE) AS rt_first_date, max(REC_DATE) AS rt_last_date, co
 SELECT m.ENC_HN, m.REC_DATE, m.CODE, r.rt_first_date, r.rt_last_date
 FROM med_working m JOIN rt_summary r ON m.ENC_HN = r.ENC_HN
 WHERE m.drug_class = 'Memantine' AND m.REC_DATE BETWEEN r.rt_first_date AND r.rt_last_date""")
+    out["file_dementia_index_labelled"] = out["dementia_index_labelled"]
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -14,80 +15,26 @@ def normalize_code(col: Column | str) -> Column:
     return F.regexp_replace(F.upper(c.cast("string")), r"[^A-Z0-9]", "")
 
 
-# Normalized codes only contain these characters
-CODE_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
-_MAX_EXPANSION = 20000
-
-
-def _expanded_prefix_set(prefixes: list[str]) -> tuple[int, list[str]] | None:
-    """Every string s over the code alphabet with len(s) <= K that starts with a prefix, where
-    K is the longest prefix: then ``code`` starts with a prefix exactly when
-    ``substring(code, 1, K)`` is in the set. ``None`` when the set would be too large."""
-    k = max(len(p) for p in prefixes)
-    size = sum(sum(len(CODE_ALPHABET) ** j for j in range(k - len(p) + 1)) for p in prefixes)
-    if size > _MAX_EXPANSION:
-        return None
-    out: set[str] = set()
-    for p in prefixes:
-        level = [p]
-        out.update(level)
-        for _ in range(k - len(p)):
-            level = [x + ch for x in level for ch in CODE_ALPHABET]
-            out.update(level)
-    return k, sorted(out)
-
-
-def prefix_match(col: Column | str, prefixes: Iterable[str], normalized: bool = False) -> Column:
-    """E5 / J6 (literal form): true when the code starts with any of ``prefixes``.
-
-    For a normalized code (alphabet ``[A-Z0-9]``) the test is one hash lookup,
-    ``substring(code, 1, K) IN <prefixes expanded to length K>``; otherwise prefixes are
-    grouped by length, one lookup per length. Either way the code expression is referenced
-    once or a few times, inside whole-stage codegen, with no join, no shuffle and no row
-    duplication. An empty list is ``false``.
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    plist = sorted(set(p for p in prefixes if p))
-    if normalized and plist and all(set(p) <= set(CODE_ALPHABET) for p in plist):
-        exp = _expanded_prefix_set(plist)
-        if exp is not None:
-            k, values = exp
-            if isinstance(col, str):
-                # same InSet, handed to the JVM as one expression instead of one call per literal
-                return F.expr(f"coalesce(substring({_ident(col)}, 1, {k}) IN ({_sql_list(values)}), false)")
-            return F.coalesce(F.substring(c, 1, k).isin(values), F.lit(False))
-    by_len: dict[int, list[str]] = {}
-    for p in sorted(set(p for p in prefixes if p)):
-        by_len.setdefault(len(p), []).append(p)
-    if not by_len:
-        return F.lit(False)
-    cond = None
-    for k in sorted(by_len):
-        vals = by_len[k]
-        term = F.substring(c, 1, k).isin(vals) if len(vals) > 1 else F.substring(c, 1, k) == F.lit(vals[0])
-        cond = term if cond is None else (cond | term)
-    # a null code matches nothing (not null), as a plain string test would not
-    return F.coalesce(cond, F.lit(False))
-
-
-def _ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _sql_list(values: Iterable[str]) -> str:
-    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
-
-
 def prefix_regex(prefixes: Iterable[str]) -> str:
     """Anchored alternation, longest prefix first; an empty list is an error."""
-    import re
-
     escaped = sorted(set(re.escape(p) for p in prefixes if p), key=lambda s: (-len(s), s))
     if not escaped:
         raise ValueError("no diagnosis prefixes in the code maps")
     return "^(?:" + "|".join(escaped) + ")"
 
 
+def prefix_match(col: Column | str, prefixes: Iterable[str]) -> Column:
+    """E5 / J6 (literal form): true when the code starts with any of ``prefixes``; false for a null
+    code or an empty list.
+
+    One anchored pattern (E4), so the code expression is evaluated once per row inside
+    whole-stage codegen: no join, no shuffle, and the same form whatever the map holds.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    plist = sorted(set(p for p in prefixes if p))
+    return F.coalesce(c.rlike(prefix_regex(plist)), F.lit(False)) if plist else F.lit(False)
+
+
 def code_in(col: Column | str, codes: Iterable[str]) -> Column:
     """Exact set membership (F4, E12), ``false`` for an empty set or a null code."""
     c = F.col(col) if isinstance(col, str) else col

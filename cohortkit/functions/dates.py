@@ -11,26 +11,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# FIXED VALUES: accepted text formats of event dates, in the order they are tried
-EVENT_DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")
+# FIXED VALUES: accepted text formats of event dates, in the order they are tried; between
+# separators one digit is enough (2015-1-5)
+EVENT_DATE_FORMATS = ("yyyyMMdd", "yyyy-M-d", "yyyy-M-d H:m:s")
 # FIXED VALUES: text format of a date of birth once ".0" is removed
 BIRTH_DATE_FORMAT = "yyyyMMdd"
 DAYS_PER_YEAR = 365
 
 
 def _text_to_ts(s: Column) -> Column:
-    """The three fixed-width formats, each tried only on text of its width.
+    """The three formats, each tried only on text with its separators.
 
-    The width test is a cheap branch that keeps well-formed data away from the parser's
-    failure path (a failed ``try_`` parse costs an exception inside the JVM); text of
-    another width can never match a fixed-width pattern anyway.
+    Text without ``-`` can match the first format only, text with ``-`` and without a colon the
+    second, text with both the third, so the test loses nothing; it keeps well-formed data away
+    from the parser's failure path (a failed ``try_`` parse costs an exception inside the JVM).
     """
-    n = F.length(s)
-    ymd = F.when(n == len("yyyyMMdd"), F.try_to_date(s, EVENT_DATE_FORMATS[0]))
-    iso = F.when(n == len("yyyy-MM-dd"), F.try_to_date(s, EVENT_DATE_FORMATS[1]))
+    dash, colon = s.contains("-"), s.contains(":")
+    ymd = F.when(~dash, F.try_to_date(s, EVENT_DATE_FORMATS[0]))
+    iso = F.when(dash & ~colon, F.try_to_date(s, EVENT_DATE_FORMATS[1]))
     # The datetime pattern validates the text; the value itself comes from the zone-free
     # timestamp_ntz cast, so a DST gap of the session zone cannot move it.
-    with_time = F.when((n == len("yyyy-MM-dd HH:mm:ss"))
+    with_time = F.when(dash & colon
                        & F.try_to_timestamp(s, F.lit(EVENT_DATE_FORMATS[2])).isNotNull(),
                        s.try_cast("timestamp_ntz"))
     return F.coalesce(ymd.cast("timestamp_ntz"), iso.cast("timestamp_ntz"), with_time)

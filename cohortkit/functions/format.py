@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_MAX_EXACT = float(2 ** 40)  # larger magnitudes fall back to format_string (integers there)
+_MAX_EXACT = float(2 ** 53)  # every double from here on is an integer: nothing to round
 _TINY = 0.004  # |x| below this rounds to 0.00 whatever the tie rule
 
 

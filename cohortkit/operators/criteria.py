@@ -80,13 +80,13 @@ def merged_summaries_from_events(dx_events: DataFrame, med_working: DataFrame, r
     code = F.col("code")
     no = F.lit(None).cast("boolean")
     dx_flags = {
-        "f_dementia": prefix_match("code", g["is_dementia"], normalized=True),
-        "f_ad": prefix_match("code", g["is_ad"], normalized=True),
-        "f_vad": prefix_match("code", g["is_vad"], normalized=True),
-        "f_other": prefix_match("code", g["is_other"], normalized=True),
+        "f_dementia": prefix_match("code", g["is_dementia"]),
+        "f_ad": prefix_match("code", g["is_ad"]),
+        "f_vad": prefix_match("code", g["is_vad"]),
+        "f_other": prefix_match("code", g["is_other"]),
         "f_f03": code.startswith(UNSPECIFIED_DATE_PREFIX),
-        "f_mci": prefix_match("code", g["is_mci"], normalized=True),
-        "f_scz": prefix_match("code", g["is_schizophrenia"], normalized=True),
+        "f_mci": prefix_match("code", g["is_mci"]),
+        "f_scz": prefix_match("code", g["is_schizophrenia"]),
     }
     med_flags = {
         "f_dmed": F.col("is_dementia_med"),

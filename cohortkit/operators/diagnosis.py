@@ -42,22 +42,6 @@ def dx_standardized(spark, layouts) -> DataFrame:
     return union_layouts(spark, (standardize_diagnosis(d) for d in layouts), DX_STANDARD)
 
 
-def dx_events(std: DataFrame, maps: CodeMaps, window: StudyWindow) -> DataFrame:
-    """One row per kept source row: ENC_HN, D001KEY (timestamp_ntz), code.
-
-    Input is the standardized diagnosis table (``dx_standardized``). Rows are counted, never
-    keyed: duplicates of the source stay duplicates here. Null patient ids are dropped (T10,
-    deliberate).
-    """
-    # cheap and selective first: id present, code in a map; the date is parsed only for
-    # the rows that pass (the window test is false for a null date)
-    return std.filter(
-        F.col("ENC_HN").isNotNull()
-        & prefix_match("code", maps.diagnosis_prefixes, normalized=True)
-        & in_window("D001KEY", window)
-    )
-
-
 def dx_events_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow) -> DataFrame:
     """F1 F2 F3 per layout, before the union (filter before union).
 
@@ -72,14 +56,14 @@ def dx_events_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow)
     for layout in layouts:
         raw = raw_window_filter(layout, "D001KEY", window)
         std = standardize_diagnosis(layout.filter(raw) if raw is not None else layout)
-        cond = F.col("ENC_HN").isNotNull() & prefix_match("code", maps.diagnosis_prefixes, normalized=True)
+        cond = F.col("ENC_HN").isNotNull() & prefix_match("code", maps.diagnosis_prefixes)
         frames.append(std.filter(cond if raw is not None else cond & in_window("D001KEY", window)))
     return union_layouts(spark, frames, DX_STANDARD)
 
 
 def flag_codes(code: Column | str, maps: CodeMaps) -> list[Column]:
     """The seven diagnosis flags of one normalized code."""
-    return [prefix_match(code, prefixes, normalized=True).alias(name)
+    return [prefix_match(code, prefixes).alias(name)
             for name, prefixes in maps.diagnosis_groups().items()]
 
 
@@ -123,13 +107,13 @@ def _summarize(codes: DataFrame, maps: CodeMaps) -> DataFrame:
 
     c = F.col("code")
     return codes.groupBy("ENC_HN").agg(
-        first(prefix_match("code", groups["is_dementia"], normalized=True), "diagnosis_date"),
-        first(prefix_match("code", groups["is_ad"], normalized=True), "ad_date"),
-        first(prefix_match("code", groups["is_vad"], normalized=True), "vad_date"),
-        first(prefix_match("code", groups["is_other"], normalized=True), "other_date"),
+        first(prefix_match("code", groups["is_dementia"]), "diagnosis_date"),
+        first(prefix_match("code", groups["is_ad"]), "ad_date"),
+        first(prefix_match("code", groups["is_vad"]), "vad_date"),
+        first(prefix_match("code", groups["is_other"]), "other_date"),
         first(c.startswith(UNSPECIFIED_DATE_PREFIX), "unspecified_date"),  # E8 / T11: literal F03
-        first(prefix_match("code", groups["is_mci"], normalized=True), "mci_date"),
-        first(prefix_match("code", groups["is_schizophrenia"], normalized=True), "schizophrenia_date"),
-        F.bool_or(prefix_match("code", groups["is_mci"], normalized=True)).alias("has_mci_history"),
-        F.bool_or(prefix_match("code", groups["is_schizophrenia"], normalized=True)).alias("has_schizophrenia_history"),
+        first(prefix_match("code", groups["is_mci"]), "mci_date"),
+        first(prefix_match("code", groups["is_schizophrenia"]), "schizophrenia_date"),
+        F.bool_or(prefix_match("code", groups["is_mci"])).alias("has_mci_history"),
+        F.bool_or(prefix_match("code", groups["is_schizophrenia"])).alias("has_schizophrenia_history"),
     )

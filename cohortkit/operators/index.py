@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.dates import age_in_years, parse_birth_date
+from cohortkit.operators.standardize import patient_id
 
 # FIXED VALUES: display names of the index table
 INDEX_DISPLAY = (
@@ -18,7 +19,7 @@ ADULT_AGE = 18
 
 def _parsed_dob(demographic: DataFrame) -> DataFrame:
     return demographic.select(
-        F.col("ENC_HN").cast("string").alias("ENC_HN"),
+        patient_id(demographic).alias("ENC_HN"),
         parse_birth_date(F.col("D020AT3"), demographic.schema["D020AT3"].dataType).alias("dob"),
     )
 

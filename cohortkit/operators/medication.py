@@ -11,18 +11,9 @@ from cohortkit.schemas import StudyWindow
 from cohortkit.sources.codemaps import CodeMaps
 
 
-def med_working(standard: DataFrame, maps: CodeMaps, window: StudyWindow) -> DataFrame:
-    """Dementia-drug and clozapine events with their class and flags.
-
-    The code filter and the class lookup are literal ``InSet`` tests (no join); the map is
-    bounded by the drug vocabulary.
-    """
-    return _with_classes(
-        standard.filter(F.col("ENC_HN").isNotNull() & code_in("CODE", maps.relevant_drug_codes)
-                        & in_window("REC_DATE", window)), maps)
-
-
 def _with_classes(events: DataFrame, maps: CodeMaps) -> DataFrame:
+    """Class and flags of the kept drug events. The class lookup is a literal ``InSet`` test
+    (no join); the map is bounded by the drug vocabulary."""
     classes = maps.drug_classes()
     return (
         events
@@ -37,7 +28,7 @@ def _with_classes(events: DataFrame, maps: CodeMaps) -> DataFrame:
 
 
 def med_working_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow) -> DataFrame:
-    """``med_working`` with the window applied per layout before the union: a plain,
+    """Dementia-drug and clozapine events, filtered per layout before the union: a plain,
     pushable comparison on a typed raw date column, the parse-once test on text."""
     from cohortkit.operators.standardize import (
         raw_window_filter, resolve_medication_columns, standardize_medication, union_layouts,

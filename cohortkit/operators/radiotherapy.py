@@ -11,15 +11,8 @@ from cohortkit.schemas import StudyWindow
 from cohortkit.sources.codemaps import CodeMaps
 
 
-def rt_working(standard: DataFrame, maps: CodeMaps, window: StudyWindow) -> DataFrame:
-    """Procedure events whose ICD-9 code starts with a radiotherapy code."""
-    return standard.filter(F.col("ENC_HN").isNotNull()
-                           & prefix_match("PROC_CODE", maps.radiotherapy, normalized=True)
-                           & in_window("PROC_DATE", window))
-
-
 def rt_working_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow) -> DataFrame:
-    """``rt_working`` with the window applied per layout before the union (pushable on a typed
+    """Procedure events whose ICD-9 code starts with a radiotherapy code, filtered per layout before the union (the window is pushable on a typed
     raw date column)."""
     from cohortkit.operators.standardize import raw_window_filter, standardize_procedure, union_layouts
     from cohortkit.schemas import PROC_STANDARD
@@ -32,7 +25,7 @@ def rt_working_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow)
         std = standardize_procedure(layout.filter(raw) if raw is not None else layout)
         if std is None:
             continue
-        cond = F.col("ENC_HN").isNotNull() & prefix_match("PROC_CODE", maps.radiotherapy, normalized=True)
+        cond = F.col("ENC_HN").isNotNull() & prefix_match("PROC_CODE", maps.radiotherapy)
         frames.append(std.filter(cond if raw is not None else cond & in_window("PROC_DATE", window)))
     return union_layouts(spark, frames, PROC_STANDARD)
 
@@ -83,27 +76,15 @@ def rt_billing_summary(billing_working: DataFrame) -> DataFrame:
     )
 
 
-SALT_BUCKETS = 16
-
-
-def memantine_during_rt(med_working: DataFrame, rt_summary_df: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def memantine_during_rt(med_working: DataFrame, rt_summary_df: DataFrame) -> DataFrame:
     """Every memantine event inside its patient's radiotherapy course.
 
     An equi-join on the patient id plus a range predicate. The course side has one row per
-    patient (no fan-out). Against a hot patient holding a large share of the events, the
-    join key is salted: each event gets a deterministic salt (hash of its date and code,
-    so a re-run task assigns the same salt) and the course row is replicated once per salt,
-    so the hot patient's events spread over ``salt_buckets`` tasks. When the course table is
-    measured small, AQE turns the join into a broadcast join instead.
+    patient (no fan-out). Equal events are counted before the join, map-side first, and
+    repeated after it, so a hot patient brings at most one row per day and code to the join.
     """
-    mem = med_working.filter(F.col("drug_class") == "Memantine").select("ENC_HN", "REC_DATE", "CODE")
-    if salt_buckets and salt_buckets > 1:
-        mem = mem.withColumn("_salt", F.pmod(F.xxhash64("REC_DATE", "CODE"), F.lit(salt_buckets)).cast("int"))
-        courses = rt_summary_df.select("ENC_HN", "rt_first_date", "rt_last_date",
-                                       F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_salt"))
-        keys = ["ENC_HN", "_salt"]
-    else:
-        courses, keys = rt_summary_df, ["ENC_HN"]
-    return mem.join(courses, keys, "inner").filter(
+    keys = ["ENC_HN", "REC_DATE", "CODE"]
+    mem = med_working.filter(F.col("drug_class") == "Memantine").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return mem.join(rt_summary_df, "ENC_HN", "inner").filter(
         F.col("REC_DATE").between(F.col("rt_first_date"), F.col("rt_last_date"))
-    ).select("ENC_HN", "REC_DATE", "CODE", "rt_first_date", "rt_last_date")
+    ).select(*keys, "rt_first_date", "rt_last_date", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).drop("col")

@@ -197,29 +197,30 @@ def age_exception_stats(indexed: DataFrame) -> DataFrame:
 
 
 # -- stage counts (A7, F8) -----------------------------------------------------------------
-def stage_counts(plan) -> DataFrame:
-    """Rows and distinct patients per stage, as (metric, value)."""
-    def rows_and_patients(df: DataFrame, prefix: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(f"{prefix}_rows"),
-                      F.count_distinct("ENC_HN").alias(f"{prefix}_patients"))
-
-    dx = rows_and_patients(plan.dx_working, "dx_working")
-    dxs = plan.dx_summary.agg(F.count(F.lit(1)).alias("dx_summary_patients"),
-                              F.count_if(F.col("diagnosis_date").isNotNull()).alias("icd10_dementia_patients"))
-    md = rows_and_patients(plan.med_working, "med_working")
-    mds = plan.med_summary.agg(F.count(F.lit(1)).alias("med_summary_patients"),
-                               F.count_if(F.col("medication_date").isNotNull()).alias("medication_dementia_patients"))
-    rt = rows_and_patients(plan.rt_working, "rt_working")
-    rts = plan.rt_summary.agg(F.count(F.lit(1)).alias("rt_summary_patients"))
+def stage_counts(dx_working: DataFrame, med_working: DataFrame, rt_working: DataFrame) -> DataFrame:
+    """Rows and distinct patients per stage, as (metric, value).
+
+    One scan per arm: the arm's working table is reduced to a row per patient (its number of
+    rows and whether it has the arm's dementia signal), and one global aggregate counts those.
+    A summary has a row for each patient of its working table.
+    """
     from cohortkit.operators.criteria import to_long
 
+    arms = [
+        (dx_working, F.col("is_dementia"),
+         ("dx_working_rows", "dx_working_patients", "dx_summary_patients", "icd10_dementia_patients")),
+        (med_working, F.col("is_dementia_med"),
+         ("med_working_rows", "med_working_patients", "med_summary_patients", "medication_dementia_patients")),
+        (rt_working, F.lit(False), ("rt_working_rows", "rt_working_patients", "rt_summary_patients")),
+    ]
     parts = []
-    for df in (dx, dxs, md, mds, rt, rts):
-        parts.append(to_long(df, df.columns, "metric", "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("metric", F.col("value").cast("bigint").alias("value"))
+    for df, hit, names in arms:
+        per = df.groupBy("ENC_HN").agg(F.count(F.lit(1)).alias("n"), F.bool_or(hit).alias("hit"))
+        patients = F.count(F.lit(1))
+        values = [F.coalesce(F.sum("n"), F.lit(0)), patients, patients, F.count_if(F.col("hit"))]
+        wide = per.agg(*[v.alias(name) for v, name in zip(values, names)])
+        parts.append(to_long(wide, wide.columns, "metric", "value"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("metric", F.col("value").cast("bigint").alias("value"))
 
 
 # -- age filter and dropped ids (T16, T10) -------------------------------------------------------
@@ -283,23 +284,22 @@ def review_code_counts(dx_events: DataFrame, maps: CodeMaps) -> DataFrame:
         else:
             cond = code.startswith(row["code"])
             if row["exclude"]:
-                cond = cond & ~prefix_match("code", row["exclude"], normalized=True)
+                cond = cond & ~prefix_match("code", row["exclude"])
         tags.append(F.when(cond, F.lit(f"r{row['row_order']}")))
         if not row["exclude"]:
             groups.append(F.when(cond, F.lit("g" + row["review_group"])))
     pairs = dx_events.select("ENC_HN", "code").filter(F.col("ENC_HN").isNotNull())
     tagged = pairs.select("ENC_HN", F.explode(F.array_compact(F.array(*tags, *groups))).alias("tag"))
     counts = tagged.groupBy("tag").agg(F.count_distinct("ENC_HN").alias("n"))
+    cells = [(r["row_order"], r["review_group"], r["code_group"], ", ".join(r["exclude"]) or None, kind, tag) for r in rows
+             for kind, tag in (("n", f"r{r['row_order']}"), ("group_n", "g" + r["review_group"]))]
     dim = dx_events.sparkSession.createDataFrame(
-        [(r["row_order"], r["review_group"], r["code_group"], ", ".join(r["exclude"]) or None) for r in rows],
-        "row_order int, review_group string, code_group string, exclusion_note string",
-    )
-    row_n = counts.filter(F.col("tag").startswith("r")).select(
-        F.substring("tag", 2, 10).cast("int").alias("row_order"), F.col("n"))
-    grp_n = counts.filter(F.col("tag").startswith("g")).select(
-        F.expr("substring(tag, 2)").alias("review_group"), F.col("n").alias("group_n"))
-    out = (dim.join(F.broadcast(row_n), "row_order", "left").join(F.broadcast(grp_n), "review_group", "left")
-           .select("row_order", "review_group", "code_group", "exclusion_note",
-                   F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-                   F.coalesce("group_n", F.lit(0)).cast("bigint").alias("group_n")))
+        cells, "row_order int, review_group string, code_group string, exclusion_note string, kind string, tag string")
+    # both numbers of a row are looked up in the same counts: one aggregate over the events
+    found = dim.join(F.broadcast(counts), "tag", "left")
+
+    def of(kind: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).cast("bigint").alias(kind)
+
+    out = found.groupBy("row_order", "review_group", "code_group", "exclusion_note").agg(of("n"), of("group_n"))
     return out.withColumn("pct", _pct(F.col("n"), F.col("group_n")))

@@ -37,6 +37,19 @@ def _dtype(df: DataFrame, name: str):
     return df.schema[name].dataType
 
 
+def patient_id(df: DataFrame, name: str = ID_COL) -> Column:
+    """The patient id as text, equal for equal numbers of any numeric type (1234567890 and
+    1.23456789E9 are one patient). A number that is not whole cannot be an id and raises. Text
+    ids are taken as they are, so ``0000123`` in a CSV and the number 123 are two ids (T25)."""
+    c, dtype = F.col(name), _dtype(df, name)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        c = F.when(~F.isnan(c), c)  # the missing id of a floating column
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
+        whole = c.cast("decimal(38,0)")
+        c = F.when(c.isNull() | (c == whole), whole).otherwise(F.raise_error(F.concat(F.lit("patient id is not a whole number: "), c.cast("string"))))
+    return c.cast("string")
+
+
 def resolve_medication_columns(columns: Iterable[str]) -> tuple[str, str] | None:
     """S8 + S9 on a set of column names; ``None`` when the layout cannot be used."""
     names = set(columns)
@@ -62,7 +75,7 @@ def standardize_medication(df: DataFrame) -> DataFrame | None:
         return None
     date_col, code_col = cols
     return df.select(
-        F.col(ID_COL).cast("string").alias("ENC_HN"),
+        patient_id(df).alias("ENC_HN"),
         parse_event_ts(F.col(date_col), _dtype(df, date_col)).alias("REC_DATE"),
         normalize_code(F.col(code_col)).alias("CODE"),
     )
@@ -73,7 +86,7 @@ def standardize_procedure(df: DataFrame) -> DataFrame | None:
     names = set(df.columns)
     if ID_COL not in names or "D001KEY" not in names:
         return None
-    hn = F.col(ID_COL).cast("string").alias("ENC_HN")
+    hn = patient_id(df).alias("ENC_HN")
     ts = parse_event_ts(F.col("D001KEY"), _dtype(df, "D001KEY")).alias("PROC_DATE")
     if "D036KEY" in names:
         return df.select(hn, ts, normalize_code(F.col("D036KEY")).alias("PROC_CODE"))
@@ -117,7 +130,7 @@ def raw_window_filter(df: DataFrame, date_col: str, window) -> Column | None:
 def standardize_diagnosis(df: DataFrame) -> DataFrame:
     """Diagnosis layout: fixed ENC_HN, D001KEY, D035KEY (a missing column is an error)."""
     return df.select(
-        F.col(ID_COL).cast("string").alias("ENC_HN"),
+        patient_id(df).alias("ENC_HN"),
         parse_event_ts(F.col("D001KEY"), _dtype(df, "D001KEY")).alias("D001KEY"),
         normalize_code(F.col("D035KEY")).alias("code"),
     )

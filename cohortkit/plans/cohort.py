@@ -195,8 +195,11 @@ class CohortPlan:
         save("potential_age_issues", index.age_exceptions(indexed))
         di = save("dementia_index", index.dementia_index(indexed))
         lab = save("dementia_index_labelled", index.label_subtypes(di))
-        save("subtype_distribution", reports.subtype_distribution(lab))
-        save("subtype_transition", reports.subtype_transition(lab))
+        save("subtype_distribution", reports.subtype_distribution_display(lab))
+        save("subtype_transition", reports.subtype_transition_display(lab))
+        # the unrounded forms, for checks
+        save("subtype_distribution_exact", reports.subtype_distribution(lab))
+        save("subtype_transition_exact", reports.subtype_transition(lab))
         save("flow_by_availability", reports.flow_report(base, by="availability"))
         save("flow_by_index", reports.flow_report(base, by="index"))
         save("exclusion_steps", reports.exclusion_steps(base))
@@ -207,4 +210,9 @@ class CohortPlan:
         dx_codes = dxw.select("ENC_HN", F.explode(F.split("D035KEY", ", ")).alias("code"))
         save("review_code_counts", reports.review_code_counts(dx_codes, self.maps))
         save("memantine_during_rt_events", radiotherapy.memantine_during_rt(mdw, rts))
+        save("stage_counts", reports.stage_counts(dxw, mdw, rtw))
+        save("null_id_counts", reports.null_id_counts(self))
+        profile = getattr(self.sources, "profile", None)
+        if profile:
+            save("source_profile", profile())
         return written

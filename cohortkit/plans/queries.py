@@ -92,7 +92,8 @@ def _plan_attr(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q_stage_counts(spark, sf_dir):
-    return reports.stage_counts(derived_plan(spark, sf_dir))
+    plan = derived_plan(spark, sf_dir)
+    return reports.stage_counts(plan.dx_working, plan.med_working, plan.rt_working)
 
 
 def q_exact_med_evaluated(spark, sf_dir):
@@ -160,21 +161,46 @@ def q_review_code_counts(spark, sf_dir):
     return reports.review_code_counts(plan.dx_events, plan.maps)
 
 
+# -- file sources (S1-S4, S7, S13): the same stages read back from files of mixed forms ----------
+def file_plan(spark, sf_dir) -> CohortPlan:
+    from cohortkit.sources.files import lake_sources, mixed_lake
+
+    return CohortPlan(spark, lake_sources(spark, mixed_lake(spark, sf_dir)), CodeMaps.default(), DERIVED_STUDY_WINDOW)
+
+
+def _file_attr(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A stage over the files; their numeric ids are padded as in the derived sources."""
+    def run(spark, sf_dir):
+        return getattr(file_plan(spark, sf_dir), name).withColumn("ENC_HN", F.lpad("ENC_HN", 7, "0"))
+    run.__name__ = f"q_file_{name}"
+    return run
+
+
 def q_source_profile(spark, sf_dir):
-    from cohortkit.sources.files import materialize_derived_lake, profile_sources
+    """S13 over the procedure and order folders: folder name, whether it has files, and the columns
+    of its sampled files (part-file names and counts depend on the cluster)."""
+    from cohortkit.sources.files import mixed_lake, profile_sources
+
+    lake = mixed_lake(spark, sf_dir)
+    prof = profile_sources(spark, [f"{lake}/{d}" for d in ("operation", "surgery", "order", "none")], pattern="*.parquet")
+    return prof.select(F.element_at(F.split("directory", "/"), -1).alias("folder"), (F.col("file_count") > 0).alias("has_files"),
+                       "columns").distinct()
 
-    lake = materialize_derived_lake(spark, sf_dir)
-    return profile_sources(spark, [f"{lake}/operation", f"{lake}/surgery", f"{lake}/order", f"{lake}/medication"])
+
+def q_exact_criteria_base_joined(spark, sf_dir):
+    """J2 J3 J7 in join form, as ``run`` merges the three stored summaries."""
+    plan = derived_plan(spark, sf_dir)
+    return criteria.exact_criteria_base(plan.dx_summary, plan.med_summary, plan.rt_summary)
 
 
 def q_refresh_exact_base(spark, sf_dir):
-    """Streaming refresh: the derived sources are written as extract files (four per layout),
-    merged per patient by a streaming aggregation over several micro-batches, and the exact
-    criteria applied to the snapshot. Equals ``exact_criteria_base``."""
+    """Streaming refresh: the derived sources are written as extract files, merged per patient by
+    a streaming aggregation, and the exact criteria applied to the snapshot. Equals
+    ``exact_criteria_base``."""
     from cohortkit.sources.files import materialize_derived_lake
     from cohortkit.streaming.refresh import StreamLayouts, refresh_merged_summaries, refreshed_base
 
-    lake = materialize_derived_lake(spark, sf_dir, split_layouts=True, files_per_layout=4)
+    lake = materialize_derived_lake(spark, sf_dir, split_layouts=True)
 
     def schema(folder):
         return spark.read.parquet(f"{lake}/{folder}").schema
@@ -183,7 +209,6 @@ def q_refresh_exact_base(spark, sf_dir):
         diagnosis={f"{lake}/diagnosis": schema("diagnosis")},
         medication={f"{lake}/{f}": schema(f) for f in ("order", "medication_b", "medication_c")},
         procedure={f"{lake}/{f}": schema(f) for f in ("operation", "surgery")},
-        max_files_per_trigger=6,
     )
     out = refresh_merged_summaries(spark, layouts, f"{lake}/merged_summaries", f"{lake}/refresh-checkpoint",
                                    window=DERIVED_STUDY_WINDOW)
@@ -228,5 +253,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rt_billing_summary": _plan_attr("rt_billing_summary"),
     "memantine_during_rt_events": _plan_attr("memantine_during_rt"),
     "source_profile": q_source_profile,
+    "file_dx_summary": _file_attr("dx_summary"),
+    "file_med_working": _file_attr("med_working"),
+    "file_rt_summary": _file_attr("rt_summary"),
+    "file_exact_base": _file_attr("exact_base"),
+    "file_dementia_index_labelled": _file_attr("labelled"),
+    "exact_criteria_base_joined": q_exact_criteria_base_joined,
     "refresh_exact_base": q_refresh_exact_base,
 }

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 TS = T.TimestampNTZType()
 STR = T.StringType()
-BOOL = T.BooleanType()
 
 
 def _struct(*fields) -> T.StructType:
@@ -18,20 +17,8 @@ def _struct(*fields) -> T.StructType:
 
 DX_STANDARD = _struct(("ENC_HN", STR), ("D001KEY", TS), ("code", STR))
 DX_FLAGS = ("is_dementia", "is_ad", "is_vad", "is_other", "is_unspecified", "is_mci", "is_schizophrenia")
-DX_WORKING = _struct(("ENC_HN", STR), ("D001KEY", TS), ("D035KEY", STR), *[(f, BOOL) for f in DX_FLAGS])
-DX_SUMMARY = _struct(
-    ("ENC_HN", STR), ("diagnosis_date", TS), ("ad_date", TS), ("vad_date", TS), ("other_date", TS),
-    ("unspecified_date", TS), ("mci_date", TS), ("schizophrenia_date", TS),
-    ("has_mci_history", BOOL), ("has_schizophrenia_history", BOOL),
-)
 MED_STANDARD = _struct(("ENC_HN", STR), ("REC_DATE", TS), ("CODE", STR))
-MED_WORKING = _struct(("ENC_HN", STR), ("REC_DATE", TS), ("CODE", STR), ("drug_class", STR),
-                      ("is_dementia_med", BOOL), ("is_clozapine", BOOL))
-MED_SUMMARY = _struct(("ENC_HN", STR), ("medication_date", TS), ("achei_date", TS), ("memantine_date", TS),
-                      ("clozapine_date", TS), ("has_clozapine_history", BOOL))
 PROC_STANDARD = _struct(("ENC_HN", STR), ("PROC_DATE", TS), ("PROC_CODE", STR))
-RT_SUMMARY = _struct(("ENC_HN", STR), ("rt_first_date", TS), ("rt_last_date", TS))
-DEMOGRAPHIC = _struct(("ENC_HN", STR), ("D020AT3", T.DoubleType()))
 
 
 @dataclass(frozen=True)

@@ -36,12 +36,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is only read here. When it is unset (a
-    local test run) a private scratch folder is created and registered for this session.
+    On a cluster this is set by the deployment and is only read here; without it a cluster run
+    raises, since executors would write to their own disks. A local run gets a private scratch
+    folder, registered for this session.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf
+    master = spark.conf.get("spark.master", "local")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     try:

@@ -161,11 +161,10 @@ class CodeMaps:
         }
 
     def drug_classes(self) -> dict[str, list[str]]:
+        """Codes by class; of a code that is listed twice the last row counts."""
         out: dict[str, list[str]] = {}
-        for code, cls in self.medication:
-            out.setdefault(cls, [])
-            if code not in out[cls]:
-                out[cls].append(code)
+        for code, cls in dict(self.medication).items():
+            out.setdefault(cls, []).append(code)
         return out
 
     @property
@@ -191,19 +190,22 @@ class CodeMaps:
 
     @classmethod
     def from_dir(cls, spark, map_dir: str) -> "CodeMaps":
-        """Read the map CSVs of ``map_dir``; a missing file or column is an empty map.
+        """Read the map CSVs of ``map_dir``. The dementia and medication maps must exist with
+        their columns and there must be a diagnosis prefix; another map that is missing is empty.
 
         Every column is read as text (no inference, T25). The maps are tiny dimension tables,
         so they are collected once to the driver.
         """
+        from cohortkit.functions.codes import prefix_regex
         from cohortkit.sources.files import read_map_csv
 
-        dem = read_map_csv(spark, f"{map_dir}/dementia_icd10_map.csv", ["code", "subtype"])
+        dem = read_map_csv(spark, f"{map_dir}/dementia_icd10_map.csv", ["code", "subtype"], required=True)
         mci = read_map_csv(spark, f"{map_dir}/mci_icd10_map.csv", ["code"])
         scz = read_map_csv(spark, f"{map_dir}/schizophrenia_icd10_map.csv", ["code"])
         rev = read_map_csv(spark, f"{map_dir}/review_code_map.csv",
                            ["code", "match_type", "review_group", "exclude_codes"])
-        med = read_map_csv(spark, f"{map_dir}/medication_map.csv", ["drug_code", "drug_class", "include_in_cohort"])
+        med = read_map_csv(spark, f"{map_dir}/medication_map.csv", ["drug_code", "drug_class", "include_in_cohort"],
+                           required=True)
         clz = read_map_csv(spark, f"{map_dir}/clozapine_map.csv", ["drug_code"])
         rt = read_map_csv(spark, f"{map_dir}/radiotherapy_icd9_map.csv", ["code"])
 
@@ -217,7 +219,7 @@ class CodeMaps:
             if _as_int(r.get("include_in_cohort")) != 1:  # bad or null -> 0
                 continue
             medication.append((normalize_code_value(r["drug_code"]), r.get("drug_class")))
-        return cls(
+        maps = cls(
             dementia=tuple((normalize_code_value(r["code"]), r.get("subtype")) for r in dem if _present(r.get("code"))),
             mci=codes(mci),
             schizophrenia=codes(scz),
@@ -231,6 +233,8 @@ class CodeMaps:
             radiotherapy=codes(rt),
             billing=cls.default().billing,
         )
+        prefix_regex(maps.diagnosis_prefixes)  # E4: raises when the maps hold no prefix
+        return maps
 
 
 def _present(v) -> bool:

@@ -1,32 +1,47 @@
 """File sources (S1-S4, S6, S7, S13) and the code-map CSV reader.
 
-Column resolution must follow each file's own schema (T8), so files are grouped by footer
-signature and every group is read once with ``spark.read.parquet(*paths)`` (or ``csv``);
-groups are standardized to the fixed schema and unioned. The driver only handles the file
-listing and one signature per file; footers are read on the executors in parallel.
-
-* Listing uses the ``binaryFile`` source without its ``content`` column (metadata only).
-* CSV (``.csv`` / ``.csv.gz``) is read with every column as text (T25); other suffixes are
-  Parquet (S1).
-* Hadoop-style listing hides names starting with ``_`` or ``.``; ``_`` names are reported
-  by ``hidden_files`` instead of being lost silently (T26).
+Column resolution must follow each file's own schema (T8), so files are grouped by schema and
+every group is read once with ``spark.read.parquet(*paths)`` (or ``csv``); groups are
+standardized to the fixed schema and unioned. The driver only handles the file listing and one
+schema per file.
+
+* Listing goes through the Hadoop file system of the path, so it sees what Spark's readers can
+  open (local, HDFS, object stores), takes the plain files of the folder only, and raises on
+  any error but a missing folder.
+* Spark's readers ignore files whose names start with ``_``. A file of that kind which holds
+  bytes is an error that names it (T26); empty ones are commit markers.
+* Schemas are read by Spark, many files at a time.
+* CSV (``.csv`` / ``.csv.gz``) is read with every column as text (T25), quoted fields may hold
+  line breaks and doubled quotes; other suffixes are Parquet (S1).
+* Parquet TIMESTAMP(NANOS), which Spark does not map to a type, is read as a number and made a
+  microsecond timestamp.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
+import weakref
 from collections import OrderedDict
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from fnmatch import fnmatchcase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cohortkit.functions.dates import parse_event_ts
 
 # FIXED VALUES: order files whose base name contains one of these are left out
 ORDER_EXCLUDED_YEARS = ("2023", "2024", "2025")
 # FIXED VALUES: default file pattern of the order, medication and procedure sources
 PARQUET_GZIP_PATTERN = "*.parquet.gzip"
+# FIXED VALUES: columns that hold dates in the hospital extract
+DATE_COLUMNS = ("REC_DATE", "D001KEY", "PerformDate", "BillDate", "D020AT3")
+SCHEMA_READERS = 16  # schemas read at a time
 
 
 def is_csv(path: str) -> bool:
@@ -39,117 +54,99 @@ def base_name(path: str) -> str:
 
 
 def list_files(spark: SparkSession, directory: str, pattern: str | None = None) -> list[str]:
-    """Sorted regular files of ``directory`` (optionally matching a glob), via ``binaryFile``.
+    """Sorted plain files of ``directory`` whose names match ``pattern``; never of its subfolders.
 
-    Only path metadata is read; an empty or missing directory gives an empty list.
+    A missing directory gives an empty list. Names starting with ``.`` are left out, as by a
+    shell pattern. A file named ``_..`` that holds bytes cannot be read by Spark and raises.
     """
-    reader = spark.read.format("binaryFile")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    try:
-        df = reader.load(directory).select("path")
-        return sorted(r.path for r in df.collect())
-    except Exception as exc:  # noqa: BLE001 - Spark raises for a missing/empty path
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "Unable to infer" in str(exc):
-            return []
-        raise
-
-
-def hidden_files(spark: SparkSession, directory: str) -> list[str]:
-    """Files whose names start with ``_`` (Spark's listing skips them); reported, not
-    read. Listed with ``pyarrow.fs`` (local, HDFS, S3, GCS URIs); an unsupported file system
-    reports nothing."""
-    try:
-        import pyarrow.fs as pafs
-
-        fs, root = pafs.FileSystem.from_uri(directory if "://" in directory else "file://" + _local(directory))
-        infos = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-        return sorted(i.path for i in infos if i.type == pafs.FileType.File and i.base_name.startswith("_"))
-    except Exception:  # noqa: BLE001 - listing is a report only
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return []
+    found, unread = [], []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if not status.isFile() or name.startswith(".") or (pattern and not fnmatchcase(name, pattern)):
+            continue
+        if name.startswith("_"):
+            if status.getLen():
+                unread.append(name)
+        else:
+            found.append(status.getPath().toString())
+    if unread:
+        raise ValueError(f"{directory}: Spark cannot read files whose names start with '_': {', '.join(sorted(unread))}")
+    return sorted(found)
 
 
-# -- footer signatures ------------------------------------------------------------------------
-def _local(path: str) -> str:
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def _footer_reader(batches):
-    import pandas as pd
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        cols, errs = [], []
-        for p in pdf["path"]:
-            try:
-                if is_csv(p):
-                    import gzip
-
-                    opener = gzip.open if p.lower().endswith(".gz") else open
-                    with opener(_local(p), "rt", encoding="utf-8", newline="") as fh:
-                        header = fh.readline().rstrip("\r\n")
-                    cols.append("csv:" + header)
-                else:
-                    schema = pq.read_schema(_local(p))
-                    cols.append("|".join(f"{f.name}:{f.type}" for f in schema))
-                errs.append(None)
-            except Exception as exc:  # noqa: BLE001
-                cols.append(None)
-                errs.append(f"{type(exc).__name__}: {exc}")
-        yield pd.DataFrame({"path": pdf["path"], "signature": cols, "error": errs})
-
-
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
-        return int(spark.conf.get("spark.default.parallelism", "8"))
+def _literal(path: str) -> str:
+    """``path`` with the characters that Spark's readers would expand as a pattern escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+# -- schemas ------------------------------------------------------------------------------------
+_NANOS: "weakref.WeakKeyDictionary[SparkSession, SparkSession]" = weakref.WeakKeyDictionary()
+
+
+def _nanos_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application that reads TIMESTAMP(NANOS) columns as numbers."""
+    if spark not in _NANOS:
+        _NANOS[spark] = spark.newSession()
+        _NANOS[spark].conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    return _NANOS[spark]
 
 
-def footer_signatures(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str | None, str | None]]:
-    """path -> (signature, error); footers are read on the executors, one task per slice."""
-    if not paths:
-        return {}
-    n = max(1, min(len(paths), _parallelism(spark)))
-    df = spark.createDataFrame([(p,) for p in paths], "path string").repartition(n)
-    out = df.mapInPandas(_footer_reader, "path string, signature string, error string").collect()
-    return {r.path: (r.signature, r.error) for r in out}
+Signature = tuple[str, tuple[tuple[str, str], ...]]
 
 
-def _driver_signature(spark: SparkSession, path: str) -> str:
+def file_signature(spark: SparkSession, path: str) -> Signature:
+    """Kind (csv, parquet, or nanos: Parquet with nanosecond timestamps) and (name, type) of each column."""
     if is_csv(path):
-        return "csv:" + ",".join(_read_csv(spark, [path]).columns)
-    return "|".join(f"{f.name}:{f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
-
-
-def group_by_signature(spark: SparkSession, paths: list[str]) -> "OrderedDict[str, list[str]]":
-    """Files with equal footer schema (or CSV header) together; unreadable footers are
-    retried on the driver through Spark, and a file that still fails raises."""
-    sigs = footer_signatures(spark, paths)
-    groups: "OrderedDict[str, list[str]]" = OrderedDict()
-    for p in paths:
-        sig, _err = sigs.get(p, (None, None))
-        if sig is None:
-            sig = _driver_signature(spark, p)
-        groups.setdefault(sig, []).append(p)
+        return "csv", tuple((c, "string") for c in _read_csv(spark, [path]).columns)
+    kind = "parquet"
+    try:
+        schema = spark.read.parquet(_literal(path)).schema
+    except Exception as exc:  # noqa: BLE001 - told apart by its text below
+        if "TIMESTAMP(NANOS" not in str(exc):
+            raise
+        kind, schema = "nanos", _nanos_session(spark).read.parquet(_literal(path)).schema
+    return kind, tuple((f.name, f.dataType.simpleString()) for f in schema.fields)
+
+
+def group_by_signature(spark: SparkSession, paths: list[str]) -> "OrderedDict[Signature, list[str]]":
+    """Files with equal schema (or CSV header) together; a file that cannot be read raises."""
+    groups: "OrderedDict[Signature, list[str]]" = OrderedDict()
+    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
+        for path, sig in zip(paths, pool.map(lambda p: file_signature(spark, p), paths)):
+            groups.setdefault(sig, []).append(path)
     return groups
 
 
 def _read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(paths)
+    df = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+          .option("multiLine", True).option("escape", '"').csv([_literal(p) for p in paths]))
     # header names as written, without a leading byte-order mark
     return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
 
 
-def read_group(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One signature group -> one DataFrame (CSV all-text, Parquet with its footer types)."""
-    if is_csv(paths[0]):
+def _nanos_to_timestamps(df: DataFrame) -> DataFrame:
+    """Numeric date columns of a file with nanosecond timestamps: eight digits are yyyyMMdd (T3),
+    anything else counts nanoseconds since 1970."""
+    for name in DATE_COLUMNS:
+        if name in df.columns and isinstance(df.schema[name].dataType, T.LongType):
+            c = F.col(name)
+            nanos = F.expr(f"timestampadd(MICROSECOND, {name} div 1000, timestamp_ntz'1970-01-01 00:00:00')")
+            df = df.withColumn(name, F.when(F.abs(c) < 10 ** 8, parse_event_ts(c)).otherwise(nanos))
+    return df
+
+
+def read_group(spark: SparkSession, paths: list[str], kind: str | None = None) -> DataFrame:
+    """One schema group -> one DataFrame (CSV all-text, Parquet with its own types)."""
+    kind = kind or file_signature(spark, paths[0])[0]
+    if kind == "csv":
         return _read_csv(spark, paths)
-    return spark.read.parquet(*paths)
+    if kind == "nanos":
+        return _nanos_to_timestamps(_nanos_session(spark).read.parquet(*[_literal(p) for p in paths]))
+    return spark.read.parquet(*[_literal(p) for p in paths])
 
 
 # -- sources ----------------------------------------------------------------------------------
@@ -170,21 +167,24 @@ class FileSources:
     demographic_path: str | None = None
     pattern: str = PARQUET_GZIP_PATTERN
     excluded_years: tuple[str, ...] = ORDER_EXCLUDED_YEARS
-    report: dict = field(default_factory=dict)
+    _memo: dict = field(default_factory=dict, repr=False)
 
     def _layouts(self, paths: list[str], name: str) -> dict[str, DataFrame]:
+        key = (name, *paths)
+        if key not in self._memo:  # schemas are read once for each list of files
+            self._memo[key] = self._grouped(paths, name)
+        return dict(self._memo[key])
+
+    def _grouped(self, paths: list[str], name: str) -> dict[str, DataFrame]:
         out: dict[str, DataFrame] = {}
-        for i, (sig, group) in enumerate(group_by_signature(self.spark, paths).items()):
-            out[f"{name}_{i}"] = read_group(self.spark, group)
-        self.report[name] = {"files": len(paths)}
+        for i, ((kind, _), group) in enumerate(group_by_signature(self.spark, paths).items()):
+            out[f"{name}_{i}"] = read_group(self.spark, group, kind)
         return out
 
     def diagnosis_layouts(self) -> dict[str, DataFrame]:
         if not self.diagnosis_dir:
             return {}
-        paths = list_files(self.spark, self.diagnosis_dir)
-        self.report["diagnosis_hidden"] = hidden_files(self.spark, self.diagnosis_dir)
-        return self._layouts(paths, "diagnosis")
+        return self._layouts(list_files(self.spark, self.diagnosis_dir), "diagnosis")
 
     def medication_files(self) -> list[str]:
         orders = [p for p in (list_files(self.spark, self.order_dir, self.pattern) if self.order_dir else [])
@@ -204,6 +204,10 @@ class FileSources:
     def procedure_layouts(self) -> dict[str, DataFrame]:
         return self._layouts(self.procedure_files(), "procedure")
 
+    def profile(self) -> DataFrame:
+        """The profile of the procedure folders."""
+        return profile_sources(self.spark, self.procedure_dirs, pattern=self.pattern)
+
     def demographic(self) -> DataFrame:
         if not self.demographic_path:
             return self.spark.createDataFrame([], "ENC_HN string, D020AT3 double")
@@ -211,51 +215,45 @@ class FileSources:
 
 
 # -- S13: source profile ------------------------------------------------------------------------
-def profile_sources(spark: SparkSession, directories: Iterable[str], max_files_per_dir: int = 3,
-                    pattern: str = "*.parquet*") -> DataFrame:
-    """Per directory: file count, the first ``n`` file names and their column lists.
+# FIXED VALUE: how a profile reports a file whose schema cannot be read
+SCHEMA_ERROR = "SCHEMA_ERROR: "
 
-    The listing stays distributed: counts are an aggregate and the sample is a
-    ``row_number`` window capped at ``n`` per directory (the feature is a sample). A file
-    whose footer cannot be read yields ``SCHEMA_ERROR: ..``.
-    """
-    from pyspark.sql.window import Window
 
-    frames = []
-    for d in directories:
+def profile_sources(spark: SparkSession, directories: Iterable[str], max_files_per_dir: int = 3,
+                    pattern: str = "*.parquet*") -> DataFrame:
+    """Per directory: file count, the first ``n`` file names and their column lists (the feature
+    is a sample). A file whose schema cannot be read yields ``SCHEMA_ERROR: ..``; a missing
+    directory profiles as zero files, any other listing error raises."""
+    def columns(path: str) -> str:
         try:
-            frames.append(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(d)
-                          .select(F.lit(d).alias("directory"), "path"))
-        except Exception:  # noqa: BLE001 - a missing directory profiles as zero files
-            frames.append(spark.createDataFrame([(d, None)], "directory string, path string"))
-    listing = frames[0]
-    for f in frames[1:]:
-        listing = listing.unionByName(f)
-    listing = listing.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
-    counts = listing.groupBy("directory").agg(F.count("path").alias("file_count"))
-    w = Window.partitionBy("directory").orderBy("file_name")
-    sample = listing.filter(F.col("path").isNotNull()).withColumn("sample_rank", F.row_number().over(w)) \
-        .filter(F.col("sample_rank") <= max_files_per_dir)
-    footers = sample.select("path").mapInPandas(_footer_reader, "path string, signature string, error string")
-    cols = F.when(F.col("signature").isNotNull(),
-                  F.regexp_replace(F.regexp_replace("signature", r":[^|]*", ""), r"\|", ", ")) \
-        .otherwise(F.concat(F.lit("SCHEMA_ERROR: "), F.col("error")))
-    prof = sample.join(footers, "path", "left").select("directory", "sample_rank", "file_name",
-                                                     cols.alias("columns"))
-    return counts.join(prof, "directory", "left").select(
-        "directory", "file_count", "sample_rank", "file_name", "columns")
+            return ", ".join(name for name, _ in file_signature(spark, path)[1])
+        except Exception as exc:  # noqa: BLE001 - reported in the profile
+            return f"{SCHEMA_ERROR}{type(exc).__name__}: {exc}"
+
+    listed = {d: list_files(spark, d, pattern) for d in directories}
+    sample = [(d, i + 1, p) for d, files in listed.items() for i, p in enumerate(files[:max_files_per_dir])]
+    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
+        found = list(pool.map(lambda s: columns(s[2]), sample))
+    rows = [(d, len(listed[d]), rank, base_name(p), cols) for (d, rank, p), cols in zip(sample, found)]
+    rows += [(d, 0, None, None, None) for d, files in listed.items() if not files]
+    return spark.createDataFrame(rows, "directory string, file_count long, sample_rank int, file_name string, columns string")
 
 
 # -- S5 / S6: code-map CSVs -------------------------------------------------------------------
-def read_map_csv(spark: SparkSession, path: str, columns: list[str]) -> list[dict]:
-    """A code map as a list of dicts with ``columns`` (all text). Missing file -> ``[]``; a
-    missing column reads as null. Maps are dimension tables of tens of rows."""
+def read_map_csv(spark: SparkSession, path: str, columns: list[str], required: bool = False) -> list[dict]:
+    """A code map as a list of dicts with ``columns`` (all text). A missing file or code column of
+    an optional map gives ``[]`` (S6) and a missing other column reads as null; a ``required``
+    map must exist with all its columns. Maps are dimension tables of tens of rows."""
     if not list_files(spark, os.path.dirname(path) or ".", base_name(path)):
+        if required:
+            raise FileNotFoundError(f"code map {path} does not exist")
         return []
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     # header names as written, without a leading byte-order mark or surrounding blanks
     df = df.toDF(*[c.lstrip("\ufeff").strip() for c in df.columns])
     present = [c for c in columns if c in df.columns]
+    if required and len(present) < len(columns):
+        raise ValueError(f"code map {path} has no column {', '.join(c for c in columns if c not in present)}")
     if columns[0] not in df.columns:  # S6: no code column -> empty map
         return []
     rows = df.select(*present).collect()
@@ -299,3 +297,56 @@ def materialize_derived_lake(spark: SparkSession, sf_dir: str, root: str | None
     write(proc["surgery"], "surgery")
     write(src.demographic(), "demographic")
     return root
+
+
+_LAKES: "weakref.WeakKeyDictionary[SparkSession, dict[str, str]]" = weakref.WeakKeyDictionary()
+
+
+def mixed_lake(spark: SparkSession, sf_dir: str) -> str:
+    """The derived sources as a lake of mixed forms under the shared folder, written once per session:
+
+    diagnosis: CSV, gzipped CSV, Parquet with timestamps and double ids, Parquet with dates and
+    integer ids; order: text dates; medication: integer dates and double ids (BillDate layout),
+    timestamps and D403KEY codes (PerformDate layout); operation: dates; surgery: text. Ids are
+    numbers without leading zeros everywhere.
+    """
+    from cohortkit.session import checkpoint_dir
+    from cohortkit.sources.derived import DerivedSources
+
+    lakes = _LAKES.setdefault(spark, {})
+    if sf_dir in lakes:
+        return lakes[sf_dir]
+    root = f"{checkpoint_dir(spark).rstrip('/')}/mixed-lake-{uuid.uuid4().hex[:12]}"
+    src = DerivedSources(spark, sf_dir)
+    number = F.col("ENC_HN").cast("bigint")
+
+    def ts(name: str, kind: str = "timestamp_ntz"):
+        return parse_event_ts(name).cast(kind).alias(name)
+
+    dx = src.diagnosis().withColumn("part", F.pmod(F.xxhash64("ENC_HN", "D001KEY", "D035KEY"), F.lit(4)))
+    text = [number.cast("string").alias("ENC_HN"), "D001KEY", "D035KEY"]
+    part = [dx.filter(F.col("part") == i) for i in range(4)]
+    plain = {"header": True, "escape": '"'}
+    part[0].select(*text).write.options(**plain).csv(f"{root}/diagnosis")
+    part[1].select(*text).write.options(**plain, compression="gzip").mode("append").csv(f"{root}/diagnosis")
+    part[2].select(number.cast("double").alias("ENC_HN"), ts("D001KEY"), "D035KEY").write.mode("append").parquet(f"{root}/diagnosis")
+    part[3].select(number.alias("ENC_HN"), ts("D001KEY", "date"), "D035KEY").write.mode("append").parquet(f"{root}/diagnosis")
+    med = src.medication_layouts()
+    med["order_a"].withColumn("ENC_HN", number).write.parquet(f"{root}/order")
+    day = F.date_format(parse_event_ts("BillDate"), "yyyyMMdd").cast("bigint")
+    med["medication_b"].select(number.cast("double").alias("ENC_HN"), day.alias("BillDate"), "freetext", "Drugcode") \
+        .write.parquet(f"{root}/medication")
+    med["medication_c"].select(number.cast("decimal(12,0)").alias("ENC_HN"), parse_event_ts("D001KEY").alias("PerformDate"),
+                               F.col("DSPCode").alias("D403KEY")).write.mode("append").parquet(f"{root}/medication")
+    proc = src.procedure_layouts()
+    proc["operation"].select(number.cast("int").alias("ENC_HN"), ts("D001KEY", "date"), "D036KEY").write.parquet(f"{root}/operation")
+    proc["surgery"].withColumn("ENC_HN", number.cast("string")).write.parquet(f"{root}/surgery")
+    src.demographic().withColumn("ENC_HN", number).write.parquet(f"{root}/demographic")
+    lakes[sf_dir] = root
+    return root
+
+
+def lake_sources(spark: SparkSession, root: str) -> FileSources:
+    """File sources over the folders of a lake written by this module."""
+    return FileSources(spark, f"{root}/diagnosis", f"{root}/order", f"{root}/medication", (f"{root}/operation", f"{root}/surgery"),
+                       f"{root}/demographic", pattern="*.parquet")

@@ -10,18 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_table(df: DataFrame, path: str, sort_within: list[str] | None = None,
-                partition_by: list[str] | None = None, mode: str = "overwrite") -> str:
+def write_table(df: DataFrame, path: str, sort_within: list[str] | None = None, mode: str = "overwrite") -> str:
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    w = out.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    out.write.mode(mode).parquet(path)
     return path
 
-
-def write_age_exceptions(indexed: DataFrame, path: str) -> str:
-    """The under-18 rows (an Excel sheet in the published pipeline) as a table."""
-    from cohortkit.operators.index import age_exceptions
-
-    return write_table(age_exceptions(indexed), path)

@@ -4,13 +4,12 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
 from cohortkit.plans.cohort import CohortPlan
+from cohortkit.plans.queries import QUERIES
 from cohortkit.sources.files import FileSources
 from tests.conftest import SF_SMALL
 
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-QUERIES = E.queries()
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow")
 
 
 def physical(df) -> str:

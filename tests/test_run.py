@@ -16,9 +16,13 @@ def test_run_writes_tables_equal_to_lazy_plan(spark, tmp_dir):
                 "exclusion_steps", "index_with_age", "age_exception_stats", "age_filter_counts",
                 "review_code_counts", "memantine_during_rt_events"}
     assert expected <= set(written)
+    published = spark.read.parquet(written["subtype_distribution"]).columns
+    assert set(published) >= {"Subtype", "Index n", "Index %", "Index n (%)", "Final n", "Final %", "Final n (%)"}
     for table, query in [("dx_summary", "dx_summary"), ("exact_criteria_base", "exact_criteria_base"),
                          ("dementia_index_labelled", "dementia_index_labelled"),
-                         ("subtype_transition", "subtype_transition"), ("potential_age_issues", "age_exceptions"),
+                         ("subtype_transition", "formatted_transition"), ("subtype_distribution", "formatted_percentages"),
+                         ("subtype_transition_exact", "subtype_transition"), ("stage_counts", "stage_counts"),
+                         ("null_id_counts", "null_id_counts"), ("potential_age_issues", "age_exceptions"),
                          ("review_code_counts", "review_code_counts"), ("age_exception_stats", "age_exception_stats"),
                          ("memantine_during_rt_events", "memantine_during_rt_events")]:
         stored = spark.read.parquet(written[table]).toPandas()
@@ -47,5 +51,7 @@ def test_cli_over_a_file_lake(spark, tmp_dir):
                     "--medication-dir", f"{lake}/medication", "--procedure-dir", f"{lake}/operation",
                     "--procedure-dir", f"{lake}/surgery", "--demographic", f"{lake}/demographic",
                     "--pattern", "*.parquet", "--start", "1996-01-01", "--end", "2001-06-30"])
+    assert {r["columns"] for r in spark.read.parquet(written["source_profile"]).collect()} == {
+        "ENC_HN, D001KEY, D036KEY", "ENC_HN, D001KEY, OPR_1, OPR_2"}
     stored = spark.read.parquet(written["dementia_index_labelled"]).toPandas()
     assert rows_of(stored) == rows_of(QUERIES["dementia_index_labelled"](spark, SF_SMALL).toPandas())

@@ -5,17 +5,26 @@ import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from cohortkit.operators.standardize import resolve_medication_columns
 from cohortkit.plans.cohort import CohortPlan
 from cohortkit.sources.codemaps import CodeMaps
 from cohortkit.sources.files import FileSources, list_files, profile_sources
+from tests.conftest import ROOT
 
 
 def _pq(path, cols: dict):
     pq.write_table(pa.table(cols), path)
 
 
+def required_maps(m):
+    with open(f"{m}/dementia_icd10_map.csv", "w") as fh:
+        fh.write("code,match_type,subtype\nG30.9,exact,AD\n")
+    with open(f"{m}/medication_map.csv", "w") as fh:
+        fh.write("drug_code,drug_name_normalized,drug_class,include_in_cohort\nARIP-T-,Donepezil,AChEI,1\n")
+
+
 def test_resolution_rules_s8_s9():
     assert resolve_medication_columns(["ENC_HN", "REC_DATE", "PROP_HELP", "CODE"]) == ("REC_DATE", "CODE")
     assert resolve_medication_columns(["ENC_HN", "BillDate", "freetext", "Drugcode"]) == ("BillDate", "Drugcode")
@@ -52,13 +61,12 @@ def test_diagnosis_csv_and_parquet_t25_t26(spark, tmp_dir):
         fh.write("ENC_HN,D001KEY,D035KEY\n0000123,20150101,F03\n")
     _pq(f"{d}/b.parquet", {"ENC_HN": ["0000456"], "D001KEY": pa.array([20150102], pa.int64()), "D035KEY": ["G30.9"]})
     _pq(f"{d}/c.parquet", {"ENC_HN": ["0000789"], "D001KEY": pa.array([dt.datetime(2015, 1, 3)]), "D035KEY": ["F01.9"]})
-    _pq(f"{d}/_d.parquet", {"ENC_HN": ["0000999"], "D001KEY": ["20150104"], "D035KEY": ["F03"]})
+    open(f"{d}/_SUCCESS", "w").close()  # an empty commit marker is no data file
     src = FileSources(spark, diagnosis_dir=d)
     plan = CohortPlan(spark, src)
     got = sorted((r["ENC_HN"], r["D001KEY"]) for r in plan.dx_events.collect())
     assert got == [("0000123", dt.datetime(2015, 1, 1)), ("0000456", dt.datetime(2015, 1, 2)),
                    ("0000789", dt.datetime(2015, 1, 3))]
-    assert [os.path.basename(p) for p in src.report["diagnosis_hidden"]] == ["_d.parquet"]
 
 
 def test_surgery_unpivot_s12(spark, tmp_dir):
@@ -102,7 +110,7 @@ def test_maps_from_dir_s5_s6_t22(spark, tmp_dir):
                  "ARIP-T-,Donepezil,AChEI,1\nXXX-T-,Other,AChEI,bad\n")
     maps = CodeMaps.from_dir(spark, m)
     assert maps.dementia == (("G309", "AD"), ("F03", "Unspecified"))
-    assert maps.mci == () and maps.clozapine == ()  # S6: missing files are empty maps
+    assert maps.mci == () and maps.clozapine == ()  # S6: missing optional files are empty maps
     assert [r.exclude_codes for r in maps.review] == [("G318",), ()]  # T22
     assert maps.medication == (("ARIPT", "AChEI"),)  # bad include flag -> 0
     assert CodeMaps.default().diagnosis_prefixes == sorted(set(CodeMaps.default().diagnosis_prefixes))
@@ -175,6 +183,7 @@ def test_map_csv_with_byte_order_mark(spark, tmp_dir):
     os.makedirs(m)
     with open(f"{m}/mci_icd10_map.csv", "w", encoding="utf-8-sig") as fh:
         fh.write("code,match_type\nF06.7,exact\nR41,exact\n")
+    required_maps(m)
     assert CodeMaps.from_dir(spark, m).mci == ("F067", "R41")
 
 
@@ -185,3 +194,137 @@ def test_diagnosis_csv_with_byte_order_mark(spark, tmp_dir):
         fh.write("ENC_HN,D001KEY,D035KEY\n0000123,20150101,F03\n")
     rows = CohortPlan(spark, FileSources(spark, diagnosis_dir=d)).dx_events.collect()
     assert [(r["ENC_HN"], r["code"]) for r in rows] == [("0000123", "F03")]
+
+
+@pytest.mark.parametrize("kind", ["diagnosis", "order", "medication", "procedure"])
+def test_underscore_files_are_named_t26(spark, tmp_dir, kind):
+    """Spark's readers skip names that start with ``_``: such a file must not be lost silently."""
+    d = os.path.join(tmp_dir, kind)
+    os.makedirs(d)
+    _pq(f"{d}/_x.parquet.gzip", {"ENC_HN": ["p"], "D001KEY": ["20150101"], "D035KEY": ["F03"]})
+    src = FileSources(spark, diagnosis_dir=d, order_dir=d, medication_dir=d, procedure_dirs=(d,))
+    with pytest.raises(ValueError, match="_x.parquet.gzip"):
+        getattr(src, {"diagnosis": "diagnosis_layouts", "procedure": "procedure_layouts"}.get(kind, "medication_layouts"))()
+
+
+def test_only_plain_files_of_the_folder(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "dx[1]")
+    os.makedirs(f"{d}/old=1")
+    _pq(f"{d}/d1.parquet", {"ENC_HN": ["p1"], "D001KEY": ["20150101"], "D035KEY": ["F03"]})
+    _pq(f"{d}/old=1/d2.parquet", {"ENC_HN": ["p9"], "D001KEY": ["20150101"], "D035KEY": ["F03"]})
+    _pq(f"{d}/.hidden.parquet", {"ENC_HN": ["p8"], "D001KEY": ["20150101"], "D035KEY": ["F03"]})
+    rows = CohortPlan(spark, FileSources(spark, diagnosis_dir=d)).dx_events.collect()
+    assert [r["ENC_HN"] for r in rows] == ["p1"]
+
+
+@pytest.mark.parametrize("dx_type", ["int64", "float64", "decimal", "string"])
+@pytest.mark.parametrize("med_type", ["int32", "float64", "decimal", "string"])
+def test_one_patient_across_id_types(spark, tmp_dir, dx_type, med_type):
+    from decimal import Decimal
+
+    def ids(kind):
+        if kind == "string":
+            return pa.array(["1234567", "77"])
+        if kind == "decimal":
+            return pa.array([Decimal("1234567"), Decimal("77")], pa.decimal128(20, 2))
+        return pa.array([1234567, 77], getattr(pa, kind)())
+
+    dx, md = os.path.join(tmp_dir, "dx"), os.path.join(tmp_dir, "md")
+    os.makedirs(dx), os.makedirs(md)
+    _pq(f"{dx}/a.parquet", {"ENC_HN": ids(dx_type), "D001KEY": ["20150101", "20140101"], "D035KEY": ["F03", "R41"]})
+    _pq(f"{md}/m.parquet.gzip", {"ENC_HN": ids(med_type), "BillDate": ["2015-01-01"] * 2, "freetext": ["x"] * 2, "Drugcode": ["ARIP-T-"] * 2})
+    base = CohortPlan(spark, FileSources(spark, diagnosis_dir=dx, medication_dir=md)).exact_base.collect()
+    assert sorted(r["ENC_HN"] for r in base) == ["1234567", "77"]
+
+
+def test_large_and_missing_and_broken_ids(spark):
+    from cohortkit.operators.standardize import patient_id
+
+    df = spark.createDataFrame([(1234567890.0,), (float("nan"),), (None,)], "ENC_HN double")
+    assert [r[0] for r in df.select(patient_id(df)).collect()] == ["1234567890", None, None]
+    bad = spark.createDataFrame([(1.5,)], "ENC_HN double")
+    with pytest.raises(Exception, match="not a whole number"):
+        bad.select(patient_id(bad)).collect()
+
+
+def test_nanosecond_timestamps(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "ns")
+    os.makedirs(d)
+    ns = pa.array([1420070400000000123, None, 1420156800000000000], pa.timestamp("ns"))
+    _pq(f"{d}/a.parquet", {"ENC_HN": pa.array([1, 2, 3], pa.int64()), "D001KEY": ns, "D035KEY": ["F03"] * 3})
+    _pq(f"{d}/b.parquet", {"ENC_HN": pa.array([4], pa.int64()), "D001KEY": pa.array([20150103], pa.int64()), "D035KEY": ["F03"]})
+    got = sorted((r["ENC_HN"], r["D001KEY"]) for r in CohortPlan(spark, FileSources(spark, diagnosis_dir=d)).dx_events.collect())
+    assert got == [("1", dt.datetime(2015, 1, 1)), ("3", dt.datetime(2015, 1, 2)), ("4", dt.datetime(2015, 1, 3))]
+    assert {r["columns"] for r in profile_sources(spark, [d]).collect()} == {"ENC_HN, D001KEY, D035KEY"}
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "q")
+    os.makedirs(d)
+    with open(f"{d}/a.csv", "w") as fh:
+        fh.write('ENC_HN,NOTE,D001KEY,D035KEY\n1,"a\nb",20150101,F03\n2,"said ""x"", y",2015-1-5,G30.9\n')
+    src = FileSources(spark, diagnosis_dir=d)
+    got = sorted((r["ENC_HN"], r["D001KEY"], r["code"]) for r in CohortPlan(spark, src).dx_events.collect())
+    assert got == [("1", dt.datetime(2015, 1, 1), "F03"), ("2", dt.datetime(2015, 1, 5), "G309")]
+    assert profile_sources(spark, [d], pattern="*").first()["columns"] == "ENC_HN, NOTE, D001KEY, D035KEY"
+
+
+def test_event_dates_agree_with_duckdb(spark):
+    import duckdb
+
+    from cohortkit.functions.dates import parse_event_ts
+
+    texts = ["2015-1-5", "20150105", "2015-01-05 03:04:05", "2015-1-5 3:4:5", "2015-13-01", "n/a", "", "2015-02-30", "201501", "2015-01-05 25:00:00",
+             "2015-12-31 23:59:59", "15-01-05x", "2015/01/05"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["x"] for r in df.select("t", parse_event_ts(df["t"]).alias("x")).collect()}
+    for t in texts:
+        want = duckdb.execute("SELECT coalesce(try_strptime(?, '%Y%m%d'), try_strptime(?, '%Y-%m-%d'), try_strptime(?, '%Y-%m-%d %H:%M:%S'))", [t] * 3).fetchone()[0]
+        assert got[t] == want, t
+
+
+def test_required_maps_must_exist(spark, tmp_dir):
+    from cohortkit.plans.cli import main
+
+    m = os.path.join(tmp_dir, "maps_req")
+    os.makedirs(m)
+    with pytest.raises(FileNotFoundError, match="dementia_icd10_map"):
+        CodeMaps.from_dir(spark, m)
+    with pytest.raises(FileNotFoundError):
+        main(["--out", f"{tmp_dir}/o", "--derived-from", "/root/testdata/sf0.001", "--map-dir", f"{tmp_dir}/nowhere"])
+    required_maps(m)
+    assert CodeMaps.from_dir(spark, m).dementia == (("G309", "AD"),)
+    with open(f"{m}/medication_map.csv", "w") as fh:
+        fh.write("drug_code,drug_class\nARIP-T-,AChEI\n")
+    with pytest.raises(ValueError, match="include_in_cohort"):
+        CodeMaps.from_dir(spark, m)
+    required_maps(m)
+    with open(f"{m}/dementia_icd10_map.csv", "w") as fh:
+        fh.write("code,match_type,subtype\n,exact,AD\n")
+    with pytest.raises(ValueError, match="no diagnosis prefixes"):
+        CodeMaps.from_dir(spark, m)
+
+
+def test_last_row_of_a_drug_code_counts(spark, tmp_dir):
+    m = os.path.join(tmp_dir, "maps_dup")
+    os.makedirs(m)
+    required_maps(m)
+    with open(f"{m}/medication_map.csv", "a") as fh:
+        fh.write("ARIP-T-,Donepezil,Memantine,1\n")
+    assert CodeMaps.from_dir(spark, m).drug_classes() == {"Memantine": ["ARIPT"]}
+
+
+def test_file_sources_from_another_directory(tmp_dir):
+    """Schemas are read by Spark itself, so executors need no copy of the package."""
+    import subprocess
+    import sys
+
+    d = os.path.join(tmp_dir, "dx_cwd")
+    os.makedirs(d)
+    _pq(f"{d}/a.parquet", {"ENC_HN": ["p1"], "D001KEY": ["20150101"], "D035KEY": ["F03"]})
+    code = (f"import sys; sys.path.insert(0, {ROOT!r})\nfrom cohortkit.session import local_session\n"
+            "from cohortkit.plans.cohort import CohortPlan\nfrom cohortkit.sources.files import FileSources\n"
+            f"s = local_session(1)\nprint('ROWS', CohortPlan(s, FileSources(s, diagnosis_dir={d!r})).dx_events.count())")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 1" in out.stdout, out.stderr[-2000:]
