@@ -108,7 +108,10 @@ class DerivedSources:
         o = self._table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
         pk, sk, ln, ok = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("o_orderkey")
-        return j.select(
+        # behind the generator every consumer sees the same join: filters and pruning stop above
+        # it, so its shuffles are equal in all branches of a plan and run once (ReusedExchange)
+        return _as_source(
+            j,
             F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("hn"),
             F.col("o_orderdate").alias("od"),
             F.col("l_shipdate").alias("sd"),

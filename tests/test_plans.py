@@ -85,3 +85,21 @@ def test_typed_dates_push_the_window_to_parquet(spark, tmp_dir):
     plan = physical(events)
     assert "PushedFilters: [IsNotNull(D001KEY), GreaterThanOrEqual(D001KEY,2010-01-01T00:00)" in plan
     assert "GreaterThanOrEqual(D001KEY,2010-01-01)" in plan  # the date-typed layout
+
+
+def test_derivation_join_runs_once(spark):
+    """Without broadcasts the derivation's join is shuffled once for all seven branches of the
+    cohort: the other branches reuse its exchanges."""
+    from cohortkit.plans.queries import derived_plan
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = physical(derived_plan(spark, SF_SMALL).exact_base)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("FileScan") == 2
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 3  # lineitem, orders, patients
