@@ -70,7 +70,8 @@ lines AS (
          (l.l_partkey*11 + l.l_suppkey*29 + l.l_linenumber*307 + o.o_orderkey*7) % 1000 AS kp
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 dx_src AS (
-  SELECT hn AS ENC_HN, CASE WHEN kd = 4 AND ln = 7 THEN 'n/a' ELSE {_text('od')} END AS D001KEY,
+  SELECT CASE WHEN kd <> 999 THEN hn END AS ENC_HN,
+         CASE WHEN kd = 4 AND ln = 7 THEN 'n/a' WHEN kd = 998 THEN concat_ws('-', year(od), month(od), day(od)) ELSE {_text('od')} END AS D001KEY,
          {_range_case('kd', D.DX_CODE_BY_KD, D.DX_CODE_DEFAULT)} AS D035KEY
   FROM lines),
 dxmap AS (SELECT * FROM {_values(dxmap_rows, ['grp', 'prefix'])}),
@@ -102,7 +103,7 @@ dx_summary AS (
     bool_or(is_mci) AS has_mci_history, bool_or(is_schizophrenia) AS has_schizophrenia_history
   FROM dx_flag GROUP BY ENC_HN),
 med_raw AS (
-  SELECT hn AS ENC_HN, {_text('sd')} AS date_text, {_range_case('km', D.MED_CODE_BY_KM, D.MED_CODE_DEFAULT)} AS raw_code,
+  SELECT CASE WHEN km <> 999 THEN hn END AS ENC_HN, {_text('sd')} AS date_text, {_range_case('km', D.MED_CODE_BY_KM, D.MED_CODE_DEFAULT)} AS raw_code,
          CASE ln % 3 WHEN 0 THEN 'order_a' WHEN 1 THEN 'medication_b' ELSE 'medication_c' END AS layout
   FROM lines
   UNION ALL
@@ -125,7 +126,7 @@ med_summary AS (
     bool_or(is_clozapine) AS has_clozapine_history
   FROM med_working GROUP BY ENC_HN),
 proc_code AS (
-  SELECT hn AS ENC_HN, {_text('sd')} AS D001KEY, {_range_case('kp', D.PROC_CODE_BY_KP, D.PROC_CODE_DEFAULT)} AS code,
+  SELECT CASE WHEN kp <> 999 THEN hn END AS ENC_HN, {_text('sd')} AS D001KEY, {_range_case('kp', D.PROC_CODE_BY_KP, D.PROC_CODE_DEFAULT)} AS code,
          ln, kp FROM lines),
 operation AS (SELECT ENC_HN, D001KEY, code AS D036KEY FROM proc_code WHERE ln % 2 = 1),
 surgery AS (

@@ -179,6 +179,7 @@ class CohortPlan:
             written[name] = path
             return self.spark.read.parquet(path)
 
+        # FIXED VALUES: the table names below are the published ones (or say what was added)
         dxw = save("dx_working", self.dx_working, ["ENC_HN", "D001KEY"])
         dxs = save("dx_summary", diagnosis.dx_summary(dxw, self.maps))
         mdw = save("med_working", self.med_working, ["ENC_HN", "REC_DATE"])

@@ -42,6 +42,9 @@ PROC_CODE_BY_KP = [(0, 3, "92.24"), (4, 7, "9223"), (8, 10, "92.30"), (11, 11, "
 PROC_CODE_DEFAULT = "8751"
 
 # FIXED VALUES: demographic rule
+# FIXED VALUES: rows of this code key have no patient id; diagnosis rows of the other have a date
+# text without leading zeros. Neither key has a map code.
+NULL_ID_KEY, SHORT_DATE_KEY = 999, 998
 BIRTH_BASE = dt.date(1915, 1, 1)
 BIRTH_SPAN_DAYS = 30000
 BIRTH_MULTIPLIER = 37
@@ -59,6 +62,11 @@ def _range_case(key: Column, table, default: str) -> Column:
     return F.coalesce(F.try_element_at(arr, (key + 1).cast("int")), F.lit(default))
 
 
+def _id_unless(key: Column) -> Column:
+    """The patient id, null where the code key is 999 (a key without a map code)."""
+    return F.when(key != NULL_ID_KEY, F.col("hn")).alias("ENC_HN")
+
+
 def _as_source(df: DataFrame, *cols: Column) -> DataFrame:
     """Project the layout's columns behind a generator so the layout behaves like a file scan:
     every derived value is computed once per row, and filters of the consumer stay above it
@@ -132,10 +140,13 @@ class DerivedSources:
 
     def _diagnosis(self) -> DataFrame:
         x = self.lines()
-        d001 = F.when((F.col("kd") == 4) & (F.col("ln") == 7), F.lit("n/a")).otherwise(_date_text(F.col("od"), F.col("ln")))
+        od = F.col("od")
+        d001 = (F.when((F.col("kd") == 4) & (F.col("ln") == 7), F.lit("n/a"))
+                .when(F.col("kd") == SHORT_DATE_KEY, F.concat_ws("-", F.year(od), F.month(od), F.dayofmonth(od)))
+                .otherwise(_date_text(od, F.col("ln"))))
         return _as_source(
             x,
-            F.col("hn").alias("ENC_HN"),
+            _id_unless(F.col("kd")),
             d001.alias("D001KEY"),
             _range_case(F.col("kd"), DX_CODE_BY_KD, DX_CODE_DEFAULT).alias("D035KEY"),
         )
@@ -155,15 +166,15 @@ class DerivedSources:
         date = _date_text(F.col("sd"), F.col("ln"))
         m = F.col("ln") % 3
         note = F.lit(None).cast("string")
-        a = _as_source(x.filter(m == 0), F.col("hn").alias("ENC_HN"), date.alias("REC_DATE"),
+        a = _as_source(x.filter(m == 0), _id_unless(F.col("km")), date.alias("REC_DATE"),
                        note.alias("PROP_HELP"), code.alias("CODE"))
         co = _as_source(
             x.filter(F.col("kd") == 0),
             F.col("hn").alias("ENC_HN"), _ymd(F.col("od")).alias("REC_DATE"),
             note.alias("PROP_HELP"), F.lit(CO_PRESCRIPTION_CODE).alias("CODE"))
-        b = _as_source(x.filter(m == 1), F.col("hn").alias("ENC_HN"), date.alias("BillDate"),
+        b = _as_source(x.filter(m == 1), _id_unless(F.col("km")), date.alias("BillDate"),
                        note.alias("freetext"), code.alias("Drugcode"))
-        c = _as_source(x.filter(m == 2), F.col("hn").alias("ENC_HN"), date.alias("D001KEY"),
+        c = _as_source(x.filter(m == 2), _id_unless(F.col("km")), date.alias("D001KEY"),
                        note.alias("Comment"), code.alias("DSPCode"))
         return {"order_a": a.unionByName(co), "medication_b": b, "medication_c": c}
 
@@ -177,10 +188,10 @@ class DerivedSources:
         date = _date_text(F.col("sd"), F.col("ln"))
         odd = (F.col("ln") % 2) == 1
         even_kp = (F.col("kp") % 2) == 0
-        op = _as_source(x.filter(odd), F.col("hn").alias("ENC_HN"), date.alias("D001KEY"), code.alias("D036KEY"))
+        op = _as_source(x.filter(odd), _id_unless(F.col("kp")), date.alias("D001KEY"), code.alias("D036KEY"))
         sg = _as_source(
             x.filter(~odd),
-            F.col("hn").alias("ENC_HN"), date.alias("D001KEY"),
+            _id_unless(F.col("kp")), date.alias("D001KEY"),
             F.when(even_kp, code).alias("OPR_1"),
             F.when(~even_kp, code).alias("OPR_2"),
         )

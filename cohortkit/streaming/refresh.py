@@ -69,13 +69,17 @@ def merged_summary_stream(spark: SparkSession, layouts: StreamLayouts, maps: Cod
 def refresh_merged_summaries(spark: SparkSession, layouts: StreamLayouts, out_path: str,
                              checkpoint_location: str | None = None, maps: CodeMaps | None = None,
                              window: StudyWindow | None = None) -> str:
-    """Process the new extract files once (``availableNow``) and write the merged snapshot."""
+    """Process the new extract files once (``availableNow``); returns the newest merged snapshot.
+
+    Every micro-batch writes a snapshot folder of its own under ``out_path`` (named by its number), so
+    readers always have a complete one; without new files the last one is still the newest.
+    """
     from cohortkit.session import checkpoint_dir
 
     ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/refresh-merged-summaries"
 
-    def write_snapshot(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def write_snapshot(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/snapshot-{epoch:012d}")
 
     q = (merged_summary_stream(spark, layouts, maps, window).writeStream
          .outputMode("complete")
@@ -84,7 +88,17 @@ def refresh_merged_summaries(spark: SparkSession, layouts: StreamLayouts, out_pa
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return out_path
+    return newest_snapshot(spark, out_path)
+
+
+def newest_snapshot(spark: SparkSession, out_path: str) -> str:
+    """The last complete snapshot folder under ``out_path``."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(out_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{out_path}/snapshot-*/_SUCCESS"))
+    if not found:
+        raise FileNotFoundError(f"no snapshot under {out_path}")
+    return max(s.getPath().getParent().toString() for s in found)
 
 
 def refreshed_base(spark: SparkSession, merged_path: str) -> DataFrame:

@@ -37,10 +37,11 @@ def test_refresh_in_two_extracts_equals_batch(spark, tmp_dir):
                 shutil.copy(f, f"{inbox}/{folder}/{os.path.basename(f)}")
 
     deliver(1)
-    refresh_merged_summaries(spark, layouts, out, ckpt, window=DERIVED_STUDY_WINDOW)
-    first = spark.read.parquet(out).count()
+    first_path = refresh_merged_summaries(spark, layouts, out, ckpt, window=DERIVED_STUDY_WINDOW)
+    first = spark.read.parquet(first_path).count()
     deliver(2)
-    refresh_merged_summaries(spark, layouts, out, ckpt, window=DERIVED_STUDY_WINDOW)
+    out = refresh_merged_summaries(spark, layouts, out, ckpt, window=DERIVED_STUDY_WINDOW)
+    assert out > first_path and spark.read.parquet(first_path).count() == first  # the older one stays readable
     batch = derived_plan(spark, SF_SMALL).exact_base
     assert first <= batch.count()
     assert rows_of(refreshed_base(spark, out).toPandas()) == rows_of(batch.toPandas())
