@@ -100,3 +100,31 @@ def test_derived_sources_do_not_depend_on_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert base == other
+
+
+def test_fixed_lists_are_the_checked_ones():
+    """The code lists and step names were compared with the published ones; the oracle takes them from
+    the same place as the pipeline, so a change must show up here."""
+    import hashlib
+
+    from cohortkit.operators.reports import EXCLUSION_STEPS, FLOW_STEPS
+    from cohortkit.sources.codemaps import CodeMaps
+
+    m = CodeMaps.default()
+    pins = {
+        "5fabf55cd8661d2e": (m.dementia, m.mci, m.schizophrenia, m.review),
+        "afe09c762842a436": (m.medication, m.clozapine),
+        "9dea91823a9d6b55": (m.radiotherapy, m.billing),
+        "d31b50bccb3394af": (EXCLUSION_STEPS, FLOW_STEPS),
+    }
+    for pin, value in pins.items():
+        assert hashlib.sha256(repr(value).encode()).hexdigest()[:16] == pin
+
+
+def test_rounding_of_large_values_matches_python(spark):
+    from cohortkit.functions.format import with_fixed2
+
+    values = [1099511627776.126, 2.0 ** 45 + 0.125, -(2.0 ** 51) - 0.5, 2.0 ** 53, 123456789012.345, 0.005, 2.675]
+    df = with_fixed2(spark.createDataFrame([(v,) for v in values], "x double"), [("x", "t", "r")])
+    for r in df.collect():
+        assert r["t"] == f"{r['x']:.2f}" and r["r"] == round(r["x"], 2), r

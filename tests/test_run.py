@@ -55,3 +55,20 @@ def test_cli_over_a_file_lake(spark, tmp_dir):
         "ENC_HN, D001KEY, D036KEY", "ENC_HN, D001KEY, OPR_1, OPR_2"}
     stored = spark.read.parquet(written["dementia_index_labelled"]).toPandas()
     assert rows_of(stored) == rows_of(QUERIES["dementia_index_labelled"](spark, SF_SMALL).toPandas())
+
+
+def test_working_tables_are_sorted_within_files_o1(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from cohortkit.plans.queries import derived_plan
+    from cohortkit.sources.sinks import write_table
+
+    path = write_table(derived_plan(spark, SF_SMALL).dx_working, f"{tmp_dir}/sorted", sort_within=["ENC_HN", "D001KEY"])
+    files = glob.glob(f"{path}/part-*.parquet")
+    assert files
+    for f in files:
+        t = pq.read_table(f, columns=["ENC_HN", "D001KEY"]).to_pylist()
+        keys = [(r["ENC_HN"], r["D001KEY"]) for r in t]
+        assert keys == sorted(keys)
