@@ -39,8 +39,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.llm import common
+from cohortkit.llm.common import pieces
 
-ID_BITS, BATCH_TOKENS, SHARD_TOKENS, MAX_DOCS = 40, 2_000_000, 4_000_000, 1 << 16
+ID_BITS, BATCH_TOKENS, SHARD_TOKENS, MAX_DOCS = 40, 2_000_000, 2_000_000, 1 << 16
 BETA = 300.0
 CODES = 255
 END = b""
@@ -150,19 +151,22 @@ class Tokens:
 
     def add(self, text: bytes) -> None:
         words = text.lower().split()
-        ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        self.ids.append(np.concatenate((ids, [0])))
+        ids = np.zeros(len(words) + 1, np.int32)  # the last is the end
+        ids[:-1] = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        self.ids.append(ids)
         self.size += len(words) + 1
 
     def close(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sorted word hashes; then of each token the word, the word before it (the end before the first) and the document; tokens of each document."""
         digest = xxhash.xxh64_intdigest
         hashes = np.fromiter((digest(w) for w in self.number), np.uint64, len(self.number))
+        self.number.clear()
         order = np.argsort(hashes)
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         lens = np.array([len(x) for x in self.ids])
         word = rank[np.concatenate(self.ids)]
+        self.ids.clear()
         before = np.concatenate((word[-1:], word[:-1]))  # each text ends with the end, which so precedes the next one's first word
         return hashes[order], word, before, np.repeat(np.arange(len(lens)), lens), lens
 
@@ -171,7 +175,7 @@ def _batches(batches: Iterator[pa.RecordBatch], tokens: int) -> Iterator[tuple[i
     """(batch number, tokens, rows without the text) of the task's texts, which come last in the input columns."""
     part, seq = TaskContext.get().partitionId(), 0
     held, rows = Tokens(), []
-    for b in batches:
+    for b in pieces(batches):
         for *row, text in zip(*(c.to_pylist() for c in b.columns)):
             if rows and len(text) > 2 * tokens:  # a text that may hold more tokens than a batch is a batch of its own
                 yield part << 24 | seq, held, rows
@@ -204,6 +208,7 @@ def count_pairs(batches: Iterator[pa.RecordBatch], shards: int, tokens: int) ->
     for _, held, _ in _batches(batches, tokens):
         hashes, word, before, _, _ = held.close()
         pair, n = np.unique(word * len(hashes) + before, return_counts=True)
+        del word, before
         first, second = pair // len(hashes), pair % len(hashes)
         ends = np.searchsorted(first, np.arange(len(hashes) + 1))
         rows: list[list] = [[], [], [], [], []]
@@ -222,8 +227,10 @@ def build_shard(rows: pa.Table, eps: float) -> pa.Table:
     at = np.concatenate([np.repeat(np.searchsorted(every, w), np.frombuffer(p, np.uint32)) for w, p in zip(words, rows["pairs"].to_pylist())])
     key = (at.astype(np.uint64) << np.uint64(ID_BITS)) | np.concatenate([long_ids(x) for x in rows["ids"].to_pylist()])
     n = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["counts"].to_pylist()])
+    del at
     order = np.argsort(key)
     entries, key, n = len(key), key[order], n[order].astype(np.int64)
+    del order
     new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     key, n = key[new], np.add.reduceat(n, new)
     of = (key >> np.uint64(ID_BITS)).astype(np.int64)
@@ -281,6 +288,7 @@ def ask(batches: Iterator[pa.RecordBatch], shards: int, salts: dict[int, int], t
         hashes, word, before, doc, lens = held.close()
         docs = len(lens)
         key, n = np.unique((word * len(hashes) + before) * docs + doc, return_counts=True)
+        del word, before, doc
         pair, of_doc = key // docs, (key % docs).astype(np.uint16)
         new = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
         docs_of, pair = np.diff(np.concatenate((new, [len(key)]))), pair[new]
@@ -330,7 +338,7 @@ def answer(asked: pa.Table, trie: pa.Table, eps: float, k: float) -> pa.Table:
         mine, back = np.unique(doc, return_inverse=True)
         add = lambda v: np.bincount(back, n * np.repeat(v, docs_of), len(mine))
         out.append({"batch": r["batch"], "docs": mine.tobytes(), "known": add((single > 0)[of]).astype(np.uint32).tobytes(),
-                    "base": add(np.log10(single + 1)[of]).tobytes(), "score": add(value).tobytes(), "ids": None})
+                    "base": add(np.log10(single + 1)[of]).tobytes(), "score": add(value).astype(np.float32).tobytes(), "ids": None})
     return pa.Table.from_pylist(out, schema=schema)
 
 
@@ -348,7 +356,7 @@ def collect(rows: pa.Table, k: float) -> pa.Table:
         d = np.frombuffer(p["docs"], np.uint16)
         known[d] += np.frombuffer(p["known"], np.uint32)
         base[d] += np.frombuffer(p["base"], np.float64)
-        score[d] += np.frombuffer(p["score"], np.float64)
+        score[d] += np.frombuffer(p["score"], np.float32)
     return pa.table({"doc_id": pa.array(doc_id, mask=null), "held_out": held, "n_tokens": n, "n_known": known, "base_score": base - n * math.log10(k), "score": score})
 
 
