@@ -16,6 +16,7 @@ from cohortkit.session import checkpoint_dir
 # A word is a maximal run of characters other than the six ASCII blanks; ``bytes.split()`` cuts UTF-8 the same way.
 WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 8 << 20
+SLICE_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +38,11 @@ def utf8(col: Column) -> Column:
     return F.coalesce(col, F.lit("")).cast("binary")
 
 
+def constant(values: list, kind: str) -> Column:
+    """An array constant: one string that is split when the plan is made, not one expression for each value."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
@@ -58,16 +64,28 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def add_column(df: DataFrame, name: str, kind: T.DataType, text_col: str, per_batch: Callable[[list], pa.Array]) -> DataFrame:
-    """``df`` and a column that ``per_batch`` computes from the UTF-8 texts of one Arrow batch."""
-    raw = fresh(df, "__utf8")
-    i = len(df.columns)
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most ``SLICE_ROWS`` rows, so that few texts are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(at, SLICE_ROWS)
+
+
+def texts(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of a text column (the cast copies nothing); null counts as empty."""
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def add_column(df: DataFrame, name: str, kind: T.DataType, text_col: str, start: Callable[[], Callable[[bytes], object]]) -> DataFrame:
+    """``df`` and a column that a function computes from each text; ``start`` makes the function, once per task."""
+    i, as_arrow = df.columns.index(text_col), {T.BinaryType(): pa.binary(), T.LongType(): pa.int64(), T.DoubleType(): pa.float64()}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:i], per_batch(b.column(i).to_pylist())], [*b.schema.names[:i], name])
+        each = start()
+        for b in pieces(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([each(t) for t in texts(b.column(i))], as_arrow)], [*b.schema.names, name])
 
-    return df.withColumn(raw, utf8(F.col(text_col))).mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
 
 
 def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:

@@ -25,13 +25,13 @@ SHARD_KEYS = 4096
 GROUPS = "digest binary, keep_id long, group_size long, winner_rows long, member boolean"
 
 
-def digests(texts: list) -> pa.Array:
-    """SHA-256 of each text in UTF-8 after lower-casing A-Z (``bytes.lower`` touches ASCII only)."""
-    return pa.array([hashlib.sha256(t.lower()).digest() for t in texts], pa.binary())
+def digest(text: bytes) -> bytes:
+    """SHA-256 of a UTF-8 text after lower-casing A-Z (``bytes.lower`` touches ASCII only)."""
+    return hashlib.sha256(text.lower()).digest()
 
 
 def with_digest(docs: DataFrame, name: str) -> DataFrame:
-    return common.add_column(docs, name, T.BinaryType(), "text", digests)
+    return common.add_column(docs, name, T.BinaryType(), "text", lambda: digest)
 
 
 def _positions(keys: np.ndarray, level: int, size: int) -> np.ndarray:

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from cohortkit.llm import common
+from cohortkit.llm.common import pieces as cut
 
 BLOCK_WORDS = 256
 SHARD_ITEMS = 16_384
@@ -163,7 +164,7 @@ def apply_mix(docs: DataFrame) -> DataFrame:
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in cut(batches):
             take, texts = [], []
             for i, (t, *place) in enumerate(zip(b.column(at).to_pylist(), *(b.column(len(names) + j).to_pylist() for j in range(6)))):
                 got = pieces(t, *place)

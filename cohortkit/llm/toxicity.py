@@ -4,8 +4,9 @@ score = sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>) over the terms of a document
 insult next to a group's name, which additive weights miss. Terms are the words of the whole text after lower-casing
 A-Z and blanking ASCII punctuation, and their beginnings of ``STEMS`` bytes (marked as such), hashed by CRC-32.
 
-The fit uses at most ``FIT_ROWS`` labelled rows, the first by a hash of doc_id (a documented bound), whose hashed terms
-are gathered to the driver; scoring reads every text in Arrow batches. Defined results: null or empty text gets the
+The fit uses at most ``FIT_ROWS`` labelled rows, the first by a hash of doc_id (a documented bound). Spark counts their
+hashed terms and keeps the ``MAX_TERMS`` most associated with a label (chi-square); only those reach the driver, which
+fits the machine. Scoring reads every text in Arrow batches. Defined results: null or empty text gets the
 score of the bias alone; rows that repeat are scored each; of labels that repeat a doc_id the largest counts; without
 both labels in the fit every score is the observed rate (0 without rows). Labels, lang, source and doc_id are no inputs.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortkit.llm import common
+from cohortkit.llm.common import pieces
 
-FIT_ROWS = 10_000
-MAX_TERMS, MIN_DOCS, FACTORS = 4_000, 2, 6
-EPOCHS, BATCH, RATE, L2, SEED = 12, 64, 1.0, 1e-4, 7
+FIT_ROWS = 16_000
+MAX_TERMS, MIN_DOCS, FACTORS = 2_000, 2, 6
+EPOCHS, BATCH, RATE, L2, SEED = 16, 64, 1.0, 1e-4, 7
+TOXIC_WEIGHT = 2.0  # a missed toxic row costs as much as two clean rows that are taken for toxic
 STEP0 = 1.0  # starting value of the squared-gradient sums: rare terms learn no faster than common ones
 STEMS = (4, 5, 6)
-MEMO = 300_000
+MEMO = 200_000
 CLEAN = bytes.maketrans((string.ascii_uppercase + string.punctuation).encode(), (string.ascii_lowercase + " " * len(string.punctuation)).encode())
 
 
@@ -53,12 +56,12 @@ class Machine:
     def __init__(self, ids: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray):
         self.ids, self.bias, self.w, self.v = ids, bias, w, v
 
-    def scores(self, texts: list) -> pa.Array:
+    def scorer(self) -> Callable[[bytes], float]:
         at = {int(x): i for i, x in enumerate(self.ids)}
         vv = (self.v ** 2).sum(1)
         memo: dict[bytes, list[int]] = {}
-        out = np.empty(len(texts))
-        for n, text in enumerate(texts):
+
+        def score(text: bytes) -> float:
             if len(memo) > MEMO:
                 memo.clear()
             hit = set()
@@ -73,35 +76,24 @@ class Machine:
                 i = np.fromiter(sorted(hit), np.int64, len(hit))
                 s = self.v[i].sum(0)
                 z += self.w[i].sum() + 0.5 * (s @ s - vv[i].sum())
-            out[n] = 1 / (1 + np.exp(-min(max(z, -35.0), 35.0)))
-        return pa.array(out, pa.float64())
+            return float(1 / (1 + np.exp(-min(max(z, -35.0), 35.0))))
+
+        return score
 
 
 def fit(docs: list[np.ndarray], labels: np.ndarray) -> Machine:
-    """Trains on hashed-term sets. Keeps the terms most associated with a label (chi-square), at most ``MAX_TERMS``."""
+    """Trains on sets of hashed terms; terms that no set holds are not in the machine."""
     n, n1 = len(labels), int(labels.sum())
     none = np.zeros(0)
     if not n or n1 in (0, n):
         rate = n1 / n if n else 0.0
         return Machine(none.astype(np.uint32), 35.0 * np.sign(rate - 0.5), none, none.reshape(0, FACTORS))
-    ids, inv = np.unique(np.concatenate(docs), return_inverse=True)
-    inv = inv.astype(np.int32)
-    row = np.repeat(np.arange(n, dtype=np.int32), [len(d) for d in docs])
-    df, df1 = np.bincount(inv, minlength=len(ids)), np.bincount(inv[labels[row] > 0], minlength=len(ids))
-    expected = df * (n1 / n)
-    chi = (df1 - expected) ** 2 / np.maximum(expected * (1 - n1 / n) * (1 - df / n), 1e-9)
-    chi[(df < MIN_DOCS) | (df == n)] = -1
-    keep = np.sort(np.argsort(-chi, kind="stable")[:MAX_TERMS])
-    keep = keep[chi[keep] > 0]
-    new = np.full(len(ids), -1, np.int32)
-    new[keep] = np.arange(len(keep))
-    idx = new[inv]
-    idx, row, kept = idx[idx >= 0].astype(np.int64), row[idx >= 0], ids[keep]
-    del ids, inv, new, df, df1, expected, chi
+    kept, idx = np.unique(np.concatenate(docs), return_inverse=True)
+    row = np.repeat(np.arange(n), [len(d) for d in docs])
     start = np.searchsorted(row, np.arange(n + 1))
     r = np.random.default_rng(SEED)
-    bias, w, v = float(np.log(n1 / (n - n1))), np.zeros(len(keep)), r.normal(0, 0.02, (len(keep), FACTORS))
-    gw, gv, gb = np.full(len(keep), STEP0), np.full(v.shape, STEP0), STEP0
+    bias, w, v = float(np.log(n1 / (n - n1))), np.zeros(len(kept)), r.normal(0, 0.02, (len(kept), FACTORS))
+    gw, gv, gb = np.full(len(kept), STEP0), np.full(v.shape, STEP0), STEP0
     for _ in range(EPOCHS):
         order = r.permutation(n)
         for lo in range(0, n, BATCH):
@@ -112,7 +104,7 @@ def fit(docs: list[np.ndarray], labels: np.ndarray) -> Machine:
             s = np.zeros((len(b), FACTORS))
             np.add.at(s, own, v[at])
             z = bias + np.bincount(own, w[at], len(b)) + 0.5 * ((s ** 2).sum(1) - np.bincount(own, (v[at] ** 2).sum(1), len(b)))
-            g = (1 / (1 + np.exp(-np.clip(z, -35, 35))) - labels[b]) / len(b)
+            g = (1 / (1 + np.exp(-np.clip(z, -35, 35))) - labels[b]) * np.where(labels[b] > 0, TOXIC_WEIGHT, 1) / len(b)
             dw, dv = np.zeros_like(w), np.zeros_like(v)
             np.add.at(dw, at, g[own])
             np.add.at(dv, at, g[own, None] * (s[own] - v[at]))
@@ -136,20 +128,37 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Machine:
     """Fits on at most ``rows`` labelled, not held-out documents."""
     x = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    x = x.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("l_id"), F.col("toxic").cast("long").alias("y"))
+    x = x.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("l_id"), (F.col("toxic") > 0).cast("long").alias("y"))
     sample = docs.select("doc_id", "text").join(F.broadcast(x), F.col("doc_id") == F.col("l_id"))  # at most ``rows`` ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([hashed(t).tobytes() for t in b.column(2).to_pylist()], pa.binary())], ["doc_id", "y", "ids"])
-
-    got = sample.select(F.col("doc_id").cast("long"), "y", common.utf8(F.col("text")).alias("t")).mapInArrow(run, "doc_id long, y long, ids binary") \
-        .dropDuplicates(["doc_id", "ids"]).orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(rows).collect()
-    return fit([np.frombuffer(r["ids"], np.uint32) for r in got], np.array([r["y"] > 0 for r in got], dtype=float))
+        for b in pieces(batches):
+            ids = [hashed(t).tolist() for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "y", "ids"])
+
+    rows_ = common.stored(sample.select(F.col("doc_id").cast("long"), "y", common.utf8(F.col("text")).alias("t"))
+                          .mapInArrow(run, "doc_id long, y long, ids array<long>").dropDuplicates(["doc_id", "ids"]), "toxicity-sample")
+    terms = associated(rows_)
+    own = rows_.select("doc_id", "y", F.array_intersect("ids", common.constant(terms, "bigint")).alias("ids"))
+    got = own.orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(rows).collect()
+    return fit([np.array(r["ids"], np.uint32) for r in got], np.array([r["y"] > 0 for r in got], dtype=float))
+
+
+def associated(rows: DataFrame) -> list[int]:
+    """The terms of ``rows`` (y, ids) most associated with y by chi-square, at most ``MAX_TERMS``."""
+    total = rows.agg(F.count("*").alias("n"), F.sum("y").alias("n1")).first()
+    n, n1 = total["n"], total["n1"] or 0
+    if n1 in (0, n):
+        return []
+    t = rows.select("y", F.explode("ids").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("y").alias("df1"))
+    expected = F.col("df") * (n1 / n)
+    chi = (F.col("df1") - expected) ** 2 / (expected * (1 - n1 / n) * (1 - F.col("df") / n))
+    t = t.filter((F.col("df") >= MIN_DOCS) & (F.col("df") < n)).withColumn("chi", chi).filter("chi > 0")
+    return sorted(r["term"] for r in t.orderBy(F.desc("chi"), "term").limit(MAX_TERMS).select("term").collect())
 
 
 def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
-    return common.add_column(docs, name, T.DoubleType(), "text", machine.scores)
+    return common.add_column(docs, name, T.DoubleType(), "text", machine.scorer)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

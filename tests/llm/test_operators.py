@@ -185,16 +185,21 @@ def test_best_fit_is_near_the_least_cost():
 # ---- toxicity ----------------------------------------------------------------------------------------------------
 
 def test_machine_learns_a_pair_that_single_terms_miss():
-    r = np.random.default_rng(0)
-    docs, y = [], []
-    for _ in range(600):
-        a, b = (bool(v < 0.5) for v in r.random(2))
-        words = [f"n{r.integers(0, 40)}" for _ in range(6)] + ["insult"] * a + ["group"] * b
-        docs.append(toxicity.hashed(" ".join(words).encode()))
-        y.append(float(a and b) if a != b or a else float(not a and not b))
-    m = toxicity.fit(docs, np.array(y))  # label: both or neither
-    s = m.scores([b"insult group", b"insult", b"group", b""]).to_pylist()
-    assert s[0] > 0.5 > max(s[1], s[2]) and s[3] > 0.5
+    def texts(n, seed):
+        r, out, y = np.random.default_rng(seed), [], []
+        for _ in range(n):
+            a, b = (bool(v < 0.5) for v in r.random(2))
+            out.append(" ".join([f"n{r.integers(0, 40)}" for _ in range(6)] + ["insult"] * a + ["group"] * b).encode())
+            y.append(a == b)  # both or neither: no weight of a single term helps
+        return out, np.array(y)
+
+    train, y = texts(800, 0)
+    ask, want = texts(300, 1)
+    m = toxicity.fit([toxicity.hashed(t) for t in train], y.astype(float))
+    right = lambda: np.mean([(s >= 0.5) == w for s, w in zip(map(m.scorer(), ask), want)])
+    assert right() > 0.95
+    m.v[:] = 0
+    assert right() < 0.85
 
 
 def test_toxicity_on_awkward_rows(spark):

@@ -20,7 +20,7 @@ def test_stages_on_the_small_tables(spark):
 
     before, after = kept["toxicity"]
     machine = toxicity.train(common.table(spark, SF_SMALL, "documents"), common.table(spark, SF_SMALL, "labels"))
-    scores = machine.scores([(r["text"] or "").encode() for r in before]).to_pylist()
+    scores = [machine.scorer()((r["text"] or "").encode()) for r in before]
     assert Counter(r["doc_id"] for r in after) == Counter(r["doc_id"] for r, s in zip(before, scores) if s < 0.5)
 
     before, after = kept["exact_dedup"]
