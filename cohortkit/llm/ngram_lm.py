@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from cohortkit.llm import common
 from cohortkit.llm.common import pieces
 
-ID_BITS, BATCH_TOKENS, SHARD_TOKENS, MAX_DOCS = 40, 2_000_000, 2_000_000, 1 << 16
+ID_BITS, BATCH_TOKENS, SHARD_TOKENS, MAX_DOCS = 40, 1_250_000, 2_000_000, 1 << 16
 BETA = 300.0
 CODES = 255
 END = b""
