@@ -29,7 +29,7 @@ from cohortkit.llm import common
 from cohortkit.llm.common import pieces as cut
 
 BLOCK_WORDS = 256
-SHARD_ITEMS = 16_384
+SHARD_ITEMS = 4_096
 WEIGHTS = (3, 1, 2)
 SHARE, MOST, SEED = 1.5, 2, 20240229
 RE_WORD = re.compile(common.WORD)
