@@ -194,8 +194,10 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     past, n = first_half(rows)
     groups = duplicate_groups(rows, past, n)
     winners = groups.filter("group_size > 1").select(F.col("digest").alias(key), F.col("keep_id").alias("doc_id"), "winner_rows")
-    losers = rows.withColumnRenamed("digest", key).join(winners.withColumnRenamed("doc_id", "keep_id"), key) \
-        .filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(key, "doc_id").distinct()
+    # distinct before the join (on both columns, which spreads a large group), so that nothing above the
+    # join keeps Spark from splitting a hot digest
+    losers = rows.distinct().withColumnRenamed("digest", key).join(winners.withColumnRenamed("doc_id", "keep_id"), key) \
+        .filter(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(key, "doc_id")
     losers = common.stored(losers, "mph-losers")
     return common.without(keyed, losers, [key, "doc_id"], winners.filter("winner_rows > 1").select(key, "doc_id")).drop(key)
 
