@@ -34,9 +34,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, so the same as all runs with
 HEX_TABLE = bytes(ord("h") if chr(c) in "0123456789abcdef" else 32 for c in range(256))
 MIN_VALUE, MIN_ACCESS = 6, 20
 ASSIGN_KEYS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-# More words that announce a credential; the value may follow "is" and ends at a blank, a quote or a closing bracket.
-CONTEXT = re.compile(r"""\b(?:pass|pwd|passphrase|passcode|credentials?|auth|bearer|private_?key|access_?key|password|passwd|secret|token|api_?key)
-    ["']?(?:\x20*[:=]\x20*|\x20+is\x20+)["']?([^\s"'<>()\[\]{},;]+)""", re.I | re.A | re.X)
+# More words that announce a credential, anywhere in a name (DB_PASS, aws_secret_access_key), but not in the ordinary words
+# named here (author, secretary, compass). The rest of the name is taken at once, so that a text is read once.
+ANNOUNCED = r"""(?:(?<!com)(?<!sur)(?<!tres)(?<!by)pass(?!ages?\b|engers?\b|ers?(?:by)?\b|i(?:on|ve|ng)|e[ds]\b|over|ports?\b|able)|pwd|credential
+    |auth(?!or(?!i[sz]))|bearer|private_?key|access_?key|secret(?!ar(?:y|i)|i(?:on|ve)|ly)|token(?!i[sz])|api_?key)"""
+CONTEXT = re.compile(ANNOUNCED + r"(?P<rest>[A-Za-z0-9_.-]*+)", re.I | re.A | re.X)
+WHOLE = re.compile(ANNOUNCED + r"(?:word|wd|phrase|code|s)?[0-9_]*\Z", re.I | re.A | re.X)
+# What leads from the name to the value; "is" and a blank alone (after bearer) are told apart by their groups.
+LINK = re.compile(r"""["']?(?:\x20*[:=]\x20*|(?P<said>\x20+is\x20+))|(?P<blank>\x20+)""", re.I | re.A)
+# The value ends at a blank, a quote or a bracket.
+BARE = re.compile(r"""["']?([^\s"'<>()\[\]{},;]+)""")
+PLAIN_WORD = re.compile(r"[A-Za-z][a-z]{0,18}[.!?:]*")
 CONTEXT_KEYS = (b"pass", b"pwd", b"credential", b"auth", b"bearer", b"private_key", b"privatekey", b"access_key", b"accesskey", *ASSIGN_KEYS[2:])
 # Common words of passwords, most common first.
 WORDS = """password admin welcome login qwerty letmein monkey dragon master hello secret test user root pass guest love
@@ -94,6 +102,25 @@ def guess_cost(value: str) -> float:
     return cost[n]
 
 
+def values(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the values in a credential context. A name inside a value counts if its own value starts after that."""
+    end = 0
+    for m in CONTEXT.finditer(text):
+        link = LINK.match(text, m.end())
+        if not link or link.end() < end or (link["said"] and not WHOLE.search(m[0])):
+            continue
+        if link["blank"] and not m[0].lower().endswith("bearer"):
+            continue
+        value = BARE.match(text, link.end())
+        if not value:
+            continue
+        # after "bearer" and a blank an ordinary word is no token, unless the name of a header or a variable goes before
+        if link["blank"] and PLAIN_WORD.fullmatch(value[1]) and not any(c in ":=" for c in text[max(0, m.start() - 3): m.start()]):
+            continue
+        end = value.end(1)
+        yield value.span(1)
+
+
 def spans(raw: bytes) -> tuple[list[tuple[str, int, int]], float | None]:
     """Spans (kind, start, end in code points) of a UTF-8 text, and the greatest cost of a value in a credential context."""
     low = raw.lower()
@@ -111,11 +138,11 @@ def spans(raw: bytes) -> tuple[list[tuple[str, int, int]], float | None]:
     if hexed:
         out += [("hex", *m.span()) for m in HEX.finditer(text)]
     if context:
-        for m in CONTEXT.finditer(text):
-            cost = guess_cost(m[1])
+        for a, b in values(text):
+            cost = guess_cost(text[a:b])
             most = cost if most is None else max(most, cost)
             if cost >= MIN_COST:
-                out.append(("guess", *m.span(1)))
+                out.append(("guess", a, b))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]))), most
 
 

@@ -262,6 +262,17 @@ def test_guess_costs_order_values():
     assert cost("ab" * 20_000) < 10
 
 
+@pytest.mark.parametrize("text,value", [
+    ('aws_secret_access_key = "wJalrXUtnFEMIK7MDENGbPxRfiCY"', "wJalrXUtnFEMIK7MDENGbPxRfiCY"), ("DB_PASS=zR7!qLm2#vTx9", "zR7!qLm2#vTx9"),
+    ("db_pwd: kX93-lmPQ-77zz", "kX93-lmPQ-77zz"), ('{"my_private_key": "Zk81qPw07xLs"}', "Zk81qPw07xLs"), ("DB_PASSWORD=zR7!qLm2#vTx9", "zR7!qLm2#vTx9"),
+    ("Authorization: Bearer abcDEF93kQz81", "abcDEF93kQz81"), ("userPassword1 is zR7!qLm2#vTx9", "zR7!qLm2#vTx9"), ('client_secret: "q8W-z!71Lk"', "q8W-z!71Lk"),
+    ("DB_PASS=changeme123", None), ("author: Schwarzenegger", None), ("the bearer certificates", None), ("tokenizer = BertWordPieceModel", None),
+    ("the authorization is unconditional", None)])
+def test_credential_words_inside_names(text, value):
+    found = [text[a:b] for k, a, b in secret_scan.spans(text.encode())[0] if k == "guess"]
+    assert found == [value] * (value is not None)
+
+
 # ---- quality rules -----------------------------------------------------------------------------------------------
 
 def test_quality_counts(spark):
