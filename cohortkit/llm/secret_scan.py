@@ -42,8 +42,10 @@ CONTEXT = re.compile(ANNOUNCED + r"(?P<rest>[A-Za-z0-9_.-]*+)", re.I | re.A | re
 WHOLE = re.compile(ANNOUNCED + r"(?:word|wd|phrase|code|s)?[0-9_]*\Z", re.I | re.A | re.X)
 # What leads from the name to the value; "is" and a blank alone (after bearer) are told apart by their groups.
 LINK = re.compile(r"""["']?(?:\x20*[:=]\x20*|(?P<said>\x20+is\x20+))|(?P<blank>\x20+)""", re.I | re.A)
-# The value ends at a blank, a quote or a bracket.
-BARE = re.compile(r"""["']?([^\s"'<>()\[\]{},;]+)""")
+# A value that opens with a quote goes up to the same quote on its line (a backslash keeps the next character in the value);
+# any other value, or one without that quote, ends at a blank, a quote or a bracket.
+QUOTED = re.compile(r'''"(?P<value>(?:\\[^\r\n]|[^"\\\r\n])*+)"'''), re.compile(r"""'(?P<value>(?:\\[^\r\n]|[^'\\\r\n])*+)'""")
+BARE = re.compile(r"""["']?(?P<value>[^\s"'<>()\[\]{},;]+)""")
 PLAIN_WORD = re.compile(r"[A-Za-z][a-z]{0,18}[.!?:]*")
 CONTEXT_KEYS = (b"pass", b"pwd", b"credential", b"auth", b"bearer", b"private_key", b"privatekey", b"access_key", b"accesskey", *ASSIGN_KEYS[2:])
 # Common words of passwords, most common first.
@@ -111,14 +113,14 @@ def values(text: str) -> Iterator[tuple[int, int]]:
             continue
         if link["blank"] and not m[0].lower().endswith("bearer"):
             continue
-        value = BARE.match(text, link.end())
-        if not value:
+        value = next((v for q in (*QUOTED, BARE) if (v := q.match(text, link.end()))), None)
+        if not value or not value["value"]:
             continue
         # after "bearer" and a blank an ordinary word is no token, unless the name of a header or a variable goes before
-        if link["blank"] and PLAIN_WORD.fullmatch(value[1]) and not any(c in ":=" for c in text[max(0, m.start() - 3): m.start()]):
+        if link["blank"] and PLAIN_WORD.fullmatch(value["value"]) and not any(c in ":=" for c in text[max(0, m.start() - 3): m.start()]):
             continue
-        end = value.end(1)
-        yield value.span(1)
+        end = value.end("value")
+        yield value.span("value")
 
 
 def spans(raw: bytes) -> tuple[list[tuple[str, int, int]], float | None]:

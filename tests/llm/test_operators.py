@@ -273,6 +273,19 @@ def test_credential_words_inside_names(text, value):
     assert found == [value] * (value is not None)
 
 
+@pytest.mark.parametrize("text,value", [
+    ('password = "p(9x,Kq!2vZr"', "p(9x,Kq!2vZr"), ('passphrase = "my dog ate it" # x', "my dog ate it"), ("'secret': 'a\"b;9 Kq{2}v', 'x': 'y'", 'a"b;9 Kq{2}v'),
+    (r'pwd = "zR8\"kLm2Qp" + "x"', r'zR8\"kLm2Qp'), ('password = "zR8#kLm2Qp\nnext "line"', "zR8#kLm2Qp"), ("password = zR8#kLm2Qp, x", "zR8#kLm2Qp"),
+    ('password = ""  # "zR8#kLm2Qp"', None), ('password = "your password here"', None)])
+def test_quoted_credentials_are_whole(text, value):
+    found = [text[a:b] for k, a, b in secret_scan.spans(text.encode())[0] if k == "guess"]
+    assert found == [value] * (value is not None)
+
+
+def test_many_credential_words_are_read_once():
+    assert [k for k, *_ in secret_scan.spans(b"pass=" * 40_000)[0]] == ["guess"]  # one span holds the later names too
+
+
 # ---- quality rules -----------------------------------------------------------------------------------------------
 
 def test_quality_counts(spark):
