@@ -1,6 +1,7 @@
 """Each operator on awkward rows and on the smallest tables, against plain Python or DuckDB."""
 
 import math
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -239,6 +240,23 @@ def test_license_awkward_rows(spark):
     assert license_scan.scan(d.limit(0)).count() == 0
 
 
+def test_wrapped_license_notices(spark):
+    notices = [(f, t) for f, t in license_scan.TEMPLATES if f in ("MIT", "GPL", "BSD") and len(t) > 100]
+    assert [f for f, _ in notices] == ["MIT", "GPL", "BSD"]
+    data, want = [H.DOCS[-1], (None, "a\n\nb", "en", "a")], Counter({(15, 0, "MIT"): 1})
+    for i, (f, t) in enumerate(notices):
+        for j, (width, mark) in enumerate([(72, ""), (78, " * "), (40, "# "), (8, "")]):
+            lines = [mark + x for x in textwrap.wrap(t, width, break_long_words=False)]
+            data.append((100 * i + j + 100, "\n".join(["Some words first", "and more of them.", *lines, "Other words follow here.", "", "The end"]), "en", "a"))
+            want[100 * i + j + 100, 2, f] = 1
+    both = "\n".join("\n".join(textwrap.wrap(t, 75)) + "\n" for _, t in notices)
+    data += [(900, both, "en", "a"), (901, "Permission is hereby granted, free of\n\ncharge, to any person obtaining a copy of this\n\nsoftware and associated", "en", "a")]
+    at = [0] + [k + 1 for k, x in enumerate(both.split("\n")) if not x][:2]
+    want.update((900, k, f) for k, (f, _) in zip(at, notices))
+    got = Counter((r["doc_id"], r["paragraph"], r["family"]) for r in rows(license_scan.scan(H.docs(spark, data, extra=True))))
+    assert got == want
+
+
 # ---- secrets -----------------------------------------------------------------------------------------------------
 
 def test_secret_spans(spark):
