@@ -257,6 +257,15 @@ def test_wrapped_license_notices(spark):
     assert got == want
 
 
+def test_two_licenses_in_a_paragraph(spark):
+    apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
+    data = [(1, f"{apache} {mit}", "en", "a"), (2, "Licensed under CC BY-NC 4.0.", "en", "a"), (3, "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.", "en", "a"),
+            (4, "This program is licensed under the GNU Affero General Public License, version 3.", "en", "a"),
+            (5, " ".join(t for f, t in license_scan.TEMPLATES if f in ("BSD", "MPL", "MIT")), "en", "a")]
+    got = Counter((r["doc_id"], r["paragraph"], r["family"]) for r in rows(license_scan.scan(H.docs(spark, data, extra=True))))
+    assert got == Counter([(1, 0, "Apache"), (1, 0, "MIT"), (2, 0, "CC-BY-NC"), (3, 0, "CC-BY"), (3, 0, "CC-BY-NC"), (4, 0, "AGPL"), (5, 0, "BSD"), (5, 0, "MPL"), (5, 0, "MIT")])
+
+
 # ---- secrets -----------------------------------------------------------------------------------------------------
 
 def test_secret_spans(spark):
