@@ -135,7 +135,7 @@ def _nanos_to_timestamps(df: DataFrame) -> DataFrame:
         if name in df.columns and isinstance(df.schema[name].dataType, T.LongType):
             c = F.col(name)
             nanos = F.expr(f"timestampadd(MICROSECOND, {name} div 1000, timestamp_ntz'1970-01-01 00:00:00')")
-            df = df.withColumn(name, F.when(F.abs(c) < 10 ** 8, parse_event_ts(c)).otherwise(nanos))
+            df = df.withColumn(name, F.when(c.between(10 ** 7, 10 ** 8 - 1), parse_event_ts(c)).otherwise(nanos))
     return df
 
 

@@ -258,6 +258,16 @@ def test_nanosecond_timestamps(spark, tmp_dir):
     assert {r["columns"] for r in profile_sources(spark, [d]).collect()} == {"ENC_HN, D001KEY, D035KEY"}
 
 
+def test_nanosecond_birth_date_at_the_epoch(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "born")
+    os.makedirs(d)
+    born = pa.array([0, 999, -1000, 1, None, 86_400_000_000_000], pa.timestamp("ns"))
+    _pq(f"{d}/demographic.parquet", {"ENC_HN": pa.array([1, 2, 3, 4, 5, 6], pa.int64()), "D020AT3": born})
+    got = {r["ENC_HN"]: r["D020AT3"] for r in FileSources(spark, demographic_path=f"{d}/demographic.parquet").demographic().collect()}
+    epoch = dt.datetime(1970, 1, 1)
+    assert got == {1: epoch, 2: epoch, 3: epoch - dt.timedelta(microseconds=1), 4: epoch, 5: None, 6: dt.datetime(1970, 1, 2)}
+
+
 def test_csv_quotes_and_line_breaks(spark, tmp_dir):
     d = os.path.join(tmp_dir, "q")
     os.makedirs(d)
