@@ -19,6 +19,12 @@ Texts are cut in batches of about ``BATCH_TOKENS`` tokens. A batch sends each sh
 counted pairs (training), or with their pairs and documents (scoring). Only sums for each document come back. A shard that
 gathered many more entries than others is scored by several tasks. N is a count over all training texts.
 
+A word cannot be split over shards, so a shard that would gather many entries, such as that of a very common word, is cut
+into parts by equal ranges of the context's hash (``cuts``, shard to parts). Part r of shard s has the number s + r * shards
+and holds every word of the shard with its whole count, and the pairs whose context falls in the range; a pair is counted and
+looked up in that part alone. Which shards to cut is estimated on a random sixteenth of the texts; it changes where pairs lie, not
+what they count.
+
 Defined results: null text is empty (one token, the end); a null doc_id is not held out and counts as training text;
 repeated rows are counted and scored each; without training tokens every word is unknown; an empty table gives an empty
 result.
@@ -43,6 +49,7 @@ from cohortkit.llm.common import pieces
 
 ID_BITS, BATCH_TOKENS, SHARD_TOKENS, MAX_DOCS = 40, 1_250_000, 2_000_000, 1 << 16
 BETA = 300.0
+SAMPLE = 16  # one in so many texts tells which shards to cut
 CODES = 255
 END = b""
 
@@ -197,31 +204,47 @@ def _slices(hashes: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:
         yield int(of[a]), int(a), int(b)
 
 
+def _parts(ids: np.ndarray, first: np.ndarray, words: int, shard: int, shards: int, cuts: dict[int, int]) -> Iterator[tuple[int, np.ndarray | slice, np.ndarray]]:
+    """(part number, its pairs, pairs of each word) of the pairs of a shard's ``words``, given by context hash and word number."""
+    k = cuts.get(shard, 1)
+    if k == 1:
+        yield shard, slice(None), np.bincount(first, minlength=words)
+        return
+    of = shard_of(ids, k)
+    for r in range(k):
+        mine = np.flatnonzero(of == r)
+        yield shard + r * shards, mine, np.bincount(first[mine], minlength=words)
+
+
 # ---- training ----------------------------------------------------------------------------------------------------
 
-SENT = "shard int, words binary, pairs binary, ids binary, counts binary"
+SENT = "shard int, words binary, pairs binary, ids binary, counts binary, totals binary"
 TRIE = "shard int, words binary, starts binary, sums binary, ids binary, codes binary, low double, step double, n_words long, n_tokens long, entries long"
 
 
-def count_pairs(batches: Iterator[pa.RecordBatch], shards: int, tokens: int) -> Iterator[pa.RecordBatch]:
-    """One row for each batch and shard: its words, how many pairs each has, the pairs' contexts and counts."""
+def count_pairs(batches: Iterator[pa.RecordBatch], shards: int, tokens: int, cuts: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """One row for each batch and shard or part: its words, how many pairs each has, the pairs' contexts and counts; of a part also the counts of the words."""
+    names = ["shard", "words", "pairs", "ids", "counts", "totals"]
     for _, held, _ in _batches(batches, tokens):
         hashes, word, before, _, _ = held.close()
         pair, n = np.unique(word * len(hashes) + before, return_counts=True)
         del word, before
         first, second = pair // len(hashes), pair % len(hashes)
         ends = np.searchsorted(first, np.arange(len(hashes) + 1))
-        rows: list[list] = [[], [], [], [], []]
+        rows: list[list] = [[] for _ in names]
         for shard, a, b in _slices(hashes, shards):
             lo, hi = ends[a], ends[b]
-            for c, v in zip(rows, (shard, hashes[a:b].tobytes(), np.diff(ends[a: b + 1]).astype(np.uint32).tobytes(),
-                                   short(hashes[second[lo:hi]]), n[lo:hi].astype(np.uint32).tobytes())):
-                c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *[pa.array(c, pa.binary()) for c in rows[1:]]], ["shard", "words", "pairs", "ids", "counts"])
+            ids, counts, of = hashes[second[lo:hi]], n[lo:hi], first[lo:hi] - a
+            totals = np.bincount(of, counts, b - a).astype(np.int64).tobytes() if shard in cuts else b""
+            for part, mine, pairs in _parts(ids, of, b - a, shard, shards, cuts):
+                for c, v in zip(rows, (part, hashes[a:b].tobytes(), pairs.astype(np.uint32).tobytes(), short(ids[mine]), counts[mine].astype(np.uint32).tobytes(), totals)):
+                    c.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *[pa.array(c, pa.binary()) for c in rows[1:]]], names)
 
 
-def build_shard(rows: pa.Table, eps: float) -> pa.Table:
-    """The trie shard that the batches' counts add up to."""
+def build_shard(rows: pa.Table, eps: float, shards: int) -> pa.Table:
+    """The trie shard, or part of one, that the batches' counts add up to."""
+    shard = rows["shard"][0].as_py()
     words = [np.frombuffer(x, np.uint64) for x in rows["words"].to_pylist()]
     every = np.unique(np.concatenate(words))
     at = np.concatenate([np.repeat(np.searchsorted(every, w), np.frombuffer(p, np.uint32)) for w, p in zip(words, rows["pairs"].to_pylist())])
@@ -231,19 +254,24 @@ def build_shard(rows: pa.Table, eps: float) -> pa.Table:
     order = np.argsort(key)
     entries, key, n = len(key), key[order], n[order].astype(np.int64)
     del order
-    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    key, n = key[new], np.add.reduceat(n, new)
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if entries else np.zeros(0, np.int64)
+    key, n = key[new], np.add.reduceat(n, new) if entries else n
     of = (key >> np.uint64(ID_BITS)).astype(np.int64)
     single = np.bincount(of, n, len(every)).astype(np.int64)
+    totals = rows["totals"].to_pylist()
+    if any(totals):  # a part holds some pairs of its words only
+        single = np.zeros(len(every), np.int64)
+        for w, t in zip(words, totals):
+            single[np.searchsorted(every, w)] += np.frombuffer(t, np.int64)
     value = np.log10(n + eps * (single[of] + 1))
-    low, high = float(value.min()), float(value.max())
+    low, high = (float(value.min()), float(value.max())) if entries else (0.0, 0.0)
     step = max((high - low) / CODES, 1e-9)
     starts, sums = np.searchsorted(of, np.arange(len(every) + 1)), np.concatenate(([0], np.cumsum(single)))
     return pa.table({
-        "shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "words": [EliasFano.encode(every, 1 << 64)],
+        "shard": pa.array([shard], pa.int32()), "words": [EliasFano.encode(every, 1 << 64)],
         "starts": [EliasFano.encode(starts, len(key) + 1)], "sums": [EliasFano.encode(sums, int(sums[-1]) + 1)],
         "ids": [EliasFano.encode(key, len(every) << ID_BITS)], "codes": [np.rint((value - low) / step).astype(np.uint8).tobytes()],
-        "low": [low], "step": [step], "n_words": [len(every)], "n_tokens": [int(sums[-1])], "entries": [entries]})
+        "low": [low], "step": [step], "n_words": [len(every) if shard < shards else 0], "n_tokens": [int(sums[-1]) if shard < shards else 0], "entries": [entries]})
 
 
 def held_out(doc_id: Column) -> Column:
@@ -254,8 +282,8 @@ def held_out(doc_id: Column) -> Column:
 class Model:
     """A stored trie with its totals."""
 
-    def __init__(self, trie: DataFrame, shards: int, n: int, eps: float):
-        self.trie, self.shards, self.n, self.eps = trie, shards, n, eps
+    def __init__(self, trie: DataFrame, shards: int, n: int, eps: float, cuts: dict[int, int]):
+        self.trie, self.shards, self.n, self.eps, self.cuts = trie, shards, n, eps, cuts
         total = trie.agg(F.sum("n_words").alias("v"), F.avg("entries").alias("mean")).first()
         self.v = total["v"] or 0
         many = max(total["mean"] or 1, SHARD_TOKENS)
@@ -263,13 +291,23 @@ class Model:
         self.salts = {r["shard"]: r["k"] for r in trie.select("shard", F.ceil(F.col("entries") / (2 * many)).cast("int").alias("k")).filter("k > 1").collect()}
 
 
-def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS, batch_tokens: int = BATCH_TOKENS, beta: float = BETA) -> Model:
-    """The model of the texts (column text), as a table in the shared folder with one row per shard."""
+def plan_cuts(texts: DataFrame, shards: int, shard_tokens: int, batch_tokens: int) -> dict[int, int]:
+    """Parts of the shards that would gather more than 2 * ``shard_tokens`` entries, as a random part of the texts (column t) suggests."""
+    sent = texts.filter(F.rand(7) < 1 / SAMPLE).mapInArrow(lambda b: count_pairs(b, shards, batch_tokens, {}), SENT)
+    size = sent.select("shard", (F.octet_length("counts") / 4).alias("n")).groupBy("shard").agg((F.sum("n") * SAMPLE).alias("n"))
+    return {r["shard"]: r["k"] for r in size.select("shard", F.ceil(F.col("n") / (2 * shard_tokens)).cast("int").alias("k")).filter("k > 1").collect()}
+
+
+def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS, batch_tokens: int = BATCH_TOKENS, beta: float = BETA, cuts: dict[int, int] | None = None) -> Model:
+    """The model of the texts (column text), as a table in the shared folder with one row per shard, or part of a cut shard."""
     n = texts.agg(F.sum(common.word_count(F.col("text")) + 1)).first()[0] or 0
     shards, eps = max(1, -(-n // shard_tokens)), beta / max(n, 1)
-    sent = texts.select(common.utf8(F.col("text")).alias("t")).mapInArrow(lambda b: count_pairs(b, shards, batch_tokens), SENT)
-    trie = common.stored(sent.groupBy("shard").applyInArrow(lambda t: build_shard(t, eps), TRIE), "trie")
-    return Model(trie, shards, n, eps)
+    texts = texts.select(common.utf8(F.col("text")).alias("t"))
+    if cuts is None:  # no shard gathers more entries than there are tokens
+        cuts = plan_cuts(texts, shards, shard_tokens, batch_tokens) if n > 2 * shard_tokens else {}
+    sent = texts.mapInArrow(lambda b: count_pairs(b, shards, batch_tokens, cuts), SENT)
+    trie = common.stored(sent.groupBy("shard").applyInArrow(lambda t: build_shard(t, eps, shards), TRIE), "trie")
+    return Model(trie, shards, n, eps, cuts)
 
 
 # ---- scoring -----------------------------------------------------------------------------------------------------
@@ -278,7 +316,7 @@ ASK = "shard int, salt int, batch long, words binary, pairs binary, ids binary,
 BACK = "batch long, docs binary, known binary, base binary, score binary, ids binary"
 
 
-def ask(batches: Iterator[pa.RecordBatch], shards: int, salts: dict[int, int], tokens: int) -> Iterator[pa.RecordBatch]:
+def ask(batches: Iterator[pa.RecordBatch], shards: int, cuts: dict[int, int], salts: dict[int, int], tokens: int) -> Iterator[pa.RecordBatch]:
     """One row for each batch and shard (words, their contexts, the documents of each pair), and one with the batch's documents.
 
     The latter goes to a shard number below 0, which has no trie, and so to the sums as it is.
@@ -299,8 +337,16 @@ def ask(batches: Iterator[pa.RecordBatch], shards: int, salts: dict[int, int], t
         for shard, a, b in _slices(hashes, shards):
             lo, hi = ends[a], ends[b]
             x, y = edge[lo], edge[hi]
-            out.append((shard, batch % salts.get(shard, 1), batch, hashes[a:b].tobytes(), np.diff(ends[a: b + 1]).astype(np.uint32).tobytes(),
-                        short(hashes[second[lo:hi]]), docs_of[lo:hi].astype(np.uint32).tobytes(), of_doc[x:y].tobytes(), n[x:y].astype(np.uint32).tobytes()))
+            ids, many, its_docs, counts = hashes[second[lo:hi]], docs_of[lo:hi], of_doc[x:y], n[x:y]
+            for part, mine, pairs in _parts(ids, first[lo:hi] - a, b - a, shard, shards, cuts):
+                if part != shard or shard in cuts:  # the documents of the part's pairs
+                    inside = np.zeros(len(ids), bool)
+                    inside[mine] = True
+                    inside = np.repeat(inside, many)
+                else:
+                    inside = slice(None)
+                out.append((part, batch % salts.get(part, 1), batch, hashes[a:b].tobytes(), pairs.astype(np.uint32).tobytes(), short(ids[mine]),
+                            many[mine].astype(np.uint32).tobytes(), its_docs[inside].tobytes(), counts[inside].astype(np.uint32).tobytes()))
         for lo in range(0, len(out), 16):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[lo: lo + 16]), schema)], schema=schema)
 
@@ -362,8 +408,8 @@ def collect(rows: pa.Table, k: float) -> pa.Table:
 
 def score(docs: DataFrame, model: Model, held: Column, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
     """doc_id, held_out (``held`` as given), n_tokens, n_known, train_tokens, base_score and score of every document."""
-    shards, salts, eps, k = model.shards, model.salts, model.eps, model.n + model.v + 1
-    asked = docs.select(F.col("doc_id").cast("long"), held, common.utf8(F.col("text")).alias("t")).mapInArrow(lambda b: ask(b, shards, salts, batch_tokens), ASK)
+    shards, cuts, salts, eps, k = model.shards, model.cuts, model.salts, model.eps, model.n + model.v + 1
+    asked = docs.select(F.col("doc_id").cast("long"), held, common.utf8(F.col("text")).alias("t")).mapInArrow(lambda b: ask(b, shards, cuts, salts, batch_tokens), ASK)
     times = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in salts.items() for x in kv]), F.col("shard")), F.lit(1)) if salts else F.lit(1)
     trie = model.trie.withColumn("salt", F.explode(F.sequence(F.lit(0), times - 1)))
     back = asked.groupBy("shard", "salt").cogroup(trie.groupBy("shard", "salt")).applyInArrow(lambda a, t: answer(a, t, eps, k), BACK)

@@ -436,6 +436,24 @@ def test_language_model_equals_brute_force(spark, shard_tokens, batch_tokens):
         assert a[:5] == b[:5] and math.isclose(a[5], b[5], rel_tol=1e-9, abs_tol=1e-9) and abs(a[6] - b[6]) <= 0.02 * b[2], (a, b)
 
 
+def test_language_model_cuts_a_heavy_word(spark):
+    data = [(i, " ".join(x for j in range(400) for x in (f"c{(i * 400 + j) % 9000}", "the", "of")), "en", "a") for i in range(60)]
+    d = H.docs(spark, data + H.DOCS, extra=True).repartition(4)
+    held = ngram_lm.held_out(d["doc_id"])
+    texts = d.filter(~held)
+    n = ngram_lm.train(texts, 5000, 2000, cuts={}).n
+    cut, whole = ngram_lm.train(texts, 5000, 2000, cuts={i: 5 for i in range(-(-n // 5000))}), ngram_lm.train(texts, 5000, 2000, cuts={})
+    most = lambda m: m.trie.agg({"entries": "max"}).first()[0]
+    assert (cut.n, cut.v, cut.shards) == (whole.n, whole.v, whole.shards) and most(cut) < most(whole) / 3
+    assert cut.trie.agg({"entries": "sum"}).first()[0] == whole.trie.agg({"entries": "sum"}).first()[0]
+    assert most(ngram_lm.train(texts, 1500, 2000)) < most(ngram_lm.train(texts, 1500, 2000, cuts={}))
+    a, b = ({(str(r["doc_id"]), i): r for i, r in enumerate(sorted(rows(ngram_lm.score(d, m, held, 2000)), key=repr))} for m in (cut, whole))
+    a, b = (sorted(((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in x.values())) for x in (a, b))
+    assert len(a) == len(b) == len(data) + len(H.DOCS)
+    for x, y in zip(a, b):
+        assert x[:5] == y[:5] and math.isclose(x[5], y[5], rel_tol=1e-9, abs_tol=1e-9) and abs(x[6] - y[6]) <= 0.04 * x[2], (x, y)
+
+
 def test_language_model_probabilities_sum_to_one():
     one, two = Counter("abac"), Counter(zip("cabac", "abac"))
     n, v, eps = 4, 3, 0.3
