@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortkit.llm import exact_dedup, license_scan, mixing, ngram_lm, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
+from cohortkit.llm import alignment, burst_trie, exact_dedup, license_scan, mixing, ngram_lm, odd_sketch, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
 from cohortkit.llm.common import table
 
 
@@ -50,6 +50,18 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
 
 
+def op11_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return burst_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_dedup(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -61,9 +73,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_ngram_lm": op10_ngram_lm,
+    "op11_burst_trie": op11_burst_trie,
+    "op12_odd_sketch": op12_odd_sketch,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL = {
     "op1_url_filters": url_filters.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
+    "op11_burst_trie": burst_trie.ORACLE,
 }

@@ -30,7 +30,7 @@ def same(got, want):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     cur = con.execute(ORACLE_SQL[name])
     names = [c[0] for c in cur.description]
