@@ -15,6 +15,12 @@ def normalize_code(col: Column | str) -> Column:
     return F.regexp_replace(F.upper(c.cast("string")), r"[^A-Z0-9]", "")
 
 
+def padded_id(col: Column | str) -> Column:
+    """A numeric patient id as text of at least seven digits; longer ids keep all theirs."""
+    text = (F.col(col) if isinstance(col, str) else col).cast("string")
+    return F.lpad(text, F.greatest(F.lit(7), F.length(text)), F.lit("0"))
+
+
 def prefix_regex(prefixes: Iterable[str]) -> str:
     """Anchored alternation, longest prefix first; an empty list is an error."""
     escaped = sorted(set(re.escape(p) for p in prefixes if p), key=lambda s: (-len(s), s))

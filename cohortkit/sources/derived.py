@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortkit.functions.codes import padded_id
+
 # FIXED VALUES: study window of the derived sources (the data spans 1995-01-01 .. 2001-11-04)
 DERIVED_WINDOW = (dt.datetime(1996, 1, 1), dt.datetime(2001, 6, 30))
 
@@ -120,7 +122,7 @@ class DerivedSources:
         # it, so its shuffles are equal in all branches of a plan and run once (ReusedExchange)
         return _as_source(
             j,
-            F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("hn"),
+            padded_id(F.col("o_custkey")).alias("hn"),
             F.col("o_orderdate").alias("od"),
             F.col("l_shipdate").alias("sd"),
             ln.alias("ln"),
@@ -205,7 +207,7 @@ class DerivedSources:
         c = self._table("customer").select("c_custkey")
         key = F.col("c_custkey")
         birth = F.date_add(F.lit(BIRTH_BASE), ((key * BIRTH_MULTIPLIER) % BIRTH_SPAN_DAYS).cast("int"))
-        hn = F.lpad(key.cast("string"), 7, "0")
+        hn = padded_id(key)
 
         def as_double(d: Column) -> Column:
             return _ymd(d).cast("double")
