@@ -13,6 +13,8 @@ whole-stage codegen). Codes are normalized with the same rule as event codes (E1
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from dataclasses import dataclass, field
 
@@ -237,6 +239,29 @@ class CodeMaps:
         return maps
 
 
+    def to_dir(self, spark, map_dir: str, left_out_drugs: tuple[str, ...] = ()) -> str:
+        """Writes the maps as the CSVs that ``from_dir`` reads (the billing codes have none). ``left_out_drugs``
+        are listed as drugs that are not included in the cohort (F7)."""
+        from cohortkit.sources.files import write_text
+
+        tables = {
+            "dementia_icd10_map": (["code", "subtype"], self.dementia),
+            "mci_icd10_map": (["code"], [(c,) for c in self.mci]),
+            "schizophrenia_icd10_map": (["code"], [(c,) for c in self.schizophrenia]),
+            "review_code_map": (["code", "match_type", "review_group", "exclude_codes"],
+                                [(r.code, r.match_type, r.review_group, "|".join(r.exclude_codes)) for r in self.review]),
+            "medication_map": (["drug_code", "drug_class", "include_in_cohort"],
+                               [*[(c, k, "1") for c, k in self.medication], *[(c, "AChEI", "0") for c in left_out_drugs]]),
+            "clozapine_map": (["drug_code"], [(c,) for c in self.clozapine]),
+            "radiotherapy_icd9_map": (["code"], [(c,) for c in self.radiotherapy]),
+        }
+        for name, (header, rows) in tables.items():
+            text = io.StringIO()
+            csv.writer(text, lineterminator="\n").writerows([header, *rows])
+            write_text(spark, f"{map_dir}/{name}.csv", text.getvalue())
+        return map_dir
+
+
 def _present(v) -> bool:
     return v is not None and str(v).strip() != ""
 

@@ -3,18 +3,19 @@
 Column resolution must follow each file's own schema (T8), so files are grouped by schema and
 every group is read once with ``spark.read.parquet(*paths)`` (or ``csv``); groups are
 standardized to the fixed schema and unioned. The driver only handles the file listing and one
-schema per file.
+schema per group (``census``).
 
 * Listing goes through the Hadoop file system of the path, so it sees what Spark's readers can
   open (local, HDFS, object stores), takes the plain files of the folder only, and raises on
   any error but a missing folder.
 * Spark's readers ignore files whose names start with ``_``. A file of that kind which holds
   bytes is an error that names it (T26); empty ones are commit markers.
-* Schemas are read by Spark, many files at a time.
+* Schemas are read by one distributed pass over footers and headers.
 * CSV (``.csv`` / ``.csv.gz``) is read with every column as text (T25), quoted fields may hold
-  line breaks and doubled quotes; other suffixes are Parquet (S1).
+  line breaks and doubled quotes; other suffixes are Parquet (S1). Records that do not fit the
+  header keep what they have, as nulls or without the surplus, and are listed by ``csv_rejects``.
 * Parquet TIMESTAMP(NANOS), which Spark does not map to a type, is read as a number and made a
-  microsecond timestamp.
+  microsecond timestamp, decided by the column's type in the footer.
 """
 
 from __future__ import annotations
@@ -23,17 +24,18 @@ import os
 import re
 import uuid
 import weakref
-from collections import OrderedDict
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from fnmatch import fnmatchcase
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.functions.dates import parse_event_ts
+from cohortkit.functions.dates import parse_birth_date, parse_event_ts
+from cohortkit.operators.standardize import patient_id
+from cohortkit.sources.census import NANOS, Signature, group_by_signature, is_csv, signatures
 
 # FIXED VALUES: order files whose base name contains one of these are left out
 ORDER_EXCLUDED_YEARS = ("2023", "2024", "2025")
@@ -41,12 +43,7 @@ ORDER_EXCLUDED_YEARS = ("2023", "2024", "2025")
 PARQUET_GZIP_PATTERN = "*.parquet.gzip"
 # FIXED VALUES: columns that hold dates in the hospital extract
 DATE_COLUMNS = ("REC_DATE", "D001KEY", "PerformDate", "BillDate", "D020AT3")
-SCHEMA_READERS = 16  # schemas read at a time
-
-
-def is_csv(path: str) -> bool:
-    low = path.lower()
-    return low.endswith(".csv") or low.endswith(".csv.gz")
+REJECTED = "_rejected_record"
 
 
 def base_name(path: str) -> str:
@@ -78,6 +75,22 @@ def list_files(spark: SparkSession, directory: str, pattern: str | None = None)
     return sorted(found)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(where) and fs.getFileStatus(where).isDirectory()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file through the Hadoop file system of its path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def _literal(path: str) -> str:
     """``path`` with the characters that Spark's readers would expand as a pattern escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
@@ -95,60 +108,54 @@ def _nanos_session(spark: SparkSession) -> SparkSession:
     return _NANOS[spark]
 
 
-Signature = tuple[str, tuple[tuple[str, str], ...]]
-
-
-def file_signature(spark: SparkSession, path: str) -> Signature:
-    """Kind (csv, parquet, or nanos: Parquet with nanosecond timestamps) and (name, type) of each column."""
-    if is_csv(path):
-        return "csv", tuple((c, "string") for c in _read_csv(spark, [path]).columns)
-    kind = "parquet"
-    try:
-        schema = spark.read.parquet(_literal(path)).schema
-    except Exception as exc:  # noqa: BLE001 - told apart by its text below
-        if "TIMESTAMP(NANOS" not in str(exc):
-            raise
-        kind, schema = "nanos", _nanos_session(spark).read.parquet(_literal(path)).schema
-    return kind, tuple((f.name, f.dataType.simpleString()) for f in schema.fields)
-
-
-def group_by_signature(spark: SparkSession, paths: list[str]) -> "OrderedDict[Signature, list[str]]":
-    """Files with equal schema (or CSV header) together; a file that cannot be read raises."""
-    groups: "OrderedDict[Signature, list[str]]" = OrderedDict()
-    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
-        for path, sig in zip(paths, pool.map(lambda p: file_signature(spark, p), paths)):
-            groups.setdefault(sig, []).append(path)
-    return groups
-
-
-def _read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    df = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-          .option("multiLine", True).option("escape", '"').csv([_literal(p) for p in paths]))
-    # header names as written, without a leading byte-order mark
-    return df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
-
-
-def _nanos_to_timestamps(df: DataFrame) -> DataFrame:
-    """Numeric date columns of a file with nanosecond timestamps: eight digits are yyyyMMdd (T3),
-    anything else counts nanoseconds since 1970."""
-    for name in DATE_COLUMNS:
-        if name in df.columns and isinstance(df.schema[name].dataType, T.LongType):
-            c = F.col(name)
-            nanos = F.expr(f"timestampadd(MICROSECOND, {name} div 1000, timestamp_ntz'1970-01-01 00:00:00')")
-            df = df.withColumn(name, F.when(c.between(10 ** 7, 10 ** 8 - 1), parse_event_ts(c)).otherwise(nanos))
+def _read_csv(spark: SparkSession, paths: list[str], columns: list[str], breaks: bool, rejects: bool = False) -> DataFrame:
+    """CSV files with one header, all columns as text; with ``rejects`` also what does not fit, whole, in ``REJECTED``."""
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", breaks).option("escape", '"'))
+    named = all(columns) and len({c.lower() for c in columns}) == len(columns)
+    if named or rejects:  # the header is known; otherwise Spark makes its names unique
+        names = columns if named else [f"_c{i}" for i in range(len(columns))]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, *([REJECTED] if rejects else [])]])
+        reader = reader.schema(schema).option("enforceSchema", True)
+    if rejects:
+        reader = reader.option("columnNameOfCorruptRecord", REJECTED).option("columnPruning", False)
+    df = reader.csv([_literal(p) for p in paths])
+    return df if named or rejects else df.toDF(*[c.lstrip("\ufeff") for c in df.columns])
+
+
+def _nanos_to_timestamps(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The nanosecond columns, read as numbers, as microsecond timestamps."""
+    for name in columns:
+        nanos = F.expr(f"timestampadd(MICROSECOND, `{name}` div 1000, timestamp_ntz'1970-01-01 00:00:00')")
+        df = df.withColumn(name, nanos)
     return df
 
 
-def read_group(spark: SparkSession, paths: list[str], kind: str | None = None) -> DataFrame:
+def read_group(spark: SparkSession, paths: list[str], signature: Signature) -> DataFrame:
     """One schema group -> one DataFrame (CSV all-text, Parquet with its own types)."""
-    kind = kind or file_signature(spark, paths[0])[0]
-    if kind == "csv":
-        return _read_csv(spark, paths)
+    kind, columns = signature
+    if kind in ("csv", "csv_breaks"):
+        return _read_csv(spark, paths, [c for c, _ in columns], kind == "csv_breaks")
     if kind == "nanos":
-        return _nanos_to_timestamps(_nanos_session(spark).read.parquet(*[_literal(p) for p in paths]))
+        whole = _nanos_session(spark).read.parquet(*[_literal(p) for p in paths])
+        return _nanos_to_timestamps(whole, [c for c, t in columns if t == NANOS])
     return spark.read.parquet(*[_literal(p) for p in paths])
 
 
+def csv_rejects(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """file_name, first_field, record and reason of every CSV record that does not have its header's number of
+    fields or leaves a quote open; a record of blanks alone is none."""
+    out = spark.createDataFrame([], "file_name string, first_field string, record string, reason string")
+    for (kind, columns), group in group_by_signature(spark, [p for p in paths if is_csv(p)]).items():
+        rows = _read_csv(spark, group, [c for c, _ in columns], kind == "csv_breaks", rejects=True)
+        record = F.col(REJECTED)
+        held = F.coalesce(*[F.col(c) for c in rows.columns[:-1]]).isNotNull() | (F.length(F.trim(record)) > 0)
+        bad = rows.withColumn("file_name", F.col("_metadata.file_name")).filter(record.isNotNull() & held)
+        fields = F.regexp_count(F.regexp_replace(record, r'"(?:[^"]|"")*"', ""), F.lit(",")) + 1
+        reason = F.when(F.regexp_count(record, F.lit('"')) % 2 == 1, "open quote").when(fields < len(columns), "fewer fields").otherwise("more fields")
+        out = out.unionByName(bad.select("file_name", F.col(rows.columns[0]).alias("first_field"), record.alias("record"), reason.alias("reason")))
+    return out
+
+
 # -- sources ----------------------------------------------------------------------------------
 @dataclass
 class FileSources:
@@ -177,10 +184,14 @@ class FileSources:
 
     def _grouped(self, paths: list[str], name: str) -> dict[str, DataFrame]:
         out: dict[str, DataFrame] = {}
-        for i, ((kind, _), group) in enumerate(group_by_signature(self.spark, paths).items()):
-            out[f"{name}_{i}"] = read_group(self.spark, group, kind)
+        for i, (signature, group) in enumerate(group_by_signature(self.spark, paths).items()):
+            out[f"{name}_{i}"] = read_group(self.spark, group, signature)
         return out
 
+    def diagnosis_rejects(self) -> DataFrame:
+        """The malformed records of the diagnosis CSV files (``csv_rejects``)."""
+        return csv_rejects(self.spark, list_files(self.spark, self.diagnosis_dir) if self.diagnosis_dir else [])
+
     def diagnosis_layouts(self) -> dict[str, DataFrame]:
         if not self.diagnosis_dir:
             return {}
@@ -211,7 +222,12 @@ class FileSources:
     def demographic(self) -> DataFrame:
         if not self.demographic_path:
             return self.spark.createDataFrame([], "ENC_HN string, D020AT3 double")
-        return read_group(self.spark, [self.demographic_path]).select("ENC_HN", "D020AT3")
+        paths = list_files(self.spark, self.demographic_path) if is_folder(self.spark, self.demographic_path) else [self.demographic_path]
+        frames = [f.select("ENC_HN", "D020AT3") for f in self._layouts(paths, "demographic").values()]
+        if len(frames) == 1:
+            return frames[0]
+        # several types: ids as text by the rule of all sources, birth dates as parsed dates
+        return reduce(DataFrame.unionByName, [f.select(patient_id(f).alias("ENC_HN"), parse_birth_date("D020AT3", f.schema["D020AT3"].dataType).alias("D020AT3")) for f in frames])
 
 
 # -- S13: source profile ------------------------------------------------------------------------
@@ -225,16 +241,13 @@ def profile_sources(spark: SparkSession, directories: Iterable[str], max_files_p
     is a sample). A file whose schema cannot be read yields ``SCHEMA_ERROR: ..``; a missing
     directory profiles as zero files, any other listing error raises."""
     def columns(path: str) -> str:
-        try:
-            return ", ".join(name for name, _ in file_signature(spark, path)[1])
-        except Exception as exc:  # noqa: BLE001 - reported in the profile
-            return f"{SCHEMA_ERROR}{type(exc).__name__}: {exc}"
+        got = found[path]
+        return f"{SCHEMA_ERROR}{got}" if isinstance(got, str) else ", ".join(name for name, _ in got[1])
 
     listed = {d: list_files(spark, d, pattern) for d in directories}
     sample = [(d, i + 1, p) for d, files in listed.items() for i, p in enumerate(files[:max_files_per_dir])]
-    with ThreadPoolExecutor(SCHEMA_READERS) as pool:
-        found = list(pool.map(lambda s: columns(s[2]), sample))
-    rows = [(d, len(listed[d]), rank, base_name(p), cols) for (d, rank, p), cols in zip(sample, found)]
+    found = signatures(spark, [p for _, _, p in sample]) if sample else {}
+    rows = [(d, len(listed[d]), rank, base_name(p), columns(p)) for d, rank, p in sample]
     rows += [(d, 0, None, None, None) for d, files in listed.items() if not files]
     return spark.createDataFrame(rows, "directory string, file_count long, sample_rank int, file_name string, columns string")
 
@@ -302,8 +315,18 @@ def materialize_derived_lake(spark: SparkSession, sf_dir: str, root: str | None
 _LAKES: "weakref.WeakKeyDictionary[SparkSession, dict[str, str]]" = weakref.WeakKeyDictionary()
 
 
+def _stamp(spark: SparkSession, sf_dir: str) -> str:
+    """What tells one state of the tables from another: names, lengths and times of their files."""
+    seen = []
+    for name in ("lineitem", "orders", "customer"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
+            seen.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return "|".join([sf_dir, *sorted(seen)])
+
+
 def mixed_lake(spark: SparkSession, sf_dir: str) -> str:
-    """The derived sources as a lake of mixed forms under the shared folder, written once per session:
+    """The derived sources as a lake of mixed forms under the shared folder, written once for a state of the tables:
 
     diagnosis: CSV, gzipped CSV, Parquet with timestamps and double ids, Parquet with dates and
     integer ids; order: text dates; medication: integer dates and double ids (BillDate layout),
@@ -311,11 +334,11 @@ def mixed_lake(spark: SparkSession, sf_dir: str) -> str:
     numbers without leading zeros everywhere.
     """
     from cohortkit.session import checkpoint_dir
-    from cohortkit.sources.derived import DerivedSources
+    from cohortkit.sources.derived import DX_CODE_DEFAULT, DerivedSources
 
-    lakes = _LAKES.setdefault(spark, {})
-    if sf_dir in lakes:
-        return lakes[sf_dir]
+    lakes, stamp = _LAKES.setdefault(spark, {}), _stamp(spark, sf_dir)
+    if stamp in lakes:
+        return lakes[stamp]
     root = f"{checkpoint_dir(spark).rstrip('/')}/mixed-lake-{uuid.uuid4().hex[:12]}"
     src = DerivedSources(spark, sf_dir)
     number = F.col("ENC_HN").cast("bigint")
@@ -329,6 +352,10 @@ def mixed_lake(spark: SparkSession, sf_dir: str) -> str:
     plain = {"header": True, "escape": '"'}
     part[0].select(*text).write.options(**plain).csv(f"{root}/diagnosis")
     part[1].select(*text).write.options(**plain, compression="gzip").mode("append").csv(f"{root}/diagnosis")
+    # records with a field missing, below a header of three: a file separated by ; whose one column is the text
+    broken = dx.filter((F.col("D035KEY") == DX_CODE_DEFAULT) & (number % 10 == 0))
+    broken.select(F.concat_ws(",", number.cast("string"), F.translate("D001KEY", ",", "")).alias("ENC_HN,D001KEY,D035KEY")) \
+        .write.options(header=True, sep=";").mode("append").csv(f"{root}/diagnosis")
     part[2].select(number.cast("double").alias("ENC_HN"), ts("D001KEY"), "D035KEY").write.mode("append").parquet(f"{root}/diagnosis")
     part[3].select(number.alias("ENC_HN"), ts("D001KEY", "date"), "D035KEY").write.mode("append").parquet(f"{root}/diagnosis")
     med = src.medication_layouts()
@@ -342,7 +369,7 @@ def mixed_lake(spark: SparkSession, sf_dir: str) -> str:
     proc["operation"].select(number.cast("int").alias("ENC_HN"), ts("D001KEY", "date"), "D036KEY").write.parquet(f"{root}/operation")
     proc["surgery"].withColumn("ENC_HN", number.cast("string")).write.parquet(f"{root}/surgery")
     src.demographic().withColumn("ENC_HN", number).write.parquet(f"{root}/demographic")
-    lakes[sf_dir] = root
+    lakes[stamp] = root
     return root
 
 

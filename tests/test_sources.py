@@ -338,3 +338,122 @@ def test_file_sources_from_another_directory(tmp_dir):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 1" in out.stdout, out.stderr[-2000:]
+
+
+# ---- schema census, footer types, CSV rejects ---------------------------------------------------
+
+def _jobs(spark, action):
+    """Number of Spark jobs that ``action`` starts, and its result."""
+    tracker, group = spark.sparkContext.statusTracker(), f"count-{os.urandom(4).hex()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = action()
+        return len(tracker.getJobIdsForGroup(group)), out
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+
+
+def test_census_takes_the_same_number_of_jobs_for_any_number_of_files(spark, tmp_dir):
+    from cohortkit.sources.census import group_by_signature
+
+    shapes = [{"ENC_HN": ["a"], "X": [1]}, {"ENC_HN": ["a"], "X": ["1"]}, {"ENC_HN": ["a"], "Y": [1.5]}]
+    counts = []
+    for n in (9, 600):
+        d = os.path.join(tmp_dir, f"many {n}%")
+        os.makedirs(d)
+        for i in range(n):
+            _pq(f"{d}/f{i:05d}.parquet", shapes[i % 3])
+        jobs, groups = _jobs(spark, lambda: group_by_signature(spark, list_files(spark, d)))
+        assert sorted(map(len, groups.values())) == [n // 3] * 3
+        assert [p for g in groups.values() for p in g][0].endswith("f00000.parquet")
+        counts.append(jobs)
+    assert counts[0] == counts[1] <= 4
+
+
+def test_census_through_hadoop_agrees(spark, tmp_dir):
+    """Files that only Hadoop's file systems reach: same kinds, names and groups."""
+    from cohortkit.sources import census
+
+    now = dt.datetime(2015, 1, 2)
+    _pq(f"{tmp_dir}/a.parquet", {"ENC_HN": ["a"], "D001KEY": pa.array([now], pa.timestamp("us"))})
+    pq.write_table(pa.table({"ENC_HN": ["a"], "D001KEY": pa.array([now], pa.timestamp("ns"))}), f"{tmp_dir}/b.parquet", version="2.6")
+    with open(f"{tmp_dir}/c.csv", "w") as fh:
+        fh.write("﻿ENC_HN,D001KEY\n1,2\n")
+    paths = list_files(spark, tmp_dir)
+    near = census.signatures(spark, paths)
+    far = {p: census._through_hadoop(spark, p) for p in paths}
+    for p in paths:
+        assert near[p][0] == far[p][0] and [n for n, _ in near[p][1]] == [n for n, _ in far[p][1]]
+    assert [near[p][0] for p in paths] == ["parquet", "nanos", "csv"]
+    assert dict(near[paths[1]][1])["D001KEY"] == dict(far[paths[1]][1])["D001KEY"] == census.NANOS
+
+
+def test_nanoseconds_by_type_not_by_value(spark, tmp_dir):
+    """A nanosecond column beside an int64 yyyyMMdd column: small instants stay instants, wrong dates become null."""
+    d = os.path.join(tmp_dir, "med")
+    os.makedirs(d)
+    pq.write_table(pa.table({
+        "ENC_HN": ["a", "b", "c"], "PerformDate": pa.array([20_150_101, 0, None], pa.timestamp("ns")),
+        "BillDate": pa.array([20_150_101, 99_999_999, 5], pa.int64()), "D403KEY": ["ARIP-T-"] * 3}), f"{d}/m.parquet", version="2.6")
+    frame = FileSources(spark, medication_dir=d, pattern="*.parquet").medication_layouts()["medication_0"]
+    got = {r["ENC_HN"]: (r["PerformDate"], r["BillDate"]) for r in frame.collect()}
+    epoch = dt.datetime(1970, 1, 1)
+    assert got == {"a": (epoch + dt.timedelta(microseconds=20_150), 20_150_101), "b": (epoch, 99_999_999), "c": (None, 5)}
+
+
+def test_unreadable_file_is_named(spark, tmp_dir):
+    with open(f"{tmp_dir}/broken.parquet", "wb") as fh:
+        fh.write(b"not parquet")
+    with pytest.raises(ValueError, match="broken.parquet"):
+        FileSources(spark, diagnosis_dir=tmp_dir).diagnosis_layouts()
+
+
+def test_plain_csv_is_split_and_rejects_are_listed(spark, tmp_dir):
+    from cohortkit.sources.files import csv_rejects
+
+    d = os.path.join(tmp_dir, "dx csv")
+    os.makedirs(d)
+    head = "ENC_HN,D001KEY,D035KEY\n"
+    with open(f"{d}/plain.csv", "w") as fh:
+        fh.write(head + "".join(f"p{i},20150101,F03\n" for i in range(60_000)) + "short,20150101\nlong,20150101,F03,x\n\n")
+    with open(f"{d}/breaks.csv", "w") as fh:
+        fh.write(head + 'q1,20150101,"F03\nG30.9"\nq2,20150101\n')
+    with open(f"{d}/open.csv", "w") as fh:
+        fh.write(head + 'r1,20150101,F03\nr2,20150101,"F03\n')
+    paths = list_files(spark, d)
+    bad = {(r["file_name"], r["first_field"], r["reason"]) for r in csv_rejects(spark, paths).collect()}
+    assert bad >= {("plain.csv", "short", "fewer fields"), ("plain.csv", "long", "more fields"), ("breaks.csv", "q2", "fewer fields")}
+    assert not {b for b in bad if b[1] in ("q1", "r1") or (b[1] or "").startswith("p")}
+    layouts = FileSources(spark, diagnosis_dir=d).diagnosis_layouts()
+    rows = {r["ENC_HN"]: r["D035KEY"] for f in layouts.values() for r in f.filter("ENC_HN NOT LIKE 'p%'").collect()}
+    assert rows["q1"] == "F03\nG30.9" and rows["short"] is None and rows["long"] == "F03" and rows["r1"] == "F03"
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        assert max(f.rdd.getNumPartitions() for f in FileSources(spark, diagnosis_dir=d).diagnosis_layouts().values()) > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_demographic_folder_of_several_types(spark, tmp_dir):
+    from cohortkit.operators import index
+
+    d = os.path.join(tmp_dir, "demo")
+    os.makedirs(d)
+    _pq(f"{d}/a.parquet", {"ENC_HN": [12345678, 12345679], "D020AT3": [19500101.0, None]})
+    _pq(f"{d}/b.parquet", {"ENC_HN": ["x"], "D020AT3": ["19600202"]})
+    got = {r["ENC_HN"]: str(r[1])[:10] for r in index.birth_dates(FileSources(spark, demographic_path=d).demographic()).collect()}
+    assert got == {"12345678": "1950-01-01", "12345679": "None", "x": "1960-02-02"}
+
+
+def test_ids_of_eight_digits_stay_apart(spark, tmp_dir):
+    """Customers beyond 9,999,999 keep their own ids in the derived sources and in the files."""
+    from cohortkit.functions.codes import padded_id
+    from cohortkit.sources.derived import DerivedSources
+
+    keys = [1, 1_000_000, 9_999_999, 10_000_000, 10_000_001, 123_456_789_012]
+    _pq(f"{tmp_dir}/customer.parquet", {"c_custkey": keys})
+    ids = {r["ENC_HN"] for r in DerivedSources(spark, tmp_dir).demographic().collect()}
+    assert ids == {f"{k:07d}" for k in keys if k % 50 != 2 or k % 50 in (0, 1)}
+    frame = spark.createDataFrame([(k,) for k in keys], "k long").select(padded_id("k").alias("id"))
+    assert [r["id"] for r in frame.collect()] == [f"{k:07d}" for k in keys]
