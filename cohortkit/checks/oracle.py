@@ -63,7 +63,7 @@ def _ctes(maps: CodeMaps) -> str:
         for g in groups)
     return f"""
 lines AS (
-  SELECT lpad(CAST(o.o_custkey AS VARCHAR), 7, '0') AS hn, o.o_orderdate AS od, l.l_shipdate AS sd,
+  SELECT printf('%07d', o.o_custkey) AS hn, o.o_orderdate AS od, l.l_shipdate AS sd,
          l.l_linenumber AS ln,
          (l.l_partkey*31 + l.l_suppkey*7 + l.l_linenumber*101 + o.o_orderkey*3) % 1000 AS kd,
          (l.l_partkey*17 + l.l_suppkey*13 + l.l_linenumber*211 + o.o_orderkey*5) % 1000 AS km,
@@ -199,13 +199,13 @@ exact_base AS (
   FROM flags6),
 final_cohort AS (SELECT * FROM exact_base WHERE is_final_cohort),
 demo AS (
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS ENC_HN,
+  SELECT printf('%07d', c_custkey) AS ENC_HN,
     CAST(strftime(DATE '{D.BIRTH_BASE.isoformat()}' + CAST((c_custkey * {D.BIRTH_MULTIPLIER}) % {D.BIRTH_SPAN_DAYS} AS INTEGER), '%Y%m%d') AS DOUBLE) AS D020AT3
   FROM customer WHERE c_custkey % 50 <> 2
   UNION ALL
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0'), CAST(NULL AS DOUBLE) FROM customer WHERE c_custkey % 50 = 0
+  SELECT printf('%07d', c_custkey), CAST(NULL AS DOUBLE) FROM customer WHERE c_custkey % 50 = 0
   UNION ALL
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 7, '0'),
+  SELECT printf('%07d', c_custkey),
     CAST(strftime(DATE '{D.BIRTH_BASE.isoformat()}' + CAST((c_custkey * {D.BIRTH_MULTIPLIER}) % {D.BIRTH_SPAN_DAYS} + 365 AS INTEGER), '%Y%m%d') AS DOUBLE)
   FROM customer WHERE c_custkey % 50 = 1),
 demo_parsed AS (
@@ -303,6 +303,10 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (
     out["file_exact_base"] = out["exact_criteria_base"]
     for name in ("dx_summary", "med_working", "rt_summary"):
         out[f"file_{name}"] = out[name]
+    # records that the lake writes with a field missing: the rows of the default code whose id is a multiple of ten
+    out["file_csv_rejects"] = w(f"""SELECT 'fewer fields' AS reason, count(*) AS n_rows,
+      count(DISTINCT CAST(CAST(ENC_HN AS BIGINT) AS VARCHAR) || ',' || D001KEY) AS n_records
+    FROM dx_src WHERE D035KEY = '{D.DX_CODE_DEFAULT}' AND CAST(ENC_HN AS BIGINT) % 10 = 0""")
     # the folders' own column names
     out["source_profile"] = """SELECT * FROM (VALUES
   ('operation', true, 'ENC_HN, D001KEY, D036KEY'), ('surgery', true, 'ENC_HN, D001KEY, OPR_1, OPR_2'),
@@ -489,4 +493,7 @@ SELECT m.ENC_HN, m.REC_DATE, m.CODE, r.rt_first_date, r.rt_last_date
 FROM med_working m JOIN rt_summary r ON m.ENC_HN = r.ENC_HN
 WHERE m.drug_class = 'Memantine' AND m.REC_DATE BETWEEN r.rt_first_date AND r.rt_last_date""")
     out["file_dementia_index_labelled"] = out["dementia_index_labelled"]
+    for name, of in (("published_dx_summary", "dx_summary"), ("published_age_issues", "age_exceptions"),
+                     ("mapped_dx_summary", "dx_summary"), ("mapped_med_working", "med_working")):
+        out[name] = out[of]
     return out

@@ -165,19 +165,16 @@ class CohortPlan:
 
     # -- materialization -----------------------------------------------------------------
     def run(self, out_dir: str) -> dict[str, str]:
-        """Write the published tables under ``out_dir`` (a shared folder on a cluster).
+        """Write the published tables under ``out_dir`` (a shared folder on a cluster) and publish
+        them together (``sinks.published``); a run that fails leaves the set published before.
 
         Working tables are written first and read back, so the summaries, the exact base and
         the reports are computed from stored tables, not from the raw sources again.
         """
-        from cohortkit.sources.sinks import write_table
+        from cohortkit.sources.sinks import Publication
 
-        written: dict[str, str] = {}
-
-        def save(name: str, df: DataFrame, sort_cols=None) -> DataFrame:
-            path = write_table(df, f"{out_dir}/{name}", sort_within=sort_cols)
-            written[name] = path
-            return self.spark.read.parquet(path)
+        publication = Publication(self.spark, out_dir)
+        save = publication.write
 
         # FIXED VALUES: the table names below are the published ones (or say what was added)
         dxw = save("dx_working", self.dx_working, ["ENC_HN", "D001KEY"])
@@ -216,4 +213,4 @@ class CohortPlan:
         profile = getattr(self.sources, "profile", None)
         if profile:
             save("source_profile", profile())
-        return written
+        return publication.commit()

@@ -7,6 +7,7 @@ oracle SQL in ``cohortkit.checks.oracle``.
 
 from __future__ import annotations
 
+import uuid
 import weakref
 from collections.abc import Callable
 from functools import reduce
@@ -14,14 +15,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.functions.codes import normalize_code
+from cohortkit.functions.codes import normalize_code, padded_id
 from cohortkit.functions.dates import parse_event_ts
-from cohortkit.operators import criteria, index, reports
+from cohortkit.operators import criteria, diagnosis, index, reports
 from cohortkit.operators.standardize import resolve_medication_columns
 from cohortkit.plans.cohort import CohortPlan
 from cohortkit.schemas import StudyWindow
 from cohortkit.sources.codemaps import CodeMaps
-from cohortkit.sources.derived import DERIVED_WINDOW, DerivedSources
+from cohortkit.sources.derived import DERIVED_WINDOW, MED_CODE_DEFAULT, DerivedSources
 
 DERIVED_STUDY_WINDOW = StudyWindow(*DERIVED_WINDOW)
 
@@ -171,7 +172,7 @@ def file_plan(spark, sf_dir) -> CohortPlan:
 def _file_attr(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """A stage over the files; their numeric ids are padded as in the derived sources."""
     def run(spark, sf_dir):
-        return getattr(file_plan(spark, sf_dir), name).withColumn("ENC_HN", F.lpad("ENC_HN", 7, "0"))
+        return getattr(file_plan(spark, sf_dir), name).withColumn("ENC_HN", padded_id("ENC_HN"))
     run.__name__ = f"q_file_{name}"
     return run
 
@@ -187,6 +188,54 @@ def q_source_profile(spark, sf_dir):
                        "columns").distinct()
 
 
+def q_file_csv_rejects(spark, sf_dir):
+    """Malformed records of the lake's diagnosis CSV files, counted by reason."""
+    from cohortkit.sources.files import lake_sources, mixed_lake
+
+    rejects = lake_sources(spark, mixed_lake(spark, sf_dir)).diagnosis_rejects()
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("record").alias("n_records"))
+
+
+def _published(spark, tables: dict, name: str) -> DataFrame:
+    """``tables`` (name -> function of the tables stored so far) written and published in the shared folder; ``name`` as readers find it."""
+    from cohortkit.session import checkpoint_dir
+    from cohortkit.sources.sinks import Publication, read_published
+
+    out = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex[:12]}"
+    publication, stored = Publication(spark, out), {}
+    for table, make in tables.items():
+        stored[table] = publication.write(table, make(stored))
+    publication.commit()
+    return read_published(spark, out, name)
+
+
+def q_published_dx_summary(spark, sf_dir):
+    """The working table is stored sorted, the summary is made from its stored code texts, both are published
+    together and the summary is read back through the manifest. Equals ``dx_summary``."""
+    plan = derived_plan(spark, sf_dir)
+    return _published(spark, {"dx_working": lambda t: plan.dx_working,
+                              "dx_summary": lambda t: diagnosis.dx_summary(t["dx_working"], plan.maps)}, "dx_summary")
+
+
+def q_published_age_issues(spark, sf_dir):
+    """The patients without a usable age, published and read back. Equals ``age_exceptions``."""
+    plan = derived_plan(spark, sf_dir)
+    return _published(spark, {"index_with_age": lambda t: plan.indexed,
+                              "potential_age_issues": lambda t: index.age_exceptions(t["index_with_age"])}, "potential_age_issues")
+
+
+def _by_stored_maps(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A stage by code maps that are written as CSV files and read again; the medication map also lists
+    the drug of most events as not included, so the result equals that of the built-in maps."""
+    def run(spark, sf_dir):
+        from cohortkit.session import checkpoint_dir
+
+        folder = CodeMaps.default().to_dir(spark, f"{checkpoint_dir(spark).rstrip('/')}/maps-{uuid.uuid4().hex[:12]}", (MED_CODE_DEFAULT,))
+        return getattr(derived_plan(spark, sf_dir, CodeMaps.from_dir(spark, folder)), name)
+    run.__name__ = f"q_mapped_{name}"
+    return run
+
+
 def q_exact_criteria_base_joined(spark, sf_dir):
     """J2 J3 J7 in join form, as ``run`` merges the three stored summaries."""
     plan = derived_plan(spark, sf_dir)
@@ -258,6 +307,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_rt_summary": _file_attr("rt_summary"),
     "file_exact_base": _file_attr("exact_base"),
     "file_dementia_index_labelled": _file_attr("labelled"),
+    "file_csv_rejects": q_file_csv_rejects,
+    "published_dx_summary": q_published_dx_summary,
+    "published_age_issues": q_published_age_issues,
+    "mapped_dx_summary": _by_stored_maps("dx_summary"),
+    "mapped_med_working": _by_stored_maps("med_working"),
     "exact_criteria_base_joined": q_exact_criteria_base_joined,
     "refresh_exact_base": q_refresh_exact_base,
 }

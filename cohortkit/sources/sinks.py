@@ -1,17 +1,113 @@
-"""Sinks (S15, S16): published tables as Parquet folders.
+"""Sinks (S15, S16): published tables as Parquet folders, all of a run or none.
 
-``write_table`` replaces a table atomically per job (Spark's output committer) and can
-sort rows within each output file (O1) instead of a global sort. On a cluster ``path`` is a
-shared folder; a lost executor only re-runs its own tasks of the write.
+A ``Publication`` writes its tables into a run folder of its own, ``<out>/runs/<id>/<table>``, which
+no reader looks at. ``commit`` writes the list of the tables to a scratch file and renames it to the
+next number under ``<out>/manifests``; readers take the highest number there. So the new set appears
+with one rename, a run that dies before it leaves the old set as it was, and a reader that has
+resolved a set keeps reading it while another one is published. ``drop_old`` removes run folders that no
+kept manifest names. Everything goes through the Hadoop file system of the path; a lost executor only
+re-runs its own tasks of a write.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from cohortkit.sources.files import write_text
+
+MANIFESTS, RUNS = "manifests", "runs"
 
 
 def write_table(df: DataFrame, path: str, sort_within: list[str] | None = None, mode: str = "overwrite") -> str:
+    """One table as a Parquet folder, rows sorted within each file (O1). Overwriting removes the old
+    files first; use a ``Publication`` where readers must never see that."""
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     out.write.mode(mode).parquet(path)
     return path
 
+
+def _fs(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _manifests(spark: SparkSession, out_dir: str) -> dict[int, str]:
+    """Number -> path of the committed manifests."""
+    fs, where = _fs(spark, f"{out_dir}/{MANIFESTS}")
+    if not fs.exists(where):
+        return {}
+    names = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(where)]
+    return {int(n.removesuffix(".json")): p for n, p in names if n.endswith(".json") and n.removesuffix(".json").isdigit()}
+
+
+def _read_manifest(spark: SparkSession, path: str) -> dict:
+    fs, where = _fs(spark, path)
+    stream = fs.open(where)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def published(spark: SparkSession, out_dir: str) -> dict[str, str]:
+    """Table name -> path of the set published last; empty if there is none."""
+    found = _manifests(spark, out_dir)
+    if not found:
+        return {}
+    manifest = _read_manifest(spark, found[max(found)])
+    return {name: f"{out_dir}/{RUNS}/{manifest['run']}/{name}" for name in manifest["tables"]}
+
+
+def read_published(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    tables = published(spark, out_dir)
+    if name not in tables:
+        raise FileNotFoundError(f"{out_dir} has no published table {name}")
+    return spark.read.parquet(tables[name])
+
+
+class Publication:
+    """The tables of one run; they become visible together."""
+
+    def __init__(self, spark: SparkSession, out_dir: str) -> None:
+        self.spark, self.out_dir = spark, out_dir.rstrip("/")
+        self.run = uuid.uuid4().hex
+        self.tables: dict[str, str] = {}
+
+    def write(self, name: str, df: DataFrame, sort_within: list[str] | None = None) -> DataFrame:
+        """Writes a table of this run and returns it as stored."""
+        if name in self.tables:
+            raise ValueError(f"table {name} is written twice")
+        path = write_table(df, f"{self.out_dir}/{RUNS}/{self.run}/{name}", sort_within, mode="error")
+        self.tables[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def commit(self) -> dict[str, str]:
+        """Publishes the tables; of two runs that commit at once the later one gets the higher number."""
+        fs, scratch = _fs(self.spark, f"{self.out_dir}/{MANIFESTS}/.{self.run}.tmp")
+        write_text(self.spark, scratch.toString(), json.dumps({"run": self.run, "tables": sorted(self.tables)}))
+        while True:
+            number = max(_manifests(self.spark, self.out_dir), default=0) + 1
+            _, target = _fs(self.spark, f"{self.out_dir}/{MANIFESTS}/{number:012d}.json")
+            if not fs.exists(target) and fs.rename(scratch, target):
+                return dict(self.tables)
+
+
+def drop_old(spark: SparkSession, out_dir: str, keep: int = 1) -> list[str]:
+    """Removes the manifests but the last ``keep`` (one at least), and the run folders that these do not name;
+    returns the runs removed. Not to be called while a run is being written."""
+    found = _manifests(spark, out_dir)
+    kept = sorted(found)[-max(1, keep):]
+    if not kept:
+        return []
+    runs = {_read_manifest(spark, found[k])["run"] for k in kept}
+    for k in sorted(set(found) - set(kept)):
+        fs, where = _fs(spark, found[k])
+        fs.delete(where, False)
+    fs, where = _fs(spark, f"{out_dir}/{RUNS}")
+    removed = [s.getPath() for s in fs.listStatus(where) if s.getPath().getName() not in runs]
+    for path in removed:
+        fs.delete(path, True)
+    return sorted(p.getName() for p in removed)
