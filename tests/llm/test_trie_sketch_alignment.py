@@ -115,7 +115,9 @@ def near_copies(n, changed):
     return out
 
 
-def test_odd_sketch_components_equal_all_pairs(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 4])  # 0: every open query is compared with whole components
+def test_odd_sketch_components_equal_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(odd_sketch, "FEW", few)
     monkeypatch.setattr(odd_sketch, "QUERIES", 8)  # several cells in a band
     monkeypatch.setattr(odd_sketch, "DATA", 16)
     rows = [(i, t) for i, t, *_ in H.DOCS] + near_copies(80, 11) + [(90, "One"), (91, "one"), (92, "x y z w v u t s r q p o"), (93, "x y z w v u t s r q p")]
