@@ -69,11 +69,16 @@ def _id_unless(key: Column) -> Column:
     return F.when(key != NULL_ID_KEY, F.col("hn")).alias("ENC_HN")
 
 
-def _as_source(df: DataFrame, *cols: Column) -> DataFrame:
+def _as_source(df: DataFrame, *cols: Column, only: Column | None = None) -> DataFrame:
     """Project the layout's columns behind a generator so the layout behaves like a file scan:
     every derived value is computed once per row, and filters of the consumer stay above it
-    instead of being inlined (repeatedly) into the derivation."""
-    return df.select(F.inline(F.array(F.struct(*cols))))
+    instead of being inlined (repeatedly) into the derivation.
+
+    Rows that do not meet ``only`` are left out by the generator, and both dates go into it whether the layout
+    has them or not: so every layout asks the same of the join below, whose shuffles then run once for all.
+    """
+    row = F.array(F.struct(*cols, F.col("od").alias("_od"), F.col("sd").alias("_sd")))
+    return df.select(F.inline(row if only is None else F.when(only, row))).drop("_od", "_sd")
 
 
 def _ymd(d: Column) -> Column:
@@ -118,10 +123,7 @@ class DerivedSources:
         o = self._table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
         pk, sk, ln, ok = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("o_orderkey")
-        # behind the generator every consumer sees the same join: filters and pruning stop above
-        # it, so its shuffles are equal in all branches of a plan and run once (ReusedExchange)
-        return _as_source(
-            j,
+        return j.select(
             padded_id(F.col("o_custkey")).alias("hn"),
             F.col("o_orderdate").alias("od"),
             F.col("l_shipdate").alias("sd"),
@@ -168,16 +170,15 @@ class DerivedSources:
         date = _date_text(F.col("sd"), F.col("ln"))
         m = F.col("ln") % 3
         note = F.lit(None).cast("string")
-        a = _as_source(x.filter(m == 0), _id_unless(F.col("km")), date.alias("REC_DATE"),
-                       note.alias("PROP_HELP"), code.alias("CODE"))
+        a = _as_source(x, _id_unless(F.col("km")), date.alias("REC_DATE"),
+                       note.alias("PROP_HELP"), code.alias("CODE"), only=m == 0)
         co = _as_source(
-            x.filter(F.col("kd") == 0),
-            F.col("hn").alias("ENC_HN"), _ymd(F.col("od")).alias("REC_DATE"),
-            note.alias("PROP_HELP"), F.lit(CO_PRESCRIPTION_CODE).alias("CODE"))
-        b = _as_source(x.filter(m == 1), _id_unless(F.col("km")), date.alias("BillDate"),
-                       note.alias("freetext"), code.alias("Drugcode"))
-        c = _as_source(x.filter(m == 2), _id_unless(F.col("km")), date.alias("D001KEY"),
-                       note.alias("Comment"), code.alias("DSPCode"))
+            x, F.col("hn").alias("ENC_HN"), _ymd(F.col("od")).alias("REC_DATE"),
+            note.alias("PROP_HELP"), F.lit(CO_PRESCRIPTION_CODE).alias("CODE"), only=F.col("kd") == 0)
+        b = _as_source(x, _id_unless(F.col("km")), date.alias("BillDate"),
+                       note.alias("freetext"), code.alias("Drugcode"), only=m == 1)
+        c = _as_source(x, _id_unless(F.col("km")), date.alias("D001KEY"),
+                       note.alias("Comment"), code.alias("DSPCode"), only=m == 2)
         return {"order_a": a.unionByName(co), "medication_b": b, "medication_c": c}
 
     # -- procedures: operation (D036KEY) and surgery (OPR_1, OPR_2) --------------------------
@@ -190,12 +191,11 @@ class DerivedSources:
         date = _date_text(F.col("sd"), F.col("ln"))
         odd = (F.col("ln") % 2) == 1
         even_kp = (F.col("kp") % 2) == 0
-        op = _as_source(x.filter(odd), _id_unless(F.col("kp")), date.alias("D001KEY"), code.alias("D036KEY"))
+        op = _as_source(x, _id_unless(F.col("kp")), date.alias("D001KEY"), code.alias("D036KEY"), only=odd)
         sg = _as_source(
-            x.filter(~odd),
-            _id_unless(F.col("kp")), date.alias("D001KEY"),
+            x, _id_unless(F.col("kp")), date.alias("D001KEY"),
             F.when(even_kp, code).alias("OPR_1"),
-            F.when(~even_kp, code).alias("OPR_2"),
+            F.when(~even_kp, code).alias("OPR_2"), only=~odd,
         )
         return {"operation": op, "surgery": sg}
 
