@@ -1,13 +1,17 @@
 """Secret scans: base patterns, and guess costs of values that stand in a credential context.
 
 A value's guess cost is the least sum, over all ways to cut it into segments, of the log10 guesses of the segments:
-common words by rank (with a factor for capitals and for look-alike digits), dates, repeats, keyboard walks and
-sequences, and brute force for single characters. The dynamic program looks back over bounded segments only, so its time
-is linear in the value. A value of a credential context whose cost reaches ``MIN_COST`` gives a span of kind ``guess``;
-a placeholder such as ``password = changeme123`` does not.
+words by rank (with a factor for capitals and for look-alike digits), dates, repeats of a unit of up to ``UNIT``
+characters, keyboard walks and sequences, and brute force for single characters. The dynamic program weighs every start
+and end of each of them; of walks and repeats, which have no greatest length, it keeps only the starts that can still win.
+The words are a short fixed list of common passwords, then the ``DICTIONARY`` words that most texts of the corpus hold as
+prose: one Spark count over all texts, ties in the order of the words, at least ``MIN_TEXTS`` texts each. A value of a
+credential context whose cost reaches ``MIN_COST`` gives a span of kind ``guess``; a placeholder such as
+``password = changeme123`` or an ordinary word (``password: required``) does not.
 
 Texts are read whole in Arrow batches; the patterns run where a keyword occurs in the bytes. Defined results: null text
-is empty and has no spans; repeated rows are scanned each; an empty table gives an empty result.
+is empty and has no spans; repeated rows are scanned each; an empty table gives an empty result; other columns are
+not read. A very long text is one row of an Arrow batch and is scanned whole.
 """
 
 from __future__ import annotations
@@ -60,47 +64,85 @@ LONGEST = max(map(len, WORDS))
 LOOKALIKE = str.maketrans("013457@$", "oleastas")
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
 NEXT = {a + b for row in ROWS for a, b in (*zip(row, row[1:]), *zip(row[::-1], row[::-1][1:]))}
-DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])[-/.](?:0[1-9]|1[0-2])[-/.](?:19|20)\d\d")
+MONTH, DAY, YEAR = "(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])", r"(?:19|20)\d\d"
+DATES = [(re.compile(YEAR), 2.1), (re.compile(f"{YEAR}[-/.]?{MONTH}[-/.]?{DAY}"), 4.6), (re.compile(f"{DAY}[-/.]{MONTH}[-/.]{YEAR}"), 4.6)]
 DIGIT, LETTER, OTHER, JOINT = 1.0, math.log10(26), math.log10(33), 0.6
 UNIT = 8  # longest repeated unit
+DICTIONARY, MIN_TEXTS = 30_000, 3  # corpus words taken into the dictionary, and the least number of texts that hold one
+# A word of prose: lower-case letters alone, not the value of a name, so that a secret which many copies hold is no word.
+PROSE = r"""(?<![\w:=/+.@$-]|[:=]["']|[:=]\x20["']?)[a-z]{4,19}(?![\w:=/+@$-])"""
 SEGMENT = 0.3  # log10 of the ways to join one more segment
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation needs."""
+class Starts:
+    """Starts of a run's segments, of which the best for the current end is asked; a segment costs cost[start] + log10(length).
+
+    Of two starts the cheaper and earlier one overtakes the later one at most once and for good, and one that is neither
+    cheaper nor later than another never wins again. So only starts of rising cost and falling total are kept.
+    """
+
+    def __init__(self) -> None:
+        self.kept: list[tuple[int, float]] = []
+
+    def add(self, start: int, cost: float) -> None:
+        while self.kept and self.kept[-1][1] >= cost:
+            self.kept.pop()
+        self.kept.append((start, cost))
+
+    def best(self, end: int) -> float:
+        least, left = math.inf, []
+        for start, cost in self.kept:
+            total = cost + math.log10(end - start)
+            if total < least:
+                least = total
+                left.append((start, cost))
+        self.kept = left
+        return least
+
+
+def guess_cost(value: str, rank: dict[str, float] = RANK, longest: int = LONGEST) -> float:
+    """log10 of the guesses that the cheapest of all segmentations needs; ``rank``: log10 guesses of a word of at most ``longest``."""
     n, low = len(value), value.lower()
     low = low if len(low) == n else value
     plain = low.translate(LOOKALIKE)
     cost = [0.0] + [math.inf] * n
-    dates = {m.start(): m.end() for m in DATE.finditer(value)}
-
-    def reach(i: int, j: int, c: float) -> None:
-        if cost[i] + c < cost[j]:
-            cost[j] = cost[i] + c
-
-    walk, until = 0, [0] * (UNIT + 1)
+    dates: dict[int, list[tuple[int, float]]] = {}
     for i in range(n):
-        ch = value[i]
-        reach(i, i + 1, DIGIT if ch.isdigit() else LETTER + 0.3 * ch.isupper() if ch.isalpha() else JOINT if ch in "_-." else OTHER)
-        for j in range(i + 3, min(n, i + LONGEST) + 1):
-            rank = RANK.get(plain[i:j])
-            if rank is not None:
-                reach(i, j, rank + SEGMENT + 0.3 * (value[i:j] != low[i:j]) + 0.5 * (low[i:j] != plain[i:j]))
-        if i in dates:
-            reach(i, dates[i], SEGMENT + (2.1 if dates[i] - i == 4 else 4.6))
-        if i >= walk:  # a walk is entered at its first key
-            walk = i + 1
-            while walk < n and low[walk - 1: walk + 1] in NEXT:
-                walk += 1
-            if walk >= i + 3:
-                reach(i, walk, SEGMENT + 1.5 + math.log10(walk - i))
-        for unit in range(1, UNIT + 1):
-            if i >= until[unit] and value[i: i + unit] == value[i + unit: i + 2 * unit]:  # a run is entered at its first copy
-                j = i + 2 * unit
-                while value[j: j + unit] == value[i: i + unit]:
-                    j += unit
-                until[unit] = j - unit
-                reach(i, j, SEGMENT + unit * LETTER + math.log10((j - i) // unit))
+        if value[i].isdigit():
+            for pattern, guesses in DATES:
+                if m := pattern.match(value, i):
+                    dates.setdefault(m.end(), []).append((i, guesses))
+    walk, steps = Starts(), 0
+    # for each length of the repeated unit: characters in a row that equal the one a unit before, and starts by their remainder
+    same, units = [0] * (UNIT + 1), [[Starts() for _ in range(u)] for u in range(UNIT + 1)]
+    for j in range(1, n + 1):
+        ch = value[j - 1]
+        least = cost[j - 1] + (DIGIT if ch.isdigit() else LETTER + 0.3 * ch.isupper() if ch.isalpha() else JOINT if ch in "_-." else OTHER)
+        for i in range(j - 3, max(0, j - longest) - 1, -1):
+            guesses = rank.get(plain[i:j])
+            if guesses is not None:
+                least = min(least, cost[i] + guesses + SEGMENT + 0.3 * (value[i:j] != low[i:j]) + 0.5 * (low[i:j] != plain[i:j]))
+        for i, guesses in dates.get(j, ()):
+            least = min(least, cost[i] + SEGMENT + guesses)
+        if j > 1 and low[j - 2: j] in NEXT:
+            steps += 1
+            if steps >= 2:
+                walk.add(j - 3, cost[j - 3])
+                least = min(least, SEGMENT + 1.5 + walk.best(j))
+        elif steps:
+            walk, steps = Starts(), 0
+        for unit in range(1, min(UNIT, j - 1) + 1):
+            if ch == value[j - 1 - unit]:
+                same[unit] += 1
+                if same[unit] >= unit:
+                    starts = units[unit][j % unit]
+                    starts.add(j - 2 * unit, cost[j - 2 * unit])
+                    least = min(least, SEGMENT + unit * LETTER - math.log10(unit) + starts.best(j))
+            elif same[unit]:
+                if same[unit] >= unit:
+                    units[unit] = [Starts() for _ in range(unit)]
+                same[unit] = 0
+        cost[j] = least
     return cost[n]
 
 
@@ -123,7 +165,7 @@ def values(text: str) -> Iterator[tuple[int, int]]:
         yield value.span("value")
 
 
-def spans(raw: bytes) -> tuple[list[tuple[str, int, int]], float | None]:
+def spans(raw: bytes, rank: dict[str, float] = RANK, longest: int = LONGEST) -> tuple[list[tuple[str, int, int]], float | None]:
     """Spans (kind, start, end in code points) of a UTF-8 text, and the greatest cost of a value in a credential context."""
     low = raw.lower()
     assign, context = any(k in low for k in ASSIGN_KEYS), any(k in low for k in CONTEXT_KEYS)
@@ -141,29 +183,43 @@ def spans(raw: bytes) -> tuple[list[tuple[str, int, int]], float | None]:
         out += [("hex", *m.span()) for m in HEX.finditer(text)]
     if context:
         for a, b in values(text):
-            cost = guess_cost(text[a:b])
+            cost = guess_cost(text[a:b], rank, longest)
             most = cost if most is None else max(most, cost)
             if cost >= MIN_COST:
                 out.append(("guess", a, b))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]))), most
 
 
-def _row(raw: bytes) -> tuple:
-    found, most = spans(raw)
+def _row(raw: bytes, rank: dict[str, float], longest: int) -> tuple:
+    found, most = spans(raw, rank, longest)
     said = lambda x: ",".join(f"{k}:{s}:{e}" for k, s, e in x)
     base = [s for s in found if s[0] != "guess"]
     n = {k: sum(s[0] == k for s in found) for k in KINDS}
     return n["assign"], n["access"], n["hex"], hashlib.sha256(said(base).encode()).hexdigest(), said(found), n["guess"], most
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """``OUT`` for every document."""
+def corpus_words(texts: DataFrame, words: int = DICTIONARY) -> dict[str, float]:
+    """log10 guesses of the fixed common words and, after them, of the ``words`` words that most texts (column text) hold as prose."""
+    found = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.col("text"), F.lit(PROSE), F.lit(0)))).alias("word"))
+    top = found.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_TEXTS).orderBy(F.desc("n"), "word").limit(words)
+    rank = dict(RANK)
+    for r in top.select("word").collect():  # at most ``words`` short rows
+        rank.setdefault(r["word"], math.log10(len(rank) + 2))
+    return rank
+
+
+def scan(docs: DataFrame, rank: dict[str, float] | None = None) -> DataFrame:
+    """``OUT`` for every document; ``rank``: the dictionary, ``corpus_words`` of all texts if it is not given."""
+    rank = corpus_words(docs) if rank is None else rank
+    longest = max(map(len, rank), default=0)
+    shared = docs.sparkSession.sparkContext.broadcast(rank)  # bounded by ``DICTIONARY``
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.float64())
     names = [c.split()[0] for c in OUT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
         for b in pieces(batches):
-            rows = [_row(t) for t in b.column(1).to_pylist()]
+            rows = [_row(t, words, longest) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.utf8(F.col("text")).alias("t")).mapInArrow(run, OUT)
