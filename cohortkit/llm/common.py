@@ -56,6 +56,18 @@ def small(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
     return F.broadcast(df) if rows * bytes_per_row <= BROADCAST_BYTES else df
 
 
+RUN = 4_096
+
+
+def numbered(df: DataFrame, count: str, name: str) -> DataFrame:
+    """Each row ``count`` times, with its number from 0 as ``name``. Large counts are dealt in runs of ``RUN`` numbers to all
+    tasks first, so that no task writes all copies of one row."""
+    runs = df.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({count} - 1) div {RUN}"))))
+    last = F.least(F.col(count), (F.col(name) + 1) * RUN) - 1
+    return runs.repartition(*[F.col(c) for c in runs.columns]) \
+        .withColumn(name, F.explode(F.sequence(F.col(name) * RUN, last))).drop(count)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}

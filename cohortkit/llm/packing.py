@@ -6,8 +6,10 @@ by hash and packed there from long to short: a piece goes to the open bin with t
 longest pieces still waiting, and the one with the least cost per word, (length + ``BIN_COST``) / words held, is
 opened. Finally every bin is downsized to the shortest permitted length that holds its contents.
 
-Only lengths are shuffled, never texts. Defined results: an empty or null text has one row with 0 words, no bin and no
-capacity; repeated rows are packed each; an empty table gives an empty result.
+Only lengths are shuffled, never texts. Pieces are dealt and ordered by doc_id, a hash of the text, the number of the copy and
+the piece, so the result does not depend on how the rows are split over files. Equal sizes go in that order. Defined results: an empty or null text has one row with 0 words, no bin and no
+capacity; repeated rows are packed each; an empty table gives an empty result; other columns are not read;
+a very long text is counted by Spark and packed in pieces of the longest length.
 """
 
 from __future__ import annotations
@@ -73,7 +75,7 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...] = LENGTHS) -> list[tuple
 
 
 def _pack(rows: pa.Table, lengths: tuple[int, ...]) -> pa.Table:
-    rows = rows.sort_by([("rid", "ascending"), ("piece", "ascending")])
+    rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "digest", "copy", "piece")])
     placed = best_fit(rows["n_words"].to_pylist(), lengths)
     shard = rows["shard"][0].as_py() if rows.num_rows else 0
     return pa.table({
@@ -84,13 +86,15 @@ def _pack(rows: pa.Table, lengths: tuple[int, ...]) -> pa.Table:
 def pack(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
     """``OUT``: where each piece of each document goes."""
     longest = max(lengths)
-    sizes = common.stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.word_count(F.col("text")).alias("size"))
-                          .withColumn("rid", F.monotonically_increasing_id()), "pack-sizes")  # rid is fixed once written
+    key = ["doc_id", "digest", "size"]
+    items = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("digest"),
+                        common.word_count(F.col("text")).alias("size")).groupBy(key).agg(F.count("*").alias("copies"))
+    sizes = common.stored(common.numbered(items, "copies", "copy"), "pack-sizes")
     n = sizes.agg(F.sum(F.ceil(F.col("size") / longest))).first()[0] or 0
     pieces = sizes.filter("size > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(size - 1) div {longest}"))))
     pieces = pieces.withColumn("start_word", F.col("piece") * longest) \
         .withColumn("n_words", F.least(F.lit(longest), F.col("size") - F.col("start_word")).cast("long")) \
-        .withColumn("shard", F.pmod(F.xxhash64("rid", "piece"), F.lit(max(1, -(-n // SHARD_PIECES)))))
+        .withColumn("shard", F.pmod(F.xxhash64("doc_id", "digest", "copy", "piece"), F.lit(max(1, -(-n // SHARD_PIECES)))))
     lengths = tuple(lengths)
     packed = pieces.drop("size").groupBy("shard").applyInArrow(lambda t: _pack(t, lengths), OUT)
     none = F.lit(None).cast("long")

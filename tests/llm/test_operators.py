@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from cohortkit.llm import exact_dedup, license_scan, mixing, ngram_lm, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
+from cohortkit.llm import common, exact_dedup, license_scan, mixing, ngram_lm, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
 from cohortkit.llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SF_SMALL
 from tests.llm import helpers as H
@@ -183,6 +183,42 @@ def test_best_fit_is_near_the_least_cost():
         assert sum(caps.values()) <= 1.12 * sum(sizes) + 64
 
 
+def test_packing_does_not_depend_on_the_splits(spark):
+    d = H.docs(spark, [(i % 50, f"{'w ' * (i * 37 % 900)}{i}", "en", "a") for i in range(400)] + H.DOCS * 3)
+    packed = [Counter(packing.pack(x).collect()) for x in (d.coalesce(1), d.repartition(3), d.repartition(7, "n_chars"))]
+    assert packed[0] == packed[1] == packed[2]
+
+
+def test_copies_of_a_row_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(common, "RUN", 10)
+    got = common.numbered(spark.createDataFrame([("a", 25), ("b", 1), (None, 10)], "k string, n long"), "n", "copy").collect()
+    assert Counter(map(tuple, got)) == Counter([("a", i) for i in range(25)] + [("b", 0)] + [(None, i) for i in range(10)])
+
+
+def test_best_fit_against_every_packing():
+    lengths, ratios = (4, 8, 16), []
+
+    def partitions(items):
+        if not items:
+            yield []
+            return
+        for rest in partitions(items[1:]):
+            yield [[items[0]], *rest]
+            for i, b in enumerate(rest):
+                yield [*rest[:i], [items[0], *b], *rest[i + 1:]]
+
+    cost = lambda bins: sum(min(c for c in lengths if c >= sum(b)) + packing.BIN_COST for b in bins)
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        sizes = [int(s) for s in r.integers(1, 17, int(r.integers(1, 8)))]
+        placed, bins = packing.best_fit(sizes, lengths), defaultdict(list)
+        for size, (b, _, _) in zip(sizes, placed):
+            bins[b].append(size)
+        least = min(cost(p) for p in partitions(sizes) if all(sum(b) <= max(lengths) for b in p))
+        ratios.append(cost(bins.values()) / least)
+    assert min(ratios) >= 1 and np.mean(ratios) < 1.03 and max(ratios) < 1.4
+
+
 # ---- toxicity ----------------------------------------------------------------------------------------------------
 
 def test_machine_learns_a_pair_that_single_terms_miss():
@@ -289,6 +325,58 @@ def test_guess_costs_order_values():
     assert cost("ab" * 20_000) < 10
 
 
+def segment_costs(value):
+    """The cheapest way to take each (start, end) as one segment, from the definitions."""
+    S, low = secret_scan, value.lower()
+    plain, out = low.translate(S.LOOKALIKE), {}
+
+    def offer(i, j, c):
+        out[i, j] = min(out.get((i, j), math.inf), c)
+
+    for i in range(len(value)):
+        for j in range(i + 1, len(value) + 1):
+            part, n = value[i:j], j - i
+            if n == 1:
+                offer(i, j, S.DIGIT if part.isdigit() else S.LETTER + 0.3 * part.isupper() if part.isalpha() else S.JOINT if part in "_-." else S.OTHER)
+            if plain[i:j] in S.RANK:
+                offer(i, j, S.RANK[plain[i:j]] + S.SEGMENT + 0.3 * (part != low[i:j]) + 0.5 * (low[i:j] != plain[i:j]))
+            for pattern, guesses in S.DATES:
+                if pattern.fullmatch(part):
+                    offer(i, j, S.SEGMENT + guesses)
+            if n >= 3 and all(a + b in S.NEXT for a, b in zip(low[i:j], low[i + 1:j])):
+                offer(i, j, S.SEGMENT + 1.5 + math.log10(n))
+            for unit in range(1, S.UNIT + 1):
+                if n >= 2 * unit and n % unit == 0 and part == part[:unit] * (n // unit):
+                    offer(i, j, S.SEGMENT + unit * S.LETTER + math.log10(n // unit))
+    return out
+
+
+def test_guess_cost_is_the_least_of_all_segmentations():
+    r = np.random.default_rng(11)
+    parts = ["qwertyuiop", "password", "p4ssword", "2019", "2019-05-17", "17.05.2019", "abc", "aaaa", "abab", "xyzxyz", "Admin", "7", "Q", "!", "_", "poiu", "12345", "19990101"]
+    values = ["".join(parts[k][int(r.integers(0, 3)):] for k in r.integers(0, len(parts), int(r.integers(1, 6)))) for _ in range(300)]
+    values += ["".join("abAB12_"[k] for k in r.integers(0, 7, 14)) for _ in range(200)] + ["qwertyuiopassword", "ab" * 30 + "c", "aaaaaaaaaaaaab" * 3, "abcabdabcabd"]
+    for value in values:
+        segments, least = segment_costs(value), [0.0] + [math.inf] * len(value)
+        for j in range(1, len(value) + 1):
+            least[j] = min(least[i] + segments[i, j] for i in range(j) if (i, j) in segments)
+        assert secret_scan.guess_cost(value) == pytest.approx(least[-1]), value
+    assert secret_scan.guess_cost("qwertyuiopassword") < 3.5
+
+
+def test_words_of_the_corpus_are_cheap_to_guess(spark):
+    words = ["required", "disabled", "configuration", "everything"]
+    prose = [(i, " ".join(words) + f" and more {i}", "en", "a") for i in range(5)]
+    asked = [(10, "password: required", "en", "a"), (11, "secret = configuration", "en", "a"), (12, "pass: everything", "en", "a"), (13, "Authentication: disabled", "en", "a"),
+             *[(20 + i, 'token = "zkqvxjwpyhgb"', "en", "a") for i in range(6)]]  # repeated values are no prose
+    d = H.docs(spark, prose + asked)
+    dictionary = secret_scan.corpus_words(d)
+    assert set(words) <= set(dictionary) and "zkqvxjwpyhgb" not in dictionary and len(set(dictionary.values())) == len(dictionary)
+    assert list(dictionary)[: len(secret_scan.RANK)] == list(secret_scan.RANK) and len(secret_scan.corpus_words(d, 2)) <= len(secret_scan.RANK) + 2
+    assert {r["doc_id"] for r in rows(secret_scan.scan(d)) if r["n_guess"]} == {20 + i for i in range(6)}
+    assert secret_scan.corpus_words(d.limit(0)) == secret_scan.RANK
+
+
 @pytest.mark.parametrize("text,value", [
     ('aws_secret_access_key = "wJalrXUtnFEMIK7MDENGbPxRfiCY"', "wJalrXUtnFEMIK7MDENGbPxRfiCY"), ("DB_PASS=zR7!qLm2#vTx9", "zR7!qLm2#vTx9"),
     ("db_pwd: kX93-lmPQ-77zz", "kX93-lmPQ-77zz"), ('{"my_private_key": "Zk81qPw07xLs"}', "Zk81qPw07xLs"), ("DB_PASSWORD=zR7!qLm2#vTx9", "zR7!qLm2#vTx9"),
