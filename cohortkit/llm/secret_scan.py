@@ -4,8 +4,8 @@ A value's guess cost is the least sum, over all ways to cut it into segments, of
 words by rank (with a factor for capitals and for look-alike digits), dates, repeats of a unit of up to ``UNIT``
 characters, keyboard walks and sequences, and brute force for single characters. The dynamic program weighs every start
 and end of each of them; of walks and repeats, which have no greatest length, it keeps only the starts that can still win.
-The words are a short fixed list of common passwords, then the ``DICTIONARY`` words that most texts of the corpus hold as
-prose: one Spark count over all texts, ties in the order of the words, at least ``MIN_TEXTS`` texts each. A value of a
+The words are a short fixed list of common passwords, then the words that most texts of the corpus hold as prose, at most
+``DICTIONARY``: one Spark count over all texts, at least ``MIN_TEXTS`` texts each, words of equal counts all or none. A value of a
 credential context whose cost reaches ``MIN_COST`` gives a span of kind ``guess``; a placeholder such as
 ``password = changeme123`` or an ordinary word (``password: required``) does not.
 
@@ -68,7 +68,7 @@ MONTH, DAY, YEAR = "(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])", r"(?:19|20)\
 DATES = [(re.compile(YEAR), 2.1), (re.compile(f"{YEAR}[-/.]?{MONTH}[-/.]?{DAY}"), 4.6), (re.compile(f"{DAY}[-/.]{MONTH}[-/.]{YEAR}"), 4.6)]
 DIGIT, LETTER, OTHER, JOINT = 1.0, math.log10(26), math.log10(33), 0.6
 UNIT = 8  # longest repeated unit
-DICTIONARY, MIN_TEXTS = 30_000, 3  # corpus words taken into the dictionary, and the least number of texts that hold one
+DICTIONARY, MIN_TEXTS, EVEN = 30_000, 3, 1_024  # most corpus words in the dictionary; the least number of texts that hold one
 # A word of prose: lower-case letters alone, not the value of a name, so that a secret which many copies hold is no word.
 PROSE = r"""(?<![\w:=/+.@$-]|[:=]["']|[:=]\x20["']?)[a-z]{4,19}(?![\w:=/+@$-])"""
 SEGMENT = 0.3  # log10 of the ways to join one more segment
@@ -199,12 +199,25 @@ def _row(raw: bytes, rank: dict[str, float], longest: int) -> tuple:
 
 
 def corpus_words(texts: DataFrame, words: int = DICTIONARY) -> dict[str, float]:
-    """log10 guesses of the fixed common words and, after them, of the ``words`` words that most texts (column text) hold as prose."""
+    """log10 guesses of the fixed common words and, after them, of the words that most texts (column text) hold as prose.
+
+    Whole levels of equal counts (in steps of 1% from ``EVEN`` texts on) are taken from the top while at most ``words``
+    words come together, so no more than these ever leave the tasks.
+    """
     found = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.col("text"), F.lit(PROSE), F.lit(0)))).alias("word"))
-    top = found.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_TEXTS).orderBy(F.desc("n"), "word").limit(words)
+    n = F.col("n")
+    level = F.when(n < EVEN, n).otherwise(EVEN + F.floor(F.log(n / EVEN) / math.log(1.01)))
+    counted = common.stored(found.groupBy("word").agg(F.count("*").alias("n")).filter(n >= MIN_TEXTS).withColumn("level", level), "secret-words")
+    least, taken = None, 0
+    for r in counted.groupBy("level").agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():  # a few thousand levels
+        taken += r["n"]
+        if taken > words:
+            break
+        least = r["level"]
     rank = dict(RANK)
-    for r in top.select("word").collect():  # at most ``words`` short rows
-        rank.setdefault(r["word"], math.log10(len(rank) + 2))
+    if least is not None:
+        for r in counted.filter(F.col("level") >= least).orderBy(F.desc("n"), "word").select("word").collect():
+            rank.setdefault(r["word"], math.log10(len(rank) + 2))
     return rank
 
 
