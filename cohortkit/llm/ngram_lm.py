@@ -12,12 +12,12 @@ that needs only u's, so the trie is cut by words into shards and nothing about a
 A shard has two levels: its words, and under each word the words before it, held by the top ``ID_BITS`` bits of their
 hash. The ids of both levels, the pointers from words to their ranges and the running sums of c(w) are monotone, hence
 Elias-Fano sequences (high parts in unary, low parts packed); the numerators of the pairs are 8-bit codes. A query finds
-the word, takes its range by the pointers and searches the successor of the context's id inside that range. The byte
-strings are used where they lie in the Arrow buffer, without a parsed copy of the low parts.
+the word, takes its range by the pointers and searches the successor of the context's id inside that range. The byte strings
+of a shard are copied out of Arrow once a task; the low parts stay packed, the high parts are unpacked while a task queries.
 
 Texts are cut in batches of about ``BATCH_TOKENS`` tokens. A batch sends each shard one row: its words there with their
 counted pairs (training), or with their pairs and documents (scoring). Only sums for each document come back. A shard that
-gathered many more entries than others is scored by several tasks. N is a count over all training texts.
+holds the pairs of many more tokens than others, such as that of a very common pair, is scored by several tasks. N is a count over all training texts.
 
 A word cannot be split over shards, so a shard that would gather many entries, such as that of a very common word, is cut
 into parts by equal ranges of the context's hash (``cuts``, shard to parts). Part r of shard s has the number s + r * shards
@@ -219,7 +219,7 @@ def _parts(ids: np.ndarray, first: np.ndarray, words: int, shard: int, shards: i
 # ---- training ----------------------------------------------------------------------------------------------------
 
 SENT = "shard int, words binary, pairs binary, ids binary, counts binary, totals binary"
-TRIE = "shard int, words binary, starts binary, sums binary, ids binary, codes binary, low double, step double, n_words long, n_tokens long, entries long"
+TRIE = "shard int, words binary, starts binary, sums binary, ids binary, codes binary, low double, step double, n_words long, n_tokens long, entries long, load long"
 
 
 def count_pairs(batches: Iterator[pa.RecordBatch], shards: int, tokens: int, cuts: dict[int, int]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +271,7 @@ def build_shard(rows: pa.Table, eps: float, shards: int) -> pa.Table:
         "shard": pa.array([shard], pa.int32()), "words": [EliasFano.encode(every, 1 << 64)],
         "starts": [EliasFano.encode(starts, len(key) + 1)], "sums": [EliasFano.encode(sums, int(sums[-1]) + 1)],
         "ids": [EliasFano.encode(key, len(every) << ID_BITS)], "codes": [np.rint((value - low) / step).astype(np.uint8).tobytes()],
-        "low": [low], "step": [step], "n_words": [len(every) if shard < shards else 0], "n_tokens": [int(sums[-1]) if shard < shards else 0], "entries": [entries]})
+        "low": [low], "step": [step], "n_words": [len(every) if shard < shards else 0], "n_tokens": [int(sums[-1]) if shard < shards else 0], "entries": [entries], "load": [int(n.sum())]})
 
 
 def held_out(doc_id: Column) -> Column:
@@ -284,11 +284,10 @@ class Model:
 
     def __init__(self, trie: DataFrame, shards: int, n: int, eps: float, cuts: dict[int, int]):
         self.trie, self.shards, self.n, self.eps, self.cuts = trie, shards, n, eps, cuts
-        total = trie.agg(F.sum("n_words").alias("v"), F.avg("entries").alias("mean")).first()
-        self.v = total["v"] or 0
-        many = max(total["mean"] or 1, SHARD_TOKENS)
-        # tasks of the shards that gathered many more entries than the usual one, such as those of very common words
-        self.salts = {r["shard"]: r["k"] for r in trie.select("shard", F.ceil(F.col("entries") / (2 * many)).cast("int").alias("k")).filter("k > 1").collect()}
+        self.v = trie.agg(F.sum("n_words").alias("v")).first()["v"] or 0
+        # tasks of the shards (or parts) that are asked for many more tokens than the usual one, such as those of very common pairs
+        k = F.when(F.col("load") > 2 * SHARD_TOKENS, F.ceil(F.col("load") / SHARD_TOKENS)).otherwise(1).cast("int")
+        self.salts = {r["shard"]: r["k"] for r in trie.select("shard", k.alias("k")).filter("k > 1").collect()}
 
 
 def plan_cuts(texts: DataFrame, shards: int, shard_tokens: int, batch_tokens: int) -> dict[int, int]:
