@@ -73,20 +73,13 @@ def merged_summaries_from_events(dx_events: DataFrame, med_working: DataFrame, r
 
     Patients with radiotherapy events only are dropped, as the left join drops them (T20).
     """
-    from cohortkit.functions.codes import prefix_match
-    from cohortkit.sources.codemaps import UNSPECIFIED_DATE_PREFIX
+    from cohortkit.operators.diagnosis import flags, with_mask
 
-    g = maps.diagnosis_groups()
-    code = F.col("code")
+    has = flags("mask", maps)
     no = F.lit(None).cast("boolean")
     dx_flags = {
-        "f_dementia": prefix_match("code", g["is_dementia"]),
-        "f_ad": prefix_match("code", g["is_ad"]),
-        "f_vad": prefix_match("code", g["is_vad"]),
-        "f_other": prefix_match("code", g["is_other"]),
-        "f_f03": code.startswith(UNSPECIFIED_DATE_PREFIX),
-        "f_mci": prefix_match("code", g["is_mci"]),
-        "f_scz": prefix_match("code", g["is_schizophrenia"]),
+        "f_dementia": has["is_dementia"], "f_ad": has["is_ad"], "f_vad": has["is_vad"], "f_other": has["is_other"],
+        "f_f03": has["is_f03"], "f_mci": has["is_mci"], "f_scz": has["is_schizophrenia"],
     }
     med_flags = {
         "f_dmed": F.col("is_dementia_med"),
@@ -100,7 +93,7 @@ def merged_summaries_from_events(dx_events: DataFrame, med_working: DataFrame, r
         return df.select(F.col("ENC_HN"), F.col(ts).alias("ts"), F.lit(src).alias("src"),
                          *[(flags[n] if n in flags else no).alias(n) for n in names])
 
-    ev = (arm(dx_events, "dx", "D001KEY", dx_flags)
+    ev = (arm(with_mask(dx_events, maps), "dx", "D001KEY", dx_flags)
           .unionByName(arm(med_working, "med", "REC_DATE", med_flags))
           .unionByName(arm(rt_working, "rt", "PROC_DATE", {})))
     ts, src = F.col("ts"), F.col("src")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.functions.codes import normalize_code, prefix_match
+from cohortkit.functions.codes import code_mask, mask_bits, normalize_code, prefix_match
 from cohortkit.schemas import DX_FLAGS, StudyWindow
 from cohortkit.sources.codemaps import UNSPECIFIED_DATE_PREFIX, CodeMaps
 from cohortkit.operators.standardize import standardize_diagnosis
@@ -61,20 +61,30 @@ def dx_events_from_layouts(spark, layouts, maps: CodeMaps, window: StudyWindow)
     return union_layouts(spark, frames, DX_STANDARD)
 
 
-def flag_codes(code: Column | str, maps: CodeMaps) -> list[Column]:
-    """The seven diagnosis flags of one normalized code."""
-    return [prefix_match(code, prefixes).alias(name)
-            for name, prefixes in maps.diagnosis_groups().items()]
+def mask_groups(maps: CodeMaps) -> dict[str, list[str]]:
+    """The prefix lists of the seven diagnosis flags, and of the literal F03."""
+    return {**maps.diagnosis_groups(), "is_f03": [UNSPECIFIED_DATE_PREFIX]}
+
+
+def with_mask(events: DataFrame, maps: CodeMaps, name: str = "mask") -> DataFrame:
+    """``events`` and the flags of each normalized code as bits, looked up once a row."""
+    return events.withColumn(name, code_mask("code", mask_groups(maps)))
+
+
+def flags(mask: Column | str, maps: CodeMaps) -> dict[str, Column]:
+    """The flags that a mask holds, by name."""
+    m = F.col(mask) if isinstance(mask, str) else mask
+    return {g: m.bitwiseAND(F.lit(bit)) != 0 for g, bit in mask_bits(mask_groups(maps)).items()}
 
 
 def dx_working(events: DataFrame, maps: CodeMaps) -> DataFrame:
     """A1 + A2 fused (no join back, J1): per (patient, timestamp) the sorted distinct codes
-    joined by ", " and the any-flags of those codes."""
-    flagged = events.select("ENC_HN", "D001KEY", "code", *flag_codes("code", maps))
-    return flagged.groupBy("ENC_HN", "D001KEY").agg(
-        F.array_join(F.array_sort(F.collect_set("code")), ", ").alias("D035KEY"),
-        *[F.bool_or(f).alias(f) for f in DX_FLAGS],
-    )
+    joined by ", " and the any-flags of those codes, which are one ``bit_or`` of their masks."""
+    flagged = with_mask(events.select("ENC_HN", "D001KEY", "code"), maps)
+    per_time = flagged.groupBy("ENC_HN", "D001KEY").agg(
+        F.array_join(F.array_sort(F.collect_set("code")), ", ").alias("D035KEY"), F.bit_or("mask").alias("mask"))
+    has = flags("mask", maps)
+    return per_time.select("ENC_HN", "D001KEY", "D035KEY", *[has[f].alias(f) for f in DX_FLAGS])
 
 
 def dx_summary_from_events(events: DataFrame, maps: CodeMaps) -> DataFrame:
@@ -99,21 +109,19 @@ def dx_summary(working: DataFrame, maps: CodeMaps) -> DataFrame:
 
 
 def _summarize(codes: DataFrame, maps: CodeMaps) -> DataFrame:
-    groups = maps.diagnosis_groups()
-    ts = F.col("D001KEY")
-
-    def first(cond: Column, name: str) -> Column:
-        return F.min(F.when(cond, ts)).alias(name)
-
-    c = F.col("code")
-    return codes.groupBy("ENC_HN").agg(
-        first(prefix_match("code", groups["is_dementia"]), "diagnosis_date"),
-        first(prefix_match("code", groups["is_ad"]), "ad_date"),
-        first(prefix_match("code", groups["is_vad"]), "vad_date"),
-        first(prefix_match("code", groups["is_other"]), "other_date"),
-        first(c.startswith(UNSPECIFIED_DATE_PREFIX), "unspecified_date"),  # E8 / T11: literal F03
-        first(prefix_match("code", groups["is_mci"]), "mci_date"),
-        first(prefix_match("code", groups["is_schizophrenia"]), "schizophrenia_date"),
-        F.bool_or(prefix_match("code", groups["is_mci"])).alias("has_mci_history"),
-        F.bool_or(prefix_match("code", groups["is_schizophrenia"])).alias("has_schizophrenia_history"),
-    )
+    has, ts = flags("mask", maps), F.col("D001KEY")
+    every = flags("every", maps)
+
+    def first(flag: str, name: str) -> Column:
+        return F.min(F.when(has[flag], ts)).alias(name)
+
+    return with_mask(codes, maps).groupBy("ENC_HN").agg(
+        first("is_dementia", "diagnosis_date"),
+        first("is_ad", "ad_date"),
+        first("is_vad", "vad_date"),
+        first("is_other", "other_date"),
+        first("is_f03", "unspecified_date"),  # E8 / T11: literal F03
+        first("is_mci", "mci_date"),
+        first("is_schizophrenia", "schizophrenia_date"),
+        F.bit_or("mask").alias("every"),
+    ).select("*", every["is_mci"].alias("has_mci_history"), every["is_schizophrenia"].alias("has_schizophrenia_history")).drop("every")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.functions.codes import code_in, normalize_code, prefix_match, prefix_regex
+from cohortkit.functions.codes import code_in, code_mask, mask_bits, normalize_code, prefix_match, prefix_masks, prefix_regex, trie_regex
 from cohortkit.functions.dates import parse_birth_date, parse_event_ts
 from cohortkit.functions.format import with_fixed2
 
@@ -128,3 +128,55 @@ def test_rounding_of_large_values_matches_python(spark):
     df = with_fixed2(spark.createDataFrame([(v,) for v in values], "x double"), [("x", "t", "r")])
     for r in df.collect():
         assert r["t"] == f"{r['x']:.2f}" and r["r"] == round(r["x"], 2), r
+
+
+def _random_codes(seed, n, longest=5):
+    import random
+
+    r = random.Random(seed)
+    return ["".join(r.choice("AF0139") for _ in range(r.randint(1, longest))) for _ in range(n)]
+
+
+def test_trie_regex_matches_like_the_alternation():
+    import re
+
+    for seed, n in enumerate((1, 2, 5, 30, 400)):
+        prefixes = _random_codes(seed, n)
+        tree, flat = re.compile(trie_regex(prefixes)), re.compile(prefix_regex(prefixes))
+        for code in [*_random_codes(99 + seed, 500, 7), *prefixes, ""]:
+            assert bool(tree.match(code)) == bool(flat.match(code)) == code.startswith(tuple(prefixes)), code
+
+
+def test_code_mask_e7(spark):
+    for seed, n in enumerate((0, 1, 4, 12, 60)):
+        groups = {f"g{i}": _random_codes(10 * seed + i, n) for i in range(4)}
+        codes = [*_random_codes(50 + seed, 300, 7), *groups["g0"], "", None]
+        got = spark.createDataFrame([(c,) for c in codes], "c string").select("c", code_mask("c", groups).alias("m")).collect()
+        bits = mask_bits(groups)
+        for r in got:
+            assert r["m"] == sum(bits[g] for g, ps in groups.items() if r["c"] is not None and r["c"].startswith(tuple(ps))), r["c"]
+
+
+def test_prefix_masks_keep_what_adds_a_group():
+    assert prefix_masks({"a": ["F0", "F03"], "b": ["F03", "F031"], "c": [""]}) == {"F0": 1, "F03": 3}
+
+
+def test_many_prefixes_cost_no_more_than_few(spark):
+    """The plan holds one lookup for each length and mask, whatever the number of prefixes."""
+    few = {"a": [f"F{i:03d}" for i in range(30)], "b": [f"G{i:03d}" for i in range(30)]}
+    many = {"a": [f"F{i:04d}" for i in range(2500)], "b": [f"G{i:04d}" for i in range(2500)]}
+    df = spark.range(0, 2_000_000, 1, 4).select(F.concat(F.when(F.col("id") % 3 == 0, "F").otherwise("K"), F.lpad((F.col("id") % 9973).cast("string"), 4, "0")).alias("c"))
+
+    def seconds(groups):
+        import time
+
+        every = [p for g in groups.values() for p in g]
+        q = df.filter(prefix_match("c", every)).agg(F.bit_or(code_mask("c", groups)).alias("m"))
+        q.collect()
+        start = time.time()
+        q.collect()
+        return time.time() - start
+
+    plan = df.select(code_mask("c", many).alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring(") == 2 and plan.count("INSET") + plan.count("IN (") + plan.count("in (") <= 4
+    assert seconds(many) < 2 * seconds(few) + 0.5

@@ -103,3 +103,13 @@ def test_derivation_join_runs_once(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert plan.count("FileScan") == 2
     assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 3  # lineitem, orders, patients
+
+
+def test_each_code_is_looked_up_once(spark):
+    """The flags of a code come from one mask, computed below the aggregate; only the diagnosis filter has a pattern."""
+    from cohortkit.plans.queries import derived_plan
+
+    p = derived_plan(spark, SF_SMALL)
+    for df in (p.dx_working, p.dx_summary):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RLIKE") == 1 and plan.count("substring(code") <= 8, plan
