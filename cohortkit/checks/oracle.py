@@ -494,6 +494,7 @@ FROM med_working m JOIN rt_summary r ON m.ENC_HN = r.ENC_HN
 WHERE m.drug_class = 'Memantine' AND m.REC_DATE BETWEEN r.rt_first_date AND r.rt_last_date""")
     out["file_dementia_index_labelled"] = out["dementia_index_labelled"]
     for name, of in (("published_dx_summary", "dx_summary"), ("published_age_issues", "age_exceptions"),
+                     ("published_dx_working", "dx_working"), ("stored_exact_base", "exact_criteria_base"),
                      ("mapped_dx_summary", "dx_summary"), ("mapped_med_working", "med_working")):
         out[name] = out[of]
     return out

@@ -169,19 +169,28 @@ class CohortPlan:
         them together (``sinks.published``); a run that fails leaves the set published before.
 
         Working tables are written first and read back, so the summaries, the exact base and
-        the reports are computed from stored tables, not from the raw sources again.
+        the reports are computed from stored tables, not from the raw sources again. They are clustered by
+        patient and date; the summaries are bucketed by patient, so the exact base joins them without a shuffle.
         """
         from cohortkit.sources.sinks import Publication
 
-        publication = Publication(self.spark, out_dir)
-        save = publication.write
-
+        publication = Publication(
+            self.spark, out_dir,
+            clustered={"dx_working": ["ENC_HN", "D001KEY"], "med_working": ["ENC_HN", "REC_DATE"], "rt_working": ["ENC_HN", "PROC_DATE"]},
+            bucketed=dict.fromkeys(("dx_summary", "med_summary", "rt_summary"), "ENC_HN"))
+        try:
+            self._write_tables(publication.write)
+            return publication.commit()
+        finally:
+            publication.release()
+
+    def _write_tables(self, save) -> None:
         # FIXED VALUES: the table names below are the published ones (or say what was added)
-        dxw = save("dx_working", self.dx_working, ["ENC_HN", "D001KEY"])
+        dxw = save("dx_working", self.dx_working)
         dxs = save("dx_summary", diagnosis.dx_summary(dxw, self.maps))
-        mdw = save("med_working", self.med_working, ["ENC_HN", "REC_DATE"])
+        mdw = save("med_working", self.med_working)
         mds = save("med_summary", medication.med_summary(mdw))
-        rtw = save("rt_working", self.rt_working, ["ENC_HN", "PROC_DATE"])
+        rtw = save("rt_working", self.rt_working)
         rts = save("rt_summary", radiotherapy.rt_summary(rtw))
         base = save("exact_criteria_base", criteria.exact_criteria_base(dxs, mds, rts))
         save("exact_med_evaluated", criteria.exact_med_evaluated(base))
@@ -213,4 +222,3 @@ class CohortPlan:
         profile = getattr(self.sources, "profile", None)
         if profile:
             save("source_profile", profile())
-        return publication.commit()

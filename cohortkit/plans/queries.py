@@ -217,6 +217,32 @@ def q_published_dx_summary(spark, sf_dir):
                               "dx_summary": lambda t: diagnosis.dx_summary(t["dx_working"], plan.maps)}, "dx_summary")
 
 
+def q_published_dx_working(spark, sf_dir):
+    """The working table stored in ranges of patient and date, published and read back. Equals ``dx_working``."""
+    from cohortkit.session import checkpoint_dir
+    from cohortkit.sources.sinks import Publication, read_published
+
+    out = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex[:12]}"
+    publication = Publication(spark, out)
+    publication.write_clustered("dx_working", derived_plan(spark, sf_dir).dx_working, ["ENC_HN", "D001KEY"])
+    publication.commit()
+    return read_published(spark, out, "dx_working")
+
+
+def q_stored_exact_base(spark, sf_dir):
+    """J2 J3 over the three summaries stored in buckets of the patient. Equals ``exact_criteria_base``."""
+    from cohortkit.session import checkpoint_dir
+    from cohortkit.sources.sinks import Publication, read_published
+
+    plan = derived_plan(spark, sf_dir)
+    out = f"{checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex[:12]}"
+    publication = Publication(spark, out)
+    stored = [publication.write_bucketed(n, getattr(plan, n), "ENC_HN") for n in ("dx_summary", "med_summary", "rt_summary")]
+    publication.write("exact_criteria_base", criteria.exact_criteria_base(*stored))
+    publication.commit()
+    return read_published(spark, out, "exact_criteria_base")
+
+
 def q_published_age_issues(spark, sf_dir):
     """The patients without a usable age, published and read back. Equals ``age_exceptions``."""
     plan = derived_plan(spark, sf_dir)
@@ -309,6 +335,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_dementia_index_labelled": _file_attr("labelled"),
     "file_csv_rejects": q_file_csv_rejects,
     "published_dx_summary": q_published_dx_summary,
+    "published_dx_working": q_published_dx_working,
+    "stored_exact_base": q_stored_exact_base,
     "published_age_issues": q_published_age_issues,
     "mapped_dx_summary": _by_stored_maps("dx_summary"),
     "mapped_med_working": _by_stored_maps("med_working"),

@@ -29,6 +29,13 @@ def write_table(df: DataFrame, path: str, sort_within: list[str] | None = None,
     return path
 
 
+def write_clustered(df: DataFrame, path: str, by: list[str]) -> str:
+    """One table as a Parquet folder in ranges of ``by``, sorted within each file (O1): no two files overlap, so the
+    statistics of files and row groups lead a read of one patient to its rows. The ranges of several columns also split
+    a patient with very many rows. ``df`` should be stored already: Spark reads it twice, once to sample the bounds."""
+    return write_table(df.repartitionByRange(*by), path, by, mode="error")
+
+
 def _fs(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
@@ -69,21 +76,58 @@ def read_published(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
 
 
 class Publication:
-    """The tables of one run; they become visible together."""
+    """The tables of one run; they become visible together. ``clustered`` (table -> columns) and ``bucketed`` (table -> column)
+    name the tables that ``write`` stores by ``write_clustered`` and ``write_bucketed``."""
 
-    def __init__(self, spark: SparkSession, out_dir: str) -> None:
+    def __init__(self, spark: SparkSession, out_dir: str, clustered: dict[str, list[str]] | None = None,
+                 bucketed: dict[str, str] | None = None) -> None:
         self.spark, self.out_dir = spark, out_dir.rstrip("/")
+        self.clustered, self.bucketed = clustered or {}, bucketed or {}
         self.run = uuid.uuid4().hex
         self.tables: dict[str, str] = {}
+        self.entries: list[str] = []
 
-    def write(self, name: str, df: DataFrame, sort_within: list[str] | None = None) -> DataFrame:
-        """Writes a table of this run and returns it as stored."""
+    def _path(self, name: str) -> str:
         if name in self.tables:
             raise ValueError(f"table {name} is written twice")
-        path = write_table(df, f"{self.out_dir}/{RUNS}/{self.run}/{name}", sort_within, mode="error")
-        self.tables[name] = path
+        self.tables[name] = f"{self.out_dir}/{RUNS}/{self.run}/{name}"
+        return self.tables[name]
+
+    def write(self, name: str, df: DataFrame, sort_within: list[str] | None = None) -> DataFrame:
+        """Writes a table of this run and returns it as stored."""
+        if name in self.clustered:
+            return self.write_clustered(name, df, self.clustered[name])
+        if name in self.bucketed:
+            return self.write_bucketed(name, df, self.bucketed[name])
+        path = write_table(df, self._path(name), sort_within, mode="error")
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_clustered(self, name: str, df: DataFrame, by: list[str]) -> DataFrame:
+        """Writes a table of this run in ranges of ``by`` and returns it as stored. The rows are stored as they come
+        first, so that finding the ranges does not run the plan of ``df`` a second time."""
+        path = self._path(name)
+        first = write_table(df, f"{self.out_dir}/{RUNS}/{self.run}/_{name}", mode="error")
+        write_clustered(self.spark.read.schema(df.schema).parquet(first), path, by)
+        fs, where = _fs(self.spark, first)
+        fs.delete(where, True)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def write_bucketed(self, name: str, df: DataFrame, by: str, buckets: int | None = None) -> DataFrame:
+        """Writes a table of this run in ``buckets`` buckets of ``by`` (the session's shuffle partitions if not given) and
+        returns it as stored: tables of equal buckets join and group by ``by`` without another shuffle. The catalog entry
+        that tells Spark of the buckets is dropped by ``commit`` or ``release``; the files stay."""
+        path, table = self._path(name), f"run_{self.run}_{name}"
+        buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.bucketBy(buckets, by).sortBy(by).format("parquet").option("path", path).mode("error").saveAsTable(table)
+        self.entries.append(table)
+        return self.spark.table(table)
+
+    def release(self) -> None:
+        """Drops the catalog entries of this run's bucketed tables."""
+        for table in self.entries:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.entries.clear()
+
     def commit(self) -> dict[str, str]:
         """Publishes the tables; of two runs that commit at once the later one gets the higher number."""
         fs, scratch = _fs(self.spark, f"{self.out_dir}/{MANIFESTS}/.{self.run}.tmp")
@@ -92,6 +136,7 @@ class Publication:
             number = max(_manifests(self.spark, self.out_dir), default=0) + 1
             _, target = _fs(self.spark, f"{self.out_dir}/{MANIFESTS}/{number:012d}.json")
             if not fs.exists(target) and fs.rename(scratch, target):
+                self.release()
                 return dict(self.tables)
 
 

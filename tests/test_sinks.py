@@ -79,3 +79,60 @@ def test_a_run_that_dies_halfway_leaves_the_old_set(spark, tmp_dir, monkeypatch)
     assert set(published(spark, out)) == {"dx_working"} and _values(spark, out, "dx_working") == [7]
     assert len(os.listdir(f"{out}/runs")) == 2  # the failed run's tables are there, unseen, until they are dropped
     assert len(drop_old(spark, out)) == 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clustered_files_do_not_overlap_and_split_a_hot_patient(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = [(f"p{i % 97:03d}", i) for i in range(3000)] + [("p050", 10_000 + i) for i in range(3000)]
+    events = spark.createDataFrame(rows, "ENC_HN string, day long")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        p = Publication(spark, f"{tmp_dir}/out")
+        stored = p.write_clustered("events", events, ["ENC_HN", "day"])
+        p.commit()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    spans = []
+    for f in glob.glob(f"{p.tables['events']}/part-*.parquet"):
+        keys = [(r["ENC_HN"], r["day"]) for r in pq.read_table(f).to_pylist()]
+        assert keys == sorted(keys)
+        if keys:
+            spans.append((keys[0], keys[-1]))
+    spans.sort()
+    assert len(spans) > 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert sum(a[0][0] <= "p050" <= a[1][0] for a in [(s[0], s[1]) for s in spans]) >= 3  # the patient with half of the rows
+    assert sum(s[0][0] <= "p007" <= s[1][0] for s in spans) <= 2
+    assert sorted(map(tuple, stored.collect())) == sorted(rows)
+    assert os.listdir(f"{tmp_dir}/out/runs/{p.run}") == ["events"]
+
+
+def test_bucketed_summaries_join_without_a_shuffle(spark, tmp_dir):
+    from cohortkit.checks.compare import rows_of
+    from cohortkit.operators import criteria
+
+    plan = derived_plan(spark, SF_SMALL)
+    p = Publication(spark, f"{tmp_dir}/out")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        stored = [p.write_bucketed(n, getattr(plan, n), "ENC_HN") for n in ("dx_summary", "med_summary", "rt_summary")]
+        base = criteria.exact_criteria_base(*stored)
+        assert "SortMergeJoin" in _plan(base) and "Exchange" not in _plan(base)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert rows_of(base.toPandas()) == rows_of(plan.exact_base.toPandas())
+    names = list(p.tables)
+    p.commit()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(f"run_{p.run}")]
+    assert read_published(spark, f"{tmp_dir}/out", names[0]).count() == plan.dx_summary.count()
