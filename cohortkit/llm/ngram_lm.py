@@ -49,6 +49,7 @@ from cohortkit.llm.common import pieces
 
 ID_BITS, BATCH_TOKENS, SHARD_TOKENS, MAX_DOCS = 40, 1_250_000, 2_000_000, 1 << 16
 BETA = 300.0
+SPREAD = 20  # a small corpus has shards of this part of ``SHARD_TOKENS`` at least, up to the session's shuffle partitions
 SAMPLE = 16  # one in so many texts tells which shards to cut
 CODES = 255
 END = b""
@@ -300,7 +301,8 @@ def plan_cuts(texts: DataFrame, shards: int, shard_tokens: int, batch_tokens: in
 def train(texts: DataFrame, shard_tokens: int = SHARD_TOKENS, batch_tokens: int = BATCH_TOKENS, beta: float = BETA, cuts: dict[int, int] | None = None) -> Model:
     """The model of the texts (column text), as a table in the shared folder with one row per shard, or part of a cut shard."""
     n = texts.agg(F.sum(common.word_count(F.col("text")) + 1)).first()[0] or 0
-    shards, eps = max(1, -(-n // shard_tokens)), beta / max(n, 1)
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards, eps = max(1, -(-n // shard_tokens), min(partitions, -(-n * SPREAD // shard_tokens))), beta / max(n, 1)
     texts = texts.select(common.utf8(F.col("text")).alias("t"))
     if cuts is None:  # no shard gathers more entries than there are tokens
         cuts = plan_cuts(texts, shards, shard_tokens, batch_tokens) if n > 2 * shard_tokens else {}
