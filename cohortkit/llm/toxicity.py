@@ -4,11 +4,14 @@ score = sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>) over the terms of a document
 insult next to a group's name, which additive weights miss. Terms are the words of the whole text after lower-casing
 A-Z and blanking ASCII punctuation, and their beginnings of ``STEMS`` bytes (marked as such), hashed by CRC-32.
 
-The fit uses at most ``FIT_ROWS`` labelled rows, the first by a hash of doc_id (a documented bound). Spark counts their
-hashed terms and keeps the ``MAX_TERMS`` most associated with a label (chi-square); only those reach the driver, which
-fits the machine. Scoring reads every text in Arrow batches. Defined results: null or empty text gets the
-score of the bias alone; rows that repeat are scored each; of labels that repeat a doc_id the largest counts; without
-both labels in the fit every score is the observed rate (0 without rows). Labels, lang, source and doc_id are no inputs.
+The fit uses at most ``FIT_ROWS`` labelled rows, the first by a hash of doc_id (a documented bound), and all their terms,
+each in one of ``BUCKETS`` buckets; what reaches the driver is the rows' distinct buckets, four bytes each. No term is
+chosen beforehand: an L1 penalty draws weights that few rows support to 0. The weights are fitted first, the
+factors then on what the weights leave. The penalty of a weight grows with the root of the rows, that of a factor with
+the root of their terms, as the noise of their sums does. Scoring reads every text in Arrow batches. Defined results: null or empty text gets the
+score of the bias alone, very long texts are scored whole; rows that repeat are scored each; of labels that repeat a doc_id the
+largest counts; without both labels in the fit every score is the observed rate (0 without rows); terms that share a bucket
+are one term; columns of other names pass unread. Labels, lang, source and doc_id are no inputs.
 """
 
 from __future__ import annotations
@@ -27,10 +30,12 @@ from cohortkit.llm import common
 from cohortkit.llm.common import pieces
 
 FIT_ROWS = 16_000
-MAX_TERMS, MIN_DOCS, FACTORS = 2_000, 2, 6
-EPOCHS, BATCH, RATE, L2, SEED = 16, 64, 1.0, 1e-4, 7
-TOXIC_WEIGHT = 2.0  # a missed toxic row costs as much as two clean rows that are taken for toxic
-STEP0 = 1.0  # starting value of the squared-gradient sums: rare terms learn no faster than common ones
+BUCKETS, FACTORS = 1 << 20, 6
+BATCH, SEED = 64, 7
+STEPS, RATE, FACTOR_RATE, START = 800, 0.1, 0.05, 0.05  # steps of each part at least, whole passes; factors start at START x normal
+L1, FACTOR_L1, SHRINK = 0.09, 0.02, 8  # times the root of the rows, for factors also of their terms; applied every SHRINK steps
+L2 = 1e-4
+TOXIC_WEIGHT = 4.0  # a missed toxic row costs as much as so many clean rows that are taken for toxic
 STEMS = (4, 5, 6)
 MEMO = 200_000
 CLEAN = bytes.maketrans((string.ascii_uppercase + string.punctuation).encode(), (string.ascii_lowercase + " " * len(string.punctuation)).encode())
@@ -41,17 +46,17 @@ def words(text: bytes) -> set[bytes]:
 
 
 def word_hashes(word: bytes) -> list[int]:
-    """Hashes of a word and its stems; a stem ends in a blank, so that it differs from the word of its letters."""
-    return [zlib.crc32(word), *[zlib.crc32(word[:n] + b" ") for n in STEMS if len(word) >= n]]
+    """Buckets of a word and its stems; a stem ends in a blank, so that it differs from the word of its letters."""
+    return [h % BUCKETS for h in (zlib.crc32(word), *[zlib.crc32(word[:n] + b" ") for n in STEMS if len(word) >= n])]
 
 
 def hashed(text: bytes) -> np.ndarray:
-    """Distinct hashed terms."""
+    """Distinct buckets of the terms."""
     return np.array(sorted({h for w in words(text) for h in word_hashes(w)}), np.uint32)
 
 
 class Machine:
-    """Bias, weights and factors of the kept hashes (sorted)."""
+    """Bias, weights and factors of the buckets ``ids`` (sorted)."""
 
     def __init__(self, ids: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray):
         self.ids, self.bias, self.w, self.v = ids, bias, w, v
@@ -81,42 +86,89 @@ class Machine:
         return score
 
 
+def batches_of(docs: list[np.ndarray], labels: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
+    """The buckets that the sets hold, and the batches: labels, terms (places in the buckets), the row of each, and the
+    same rows by term with the distinct terms and where each begins."""
+    seen = np.zeros(BUCKETS, bool)
+    for d in docs:
+        seen[d] = True
+    ids = np.flatnonzero(seen).astype(np.uint32)
+    place = np.cumsum(seen, dtype=np.int32) - 1
+    out = []
+    for lo in range(0, len(order), BATCH):
+        b = order[lo: lo + BATCH]
+        at = place[np.concatenate([docs[i] for i in b])]
+        own = np.repeat(np.arange(len(b), dtype=np.uint8), [len(docs[i]) for i in b])
+        by = np.argsort(at, kind="stable")
+        terms, first = np.unique(at[by], return_index=True)
+        out.append((labels[b], at, own, own[by], terms, first.astype(np.int32)))
+    return ids, out
+
+
+def loss_slope(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The slope of the weighted mean logistic loss at ``z``."""
+    return (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y) * np.where(y > 0, TOXIC_WEIGHT, 1) / len(y)
+
+
+def margins(batch: tuple[np.ndarray, ...], bias: float, w: np.ndarray, v: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """The machine's value of each row before the sigmoid, and the rows' sums of factors (None without factors)."""
+    y, at, own = batch[:3]
+    z = bias + np.bincount(own, w[at], len(y))
+    if v is None:
+        return z, None
+    va = v[at]
+    s = np.stack([np.bincount(own, va[:, k], len(y)) for k in range(v.shape[1])], 1)
+    return z + 0.5 * ((s ** 2).sum(1) - np.bincount(own, (va ** 2).sum(1), len(y))), s
+
+
+def slopes(batch: tuple[np.ndarray, ...], g: np.ndarray, s: np.ndarray | None, v: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+    """The loss's slopes by the weights and the factors of the batch's terms, given its slopes ``g`` by the rows' values."""
+    rows, terms, first = batch[3:]
+    if not len(terms):
+        return np.zeros(0), None if v is None else np.zeros((0, v.shape[1]))
+    dw = np.add.reduceat(g[rows], first)
+    return dw, None if v is None else np.add.reduceat((g[:, None] * s)[rows], first) - dw[:, None] * v[terms]
+
+
+def shrunk(x: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return np.sign(x) * np.maximum(np.abs(x) - by, 0)
+
+
 def fit(docs: list[np.ndarray], labels: np.ndarray) -> Machine:
-    """Trains on sets of hashed terms; terms that no set holds are not in the machine."""
+    """Trains on sets of buckets; buckets that no set holds are not in the machine, nor are those that end without weight and factors."""
     n, n1 = len(labels), int(labels.sum())
-    none = np.zeros(0)
     if not n or n1 in (0, n):
         rate = n1 / n if n else 0.0
-        return Machine(none.astype(np.uint32), 35.0 * np.sign(rate - 0.5), none, none.reshape(0, FACTORS))
-    kept, idx = np.unique(np.concatenate(docs), return_inverse=True)
-    row = np.repeat(np.arange(n), [len(d) for d in docs])
-    start = np.searchsorted(row, np.arange(n + 1))
+        return Machine(np.zeros(0, np.uint32), 35.0 * np.sign(rate - 0.5), np.zeros(0), np.zeros((0, FACTORS)))
     r = np.random.default_rng(SEED)
-    bias, w, v = float(np.log(n1 / (n - n1))), np.zeros(len(kept)), r.normal(0, 0.02, (len(kept), FACTORS))
-    gw, gv, gb = np.full(len(kept), STEP0), np.full(v.shape, STEP0), STEP0
-    for _ in range(EPOCHS):
-        order = r.permutation(n)
-        for lo in range(0, n, BATCH):
-            b = order[lo: lo + BATCH]
-            lens = start[b + 1] - start[b]
-            own = np.repeat(np.arange(len(b)), lens)
-            at = idx[np.repeat(start[b], lens) + np.arange(len(own)) - np.repeat(np.cumsum(lens) - lens, lens)]
-            s = np.zeros((len(b), FACTORS))
-            np.add.at(s, own, v[at])
-            z = bias + np.bincount(own, w[at], len(b)) + 0.5 * ((s ** 2).sum(1) - np.bincount(own, (v[at] ** 2).sum(1), len(b)))
-            g = (1 / (1 + np.exp(-np.clip(z, -35, 35))) - labels[b]) * np.where(labels[b] > 0, TOXIC_WEIGHT, 1) / len(b)
-            dw, dv = np.zeros_like(w), np.zeros_like(v)
-            np.add.at(dw, at, g[own])
-            np.add.at(dv, at, g[own, None] * (s[own] - v[at]))
-            t = np.unique(at)
-            dw, dv = dw[t] + L2 * w[t], dv[t] + L2 * v[t]
-            gw[t] += dw ** 2
-            gv[t] += dv ** 2
-            w[t] -= RATE * dw / np.sqrt(gw[t])
-            v[t] -= 0.2 * RATE * dv / np.sqrt(gv[t])
+    ids, batches = batches_of(docs, labels, r.permutation(n))
+    bias, w, gb, gw = float(np.log(n1 / (n - n1))), np.zeros(len(ids)), 1.0, np.ones(len(ids))
+    v, gv = r.normal(0, START, (len(ids), FACTORS)).astype(np.float32), np.ones((len(ids), FACTORS), np.float32)
+    l1, factor_l1 = L1 / np.sqrt(n), FACTOR_L1 * np.sqrt(np.mean([len(d) for d in docs]) / n)
+    passes, step = -(-STEPS // len(batches)), 0
+    for p in range(2 * passes):
+        factors = p >= passes
+        for i in r.permutation(len(batches)):
+            batch, terms, step = batches[i], batches[i][4], step + 1
+            z, s = margins(batch, bias, w, v if factors else None)
+            g = loss_slope(z, batch[0])
+            dw, dv = slopes(batch, g, s, v if factors else None)
+            dw += L2 * w[terms]
+            gw[terms] += dw ** 2
+            w[terms] -= RATE * dw / np.sqrt(gw[terms])
             gb += g.sum() ** 2
             bias -= 0.2 * RATE * g.sum() / np.sqrt(gb)
-    return Machine(kept, bias, w, v)
+            if factors:
+                dv += L2 * v[terms]
+                gv[terms] += dv ** 2
+                v[terms] -= FACTOR_RATE * dv / np.sqrt(gv[terms])
+            if step % SHRINK == 0:
+                w = shrunk(w, SHRINK * RATE * l1 / np.sqrt(gw))
+                if factors:
+                    v = shrunk(v, SHRINK * FACTOR_RATE * factor_l1 / np.sqrt(gv))
+    w, v = shrunk(w, SHRINK * RATE * l1 / np.sqrt(gw)), shrunk(v, SHRINK * FACTOR_RATE * factor_l1 / np.sqrt(gv))
+    kept = (w != 0) | (v != 0).any(1)
+    return Machine(ids[kept], bias, w[kept], v[kept].astype(float))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -133,28 +185,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Machine:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            ids = [hashed(t).tolist() for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "y", "ids"])
-
-    rows_ = common.stored(sample.select(F.col("doc_id").cast("long"), "y", common.utf8(F.col("text")).alias("t"))
-                          .mapInArrow(run, "doc_id long, y long, ids array<long>").dropDuplicates(["doc_id", "ids"]), "toxicity-sample")
-    terms = associated(rows_)
-    own = rows_.select("doc_id", "y", F.array_intersect("ids", common.constant(terms, "bigint")).alias("ids"))
-    got = own.orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(rows).collect()
-    return fit([np.array(r["ids"], np.uint32) for r in got], np.array([r["y"] > 0 for r in got], dtype=float))
-
-
-def associated(rows: DataFrame) -> list[int]:
-    """The terms of ``rows`` (y, ids) most associated with y by chi-square, at most ``MAX_TERMS``."""
-    total = rows.agg(F.count("*").alias("n"), F.sum("y").alias("n1")).first()
-    n, n1 = total["n"], total["n1"] or 0
-    if n1 in (0, n):
-        return []
-    t = rows.select("y", F.explode("ids").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("y").alias("df1"))
-    expected = F.col("df") * (n1 / n)
-    chi = (F.col("df1") - expected) ** 2 / (expected * (1 - n1 / n) * (1 - F.col("df") / n))
-    t = t.filter((F.col("df") >= MIN_DOCS) & (F.col("df") < n)).withColumn("chi", chi).filter("chi > 0")
-    return sorted(r["term"] for r in t.orderBy(F.desc("chi"), "term").limit(MAX_TERMS).select("term").collect())
+            ids = [hashed(t).tobytes() for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.binary())], ["doc_id", "y", "ids"])
+
+    sets = sample.select(F.col("doc_id").cast("long"), "y", common.utf8(F.col("text")).alias("t")) \
+        .mapInArrow(run, "doc_id long, y long, ids binary").dropDuplicates(["doc_id", "ids"])
+    got = sets.orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(rows).select("y", "ids").toArrow()
+    return fit([np.frombuffer(t, np.uint32) for t in got.column("ids").to_pylist()], np.array(got.column("y").to_pylist(), dtype=float))
 
 
 def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:

@@ -239,6 +239,49 @@ def test_machine_learns_a_pair_that_single_terms_miss():
     assert right() < 0.85
 
 
+def test_machine_scores_and_slopes_by_brute_force():
+    r = np.random.default_rng(5)
+    docs = [np.unique(r.integers(0, 9, r.integers(0, 7))).astype(np.uint32) for _ in range(12)] + [np.zeros(0, np.uint32)]
+    y = (r.random(len(docs)) < 0.4).astype(float)
+    ids, (batch,) = toxicity.batches_of(docs, y, np.arange(len(docs)))
+    w, v, bias = r.normal(0, 1, len(ids)), r.normal(0, 1, (len(ids), 3)), 0.3
+    sets = [[int(np.searchsorted(ids, t)) for t in d] for d in docs]
+
+    def value(t, w, v):
+        return bias + sum(w[i] for i in t) + sum(v[i] @ v[j] for a, i in enumerate(t) for j in t[a + 1:])
+
+    def loss(w, v):
+        cost = [np.log1p(np.exp(-z)) * toxicity.TOXIC_WEIGHT if c else np.log1p(np.exp(z)) for z, c in zip((value(t, w, v) for t in sets), y)]
+        return sum(cost) / len(sets)
+
+    z, s = toxicity.margins(batch, bias, w, v)
+    assert np.allclose(z, [value(t, w, v) for t in sets])
+    assert np.allclose(toxicity.margins(batch, bias, w, None)[0], [value(t, w, 0 * v) for t in sets])
+    dw, dv = toxicity.slopes(batch, toxicity.loss_slope(z, y), s, v)
+    for i, term in enumerate(batch[4]):
+        step = np.zeros(len(ids))
+        step[term] = 1e-6
+        assert abs(dw[i] - (loss(w + step, v) - loss(w - step, v)) / 2e-6) < 1e-6
+        for k in range(3):
+            more = np.outer(step, np.eye(3)[k])
+            assert abs(dv[i, k] - (loss(w, v + more) - loss(w, v - more)) / 2e-6) < 1e-6
+
+
+def test_scorer_by_brute_force():
+    text = b"An insult, to the GROUP! insult " + "Ünknown wörd".encode()
+    ids = toxicity.hashed(text)[::2]
+    r = np.random.default_rng(2)
+    m = toxicity.Machine(ids, -0.2, r.normal(0, 1, len(ids)), r.normal(0, 0.3, (len(ids), 4)))
+    z = m.bias + m.w.sum() + sum(m.v[i] @ m.v[j] for i in range(len(ids)) for j in range(i))
+    assert abs(m.scorer()(text) - 1 / (1 + np.exp(-z))) < 1e-12 and abs(m.scorer()(b"") - 1 / (1 + np.exp(-m.bias))) < 1e-12
+
+
+def test_every_term_of_the_fit_has_a_bucket():
+    docs = [toxicity.hashed(f"only{i} shared".encode()) for i in range(50)]
+    ids, _ = toxicity.batches_of(docs, np.zeros(50), np.arange(50))
+    assert set(ids.tolist()) == {h for d in docs for h in d.tolist()} and ids.max() < toxicity.BUCKETS
+
+
 def test_toxicity_on_awkward_rows(spark):
     d = H.docs(spark, extra=True)
     labels = spark.createDataFrame([(i, 1, int(i in (2, 11))) for i in range(1, 16)] + [(None, 1, 1), (3, 0, None)], LABELS)
