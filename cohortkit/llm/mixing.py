@@ -101,8 +101,9 @@ def plan(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE) -> Dat
     per.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     total = sum(r["w"] for r in per)
     goal = targets([r["w"] for r in per], [weights[i % len(weights)] for i in range(len(per))], share * total)
-    most = [MOST * -(-r["w"] // BLOCK_WORDS) for r in per]
-    seats = sainte_lague(goal, round(sum(goal) / BLOCK_WORDS), most)
+    blocks = [-(-r["w"] // BLOCK_WORDS) for r in per]
+    votes = [g * b * BLOCK_WORDS / r["w"] if r["w"] else 0.0 for g, b, r in zip(goal, blocks, per)]  # as if the last block were full
+    seats = sainte_lague(votes, round(sum(votes) / BLOCK_WORDS), [MOST * b for b in blocks])
     sources = spark.createDataFrame(
         [(i, r["source"], r["w"], goal[i], seats[i], max(1, -(-r["k"] // SHARD_ITEMS))) for i, r in enumerate(per)],
         "src int, name string, source_size long, target double, seats long, shards long")
