@@ -493,8 +493,20 @@ SELECT m.ENC_HN, m.REC_DATE, m.CODE, r.rt_first_date, r.rt_last_date
 FROM med_working m JOIN rt_summary r ON m.ENC_HN = r.ENC_HN
 WHERE m.drug_class = 'Memantine' AND m.REC_DATE BETWEEN r.rt_first_date AND r.rt_last_date""")
     out["file_dementia_index_labelled"] = out["dementia_index_labelled"]
+    number = "CAST(CAST(ENC_HN AS BIGINT) AS VARCHAR)"
+    ids = f"""SELECT source, raw_id, {number.replace('ENC_HN', 'raw_id')} AS number, count(*) AS n_rows FROM (
+  SELECT 'diagnosis' AS source, CASE WHEN CAST(ENC_HN AS BIGINT) % 10 = 0 AND D035KEY = {_q(D.DX_CODE_DEFAULT)} THEN {number} ELSE ENC_HN END AS raw_id FROM dx_src
+  UNION ALL SELECT layout, {number} FROM med_raw
+  UNION ALL SELECT 'operation', printf('%010d', CAST(ENC_HN AS BIGINT)) FROM operation
+  UNION ALL SELECT 'surgery', printf('%010d', CAST(ENC_HN AS BIGINT)) FROM surgery
+  UNION ALL SELECT 'demographic', {number} FROM demo) WHERE raw_id IS NOT NULL GROUP BY source, raw_id"""
+    out["id_profile"] = w(f"""SELECT source, CASE WHEN raw_id = number THEN 'digits' ELSE 'leading zeros' END AS kind, length(raw_id) AS width,
+  count(*) AS n_ids, CAST(sum(n_rows) AS BIGINT) AS n_rows FROM ({ids}) GROUP BY ALL""")
+    out["id_conflicts"] = w(f"""SELECT * FROM (SELECT source, raw_id, number, count(*) OVER (PARTITION BY source, number) AS n_forms, n_rows
+  FROM ({ids})) WHERE n_forms > 1""")
     for name, of in (("published_dx_summary", "dx_summary"), ("published_age_issues", "age_exceptions"),
                      ("published_dx_working", "dx_working"), ("stored_exact_base", "exact_criteria_base"),
-                     ("mapped_dx_summary", "dx_summary"), ("mapped_med_working", "med_working")):
+                     ("mapped_dx_summary", "dx_summary"), ("mapped_med_working", "med_working"),
+                     ("stored_demographics", "demographics_dedup"), ("crosswalk_exact_base", "exact_criteria_base")):
         out[name] = out[of]
     return out

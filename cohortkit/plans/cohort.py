@@ -18,12 +18,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.operators import criteria, diagnosis, index, medication, radiotherapy, reports
+from cohortkit.operators import criteria, diagnosis, index, medication, prefilter, radiotherapy, reports
 from cohortkit.operators.standardize import (
-    medication_union, procedure_union, standardized_medication, standardized_procedure,
+    medication_union, patient_id, procedure_union, standardized_medication, standardized_procedure,
 )
 from cohortkit.schemas import StudyWindow
 from cohortkit.sources.codemaps import CodeMaps
+from cohortkit.sources.crosswalk import with_crosswalk
 
 
 @dataclass
@@ -35,6 +36,8 @@ class CohortPlan:
     # radiotherapy course for the memantine exclusion: ICD-9 procedure codes (method 1, as
     # published), institution billing codes on the order/medication events (method 2), or both
     rt_method: str = "icd9"
+    # raw_id -> ENC_HN (``sources.crosswalk``), applied to the filtered events and the demographic rows; a stored table
+    crosswalk: DataFrame | None = None
 
     # -- diagnosis arm -------------------------------------------------------------------
     @cached_property
@@ -43,8 +46,9 @@ class CohortPlan:
 
     @cached_property
     def dx_events(self) -> DataFrame:
-        return diagnosis.dx_events_from_layouts(self.spark, self.sources.diagnosis_layouts().values(),
-                                                self.maps, self.window)
+        events = diagnosis.dx_events_from_layouts(self.spark, self.sources.diagnosis_layouts().values(),
+                                                  self.maps, self.window)
+        return with_crosswalk(events, self.crosswalk)
 
     @cached_property
     def dx_working(self) -> DataFrame:
@@ -67,8 +71,9 @@ class CohortPlan:
 
     @cached_property
     def med_working(self) -> DataFrame:
-        return medication.med_working_from_layouts(self.spark, self.sources.medication_layouts().values(),
-                                                   self.maps, self.window)
+        working = medication.med_working_from_layouts(self.spark, self.sources.medication_layouts().values(),
+                                                      self.maps, self.window)
+        return with_crosswalk(working, self.crosswalk)
 
     @cached_property
     def med_summary(self) -> DataFrame:
@@ -89,6 +94,7 @@ class CohortPlan:
             raise ValueError(f"rt_method must be icd9, billing or both, not {self.rt_method!r}")
         icd9 = radiotherapy.rt_working_from_layouts(self.spark, self.sources.procedure_layouts().values(),
                                                     self.maps, self.window)
+        icd9 = with_crosswalk(icd9, self.crosswalk)
         if self.rt_method == "icd9":
             return icd9
         billing = self.rt_billing_working.select(
@@ -101,8 +107,9 @@ class CohortPlan:
 
     @cached_property
     def rt_billing_working(self) -> DataFrame:
-        return radiotherapy.rt_billing_from_layouts(self.spark, self.sources.medication_layouts().values(),
-                                                    self.maps, self.window)
+        billing = radiotherapy.rt_billing_from_layouts(self.spark, self.sources.medication_layouts().values(),
+                                                       self.maps, self.window)
+        return with_crosswalk(billing, self.crosswalk)
 
     @cached_property
     def rt_billing_summary(self) -> DataFrame:
@@ -125,9 +132,19 @@ class CohortPlan:
         return criteria.final_cohort(self.exact_base)
 
     # -- index, age, labels --------------------------------------------------------------
+    @cached_property
+    def demographic_rows(self) -> DataFrame:
+        rows = self.sources.demographic()
+        return rows if self.crosswalk is None else with_crosswalk(rows.withColumn("ENC_HN", patient_id(rows)), self.crosswalk)
+
     @cached_property
     def demographics(self) -> DataFrame:
-        return index.demographics_dedup(self.sources.demographic(), self.final_cohort)
+        return index.demographics_dedup(self.demographic_rows, self.final_cohort)
+
+    def cohort_birth_dates(self, cohort: DataFrame) -> DataFrame:
+        """``demographics`` for a stored cohort: a Bloom filter of its ids keeps most other patients out of the shuffle."""
+        rows = self.demographic_rows
+        return index.demographics_dedup(prefilter.possible_rows(rows.withColumn("ENC_HN", patient_id(rows)), cohort), cohort)
 
     @cached_property
     def indexed(self) -> DataFrame:
@@ -136,7 +153,7 @@ class CohortPlan:
         Birth dates are deduplicated over the demographic table and joined once, so the
         cohort sub-plan is evaluated once (a semi-join on the cohort would evaluate it twice).
         """
-        return index.index_with_age(self.final_cohort, index.birth_dates(self.sources.demographic()))
+        return index.index_with_age(self.final_cohort, index.birth_dates(self.demographic_rows))
 
     @cached_property
     def dementia_index(self) -> DataFrame:
@@ -197,7 +214,7 @@ class CohortPlan:
         save("inferred_unspecified", criteria.inferred_unspecified(base))
         fc = save("final_cohort_exact_step", criteria.final_cohort(base))
         save("exact_criteria_counts", criteria.exact_criteria_counts(base))
-        dob = index.demographics_dedup(self.sources.demographic(), fc)
+        dob = self.cohort_birth_dates(fc)
         indexed = save("index_with_age", index.index_with_age(fc, dob))
         save("potential_age_issues", index.age_exceptions(indexed))
         di = save("dementia_index", index.dementia_index(indexed))

@@ -21,8 +21,9 @@ from cohortkit.operators import criteria, diagnosis, index, reports
 from cohortkit.operators.standardize import resolve_medication_columns
 from cohortkit.plans.cohort import CohortPlan
 from cohortkit.schemas import StudyWindow
+from cohortkit.sources import crosswalk
 from cohortkit.sources.codemaps import CodeMaps
-from cohortkit.sources.derived import DERIVED_WINDOW, MED_CODE_DEFAULT, DerivedSources
+from cohortkit.sources.derived import DERIVED_WINDOW, MED_CODE_DEFAULT, DerivedSources, MixedWidths
 
 DERIVED_STUDY_WINDOW = StudyWindow(*DERIVED_WINDOW)
 
@@ -268,6 +269,30 @@ def q_exact_criteria_base_joined(spark, sf_dir):
     return criteria.exact_criteria_base(plan.dx_summary, plan.med_summary, plan.rt_summary)
 
 
+def q_stored_demographics(spark, sf_dir):
+    """Birth dates of a stored cohort behind the Bloom filter of its ids. Equals ``demographics_dedup``."""
+    plan = derived_plan(spark, sf_dir)
+    return _published(spark, {"final_cohort": lambda t: plan.final_cohort,
+                              "birth_dates": lambda t: plan.cohort_birth_dates(t["final_cohort"])}, "birth_dates")
+
+
+def q_id_profile(spark, sf_dir):
+    """Widths and kinds of the patient ids of each layout whose widths differ."""
+    return crosswalk.id_profile(crosswalk.id_forms(MixedWidths(derived_sources(spark, sf_dir), True).id_layouts()))
+
+
+def q_id_conflicts(spark, sf_dir):
+    """The numbers that one layout writes both with and without leading zeros."""
+    return crosswalk.id_conflicts(crosswalk.id_forms(MixedWidths(derived_sources(spark, sf_dir), True).id_layouts()))
+
+
+def q_crosswalk_exact_base(spark, sf_dir):
+    """Sources of three id widths joined by their stored crosswalk. Equals ``exact_criteria_base``."""
+    sources = MixedWidths(derived_sources(spark, sf_dir))
+    table = _published(spark, {"id_crosswalk": lambda t: crosswalk.id_crosswalk(crosswalk.id_forms(sources.id_layouts()))}, "id_crosswalk")
+    return CohortPlan(spark, sources, CodeMaps.default(), DERIVED_STUDY_WINDOW, crosswalk=table).exact_base
+
+
 def q_refresh_exact_base(spark, sf_dir):
     """Streaming refresh: the derived sources are written as extract files, merged per patient by
     a streaming aggregation, and the exact criteria applied to the snapshot. Equals
@@ -342,4 +367,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mapped_med_working": _by_stored_maps("med_working"),
     "exact_criteria_base_joined": q_exact_criteria_base_joined,
     "refresh_exact_base": q_refresh_exact_base,
+    "stored_demographics": q_stored_demographics,
+    "id_profile": q_id_profile,
+    "id_conflicts": q_id_conflicts,
+    "crosswalk_exact_base": q_crosswalk_exact_base,
 }

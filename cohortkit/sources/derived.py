@@ -216,3 +216,29 @@ class DerivedSources:
         nulls = c.filter((key % 50) == 0).select(hn.alias("ENC_HN"), F.lit(None).cast("double").alias("D020AT3"))
         later = c.filter((key % 50) == 1).select(hn.alias("ENC_HN"), as_double(F.date_add(birth, 365)).alias("D020AT3"))
         return base.unionByName(nulls).unionByName(later)
+
+
+class MixedWidths:
+    """Derived sources whose ids have other widths by source: diagnoses seven digits, medications and demographics numbers,
+    procedures ten digits. ``twice``: ids that are multiples of ten stand without zeros on diagnosis rows of the default code."""
+
+    def __init__(self, sources: DerivedSources, twice: bool = False):
+        self.sources, self.twice = sources, twice
+
+    def diagnosis_layouts(self) -> dict[str, DataFrame]:
+        plain = F.col("ENC_HN").cast("bigint")
+        short = F.when((plain % 10 == 0) & (F.col("D035KEY") == DX_CODE_DEFAULT), plain.cast("string")).otherwise(F.col("ENC_HN"))
+        return {n: d.withColumn("ENC_HN", short) if self.twice else d for n, d in self.sources.diagnosis_layouts().items()}
+
+    def medication_layouts(self) -> dict[str, DataFrame]:
+        return {n: d.withColumn("ENC_HN", F.col("ENC_HN").cast("bigint")) for n, d in self.sources.medication_layouts().items()}
+
+    def procedure_layouts(self) -> dict[str, DataFrame]:
+        return {n: d.withColumn("ENC_HN", F.lpad("ENC_HN", F.greatest(F.lit(10), F.length("ENC_HN")), F.lit("0"))) for n, d in self.sources.procedure_layouts().items()}
+
+    def demographic(self) -> DataFrame:
+        d = self.sources.demographic()
+        return d.withColumn("ENC_HN", F.col("ENC_HN").cast("bigint"))
+
+    def id_layouts(self) -> dict[str, DataFrame]:
+        return {**self.diagnosis_layouts(), **self.medication_layouts(), **self.procedure_layouts(), "demographic": self.demographic()}
