@@ -5,9 +5,9 @@ insult next to a group's name, which additive weights miss. Terms are the words
 A-Z and blanking ASCII punctuation, and their beginnings of ``STEMS`` bytes (marked as such), hashed by CRC-32.
 
 The fit uses at most ``FIT_ROWS`` labelled rows, the first by a hash of doc_id (a documented bound), and all their terms,
-each in one of ``BUCKETS`` buckets; what reaches the driver is the rows' distinct buckets, four bytes each. No term is
-chosen beforehand: an L1 penalty draws weights that few rows support to 0. The weights are fitted first, the
-factors then on what the weights leave. The penalty of a weight grows with the root of the rows, that of a factor with
+each in one of ``BUCKETS`` buckets. One task reads the rows' distinct buckets, four bytes each, and fits; what reaches the
+driver is the fitted machine. No term is chosen beforehand: an L1 penalty draws weights that few rows support to 0. The
+weights are fitted first, the factors then on what the weights leave. The penalty of a weight grows with the root of the rows, that of a factor with
 the root of their terms, as the noise of their sums does. Scoring reads every text in Arrow batches. Defined results: null or empty text gets the
 score of the bias alone, very long texts are scored whole; rows that repeat are scored each; of labels that repeat a doc_id the
 largest counts; without both labels in the fit every score is the observed rate (0 without rows); terms that share a bucket
@@ -38,6 +38,7 @@ L2 = 1e-4
 TOXIC_WEIGHT = 4.0  # a missed toxic row costs as much as so many clean rows that are taken for toxic
 STEMS = (4, 5, 6)
 MEMO = 200_000
+SLICE = 1 << 16
 CLEAN = bytes.maketrans((string.ascii_uppercase + string.punctuation).encode(), (string.ascii_lowercase + " " * len(string.punctuation)).encode())
 
 
@@ -61,6 +62,13 @@ class Machine:
     def __init__(self, ids: np.ndarray, bias: float, w: np.ndarray, v: np.ndarray):
         self.ids, self.bias, self.w, self.v = ids, bias, w, v
 
+    def row(self) -> dict:
+        return {"ids": self.ids.tobytes(), "bias": float(self.bias), "w": self.w.tobytes(), "v": self.v.tobytes()}
+
+    @classmethod
+    def of(cls, row: dict) -> Machine:
+        return cls(np.frombuffer(row["ids"], np.uint32), row["bias"], np.frombuffer(row["w"]), np.frombuffer(row["v"]).reshape(-1, FACTORS))
+
     def scorer(self) -> Callable[[bytes], float]:
         at = {int(x): i for i, x in enumerate(self.ids)}
         vv = (self.v ** 2).sum(1)
@@ -130,8 +138,13 @@ def slopes(batch: tuple[np.ndarray, ...], g: np.ndarray, s: np.ndarray | None, v
     return dw, None if v is None else np.add.reduceat((g[:, None] * s)[rows], first) - dw[:, None] * v[terms]
 
 
-def shrunk(x: np.ndarray, by: np.ndarray) -> np.ndarray:
-    return np.sign(x) * np.maximum(np.abs(x) - by, 0)
+def shrunk(x: np.ndarray, by: np.float64, g: np.ndarray) -> np.ndarray:
+    """``x`` drawn to 0 by ``by / sqrt(g)``, in place once it has doubles, ``SLICE`` rows at a time: the arrays on the way are small."""
+    x = x.astype(float, copy=False)
+    for lo in range(0, len(x), SLICE):
+        a = x[lo: lo + SLICE]
+        a[:] = np.sign(a) * np.maximum(np.abs(a) - by / np.sqrt(g[lo: lo + SLICE]), 0)
+    return x
 
 
 def fit(docs: list[np.ndarray], labels: np.ndarray) -> Machine:
@@ -163,14 +176,24 @@ def fit(docs: list[np.ndarray], labels: np.ndarray) -> Machine:
                 gv[terms] += dv ** 2
                 v[terms] -= FACTOR_RATE * dv / np.sqrt(gv[terms])
             if step % SHRINK == 0:
-                w = shrunk(w, SHRINK * RATE * l1 / np.sqrt(gw))
+                w = shrunk(w, SHRINK * RATE * l1, gw)
                 if factors:
-                    v = shrunk(v, SHRINK * FACTOR_RATE * factor_l1 / np.sqrt(gv))
-    w, v = shrunk(w, SHRINK * RATE * l1 / np.sqrt(gw)), shrunk(v, SHRINK * FACTOR_RATE * factor_l1 / np.sqrt(gv))
+                    v = shrunk(v, SHRINK * FACTOR_RATE * factor_l1, gv)
+    w, v = shrunk(w, SHRINK * RATE * l1, gw), shrunk(v, SHRINK * FACTOR_RATE * factor_l1, gv)
     kept = (w != 0) | (v != 0).any(1)
     return Machine(ids[kept], bias, w[kept], v[kept].astype(float))
 
 
+def fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row, the machine fitted on the rows (y, ids) of a single task: the sets stay away from the driver."""
+    docs, labels = [], []
+    for b in batches:
+        labels += b.column(0).to_pylist()
+        docs += [np.frombuffer(t, np.uint32) for t in b.column(1).to_pylist()]
+    if docs:
+        yield pa.RecordBatch.from_pylist([fit(docs, np.array(labels, dtype=float)).row()])
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32(doc_id as text) mod 5 is 0; false for a null doc_id, which no label can name."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -190,8 +213,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Machine:
 
     sets = sample.select(F.col("doc_id").cast("long"), "y", common.utf8(F.col("text")).alias("t")) \
         .mapInArrow(run, "doc_id long, y long, ids binary").dropDuplicates(["doc_id", "ids"])
-    got = sets.orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(rows).select("y", "ids").toArrow()
-    return fit([np.frombuffer(t, np.uint32) for t in got.column("ids").to_pylist()], np.array(got.column("y").to_pylist(), dtype=float))
+    fitted = sets.orderBy(F.xxhash64("doc_id"), "doc_id", "ids").limit(rows).select("y", "ids") \
+        .mapInArrow(fit_task, "ids binary, bias double, w binary, v binary").toArrow().to_pylist()
+    return Machine.of(fitted[0]) if fitted else fit([], np.zeros(0))
 
 
 def with_score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:

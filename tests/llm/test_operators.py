@@ -9,6 +9,8 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import TaskContext
+from pyspark.sql import functions as F
 
 from cohortkit.llm import common, exact_dedup, license_scan, mixing, ngram_lm, packing, quality_rules, secret_scan, simhash, toxicity, url_filters
 from cohortkit.llm.queries import ORACLE_SQL, QUERIES
@@ -293,6 +295,31 @@ def test_toxicity_on_awkward_rows(spark):
     assert toxicity.score(d.limit(0), labels).count() == 0 and {r["predicted"] for r in rows(toxicity.score(d, labels.limit(0)))} == {0}
 
 
+def test_toxicity_is_fitted_in_a_task(spark, monkeypatch):
+    texts = {i: " ".join([f"n{i % 7}", f"m{i % 5}"] + ["insult"] * (i % 3 == 0)) for i in range(60)}
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in texts], LABELS)
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    order = [r[0] for r in spark.createDataFrame([(i,) for i in texts], "doc_id long").orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    fit = [i for i in order if zlib.crc32(str(i).encode()) % 5][:40]
+    want = toxicity.fit([toxicity.hashed(texts[i].encode()) for i in fit], np.array([float(i % 3 == 0) for i in fit]))
+
+    def in_task(docs, y, fit=toxicity.fit):
+        assert TaskContext.get(), "the driver holds the sets of all rows"
+        return fit(docs, y)
+
+    monkeypatch.setattr(toxicity, "fit", in_task)
+    got = toxicity.train(d, labels, 40)
+    assert got.bias == want.bias and all(np.array_equal(getattr(got, k), getattr(want, k)) for k in ("ids", "w", "v")) and len(want.ids)
+
+
+def test_shrinking_by_slices(monkeypatch):
+    r = np.random.default_rng(3)
+    x, g = r.normal(0, 1, (50, 3)).astype(np.float32), r.random((50, 3)).astype(np.float32) + 1
+    want = np.sign(x) * np.maximum(np.abs(x) - np.float64(0.3) / np.sqrt(g), 0)
+    monkeypatch.setattr(toxicity, "SLICE", 7)
+    assert np.array_equal(toxicity.shrunk(x, np.float64(0.3), g), want)
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = SF_SMALL.replace("0.001", "0.1")
     got = {r["doc_id"]: r for r in rows(QUERIES["op3_toxicity"](spark, sf))}
