@@ -11,7 +11,7 @@ from cohortkit.operators.standardize import resolve_medication_columns
 from cohortkit.plans.cohort import CohortPlan
 from cohortkit.sources.codemaps import CodeMaps
 from cohortkit.sources.files import FileSources, list_files, profile_sources
-from tests.conftest import ROOT
+from tests.conftest import ROOT, SF_SMALL
 
 
 def _pq(path, cols: dict):
@@ -457,3 +457,29 @@ def test_ids_of_eight_digits_stay_apart(spark, tmp_dir):
     assert ids == {f"{k:07d}" for k in keys if k % 50 != 2 or k % 50 in (0, 1)}
     frame = spark.createDataFrame([(k,) for k in keys], "k long").select(padded_id("k").alias("id"))
     assert [r["id"] for r in frame.collect()] == [f"{k:07d}" for k in keys]
+
+
+@pytest.mark.parametrize("name", [
+    "file_dx_summary",
+    "refresh_exact_base",
+])
+def test_lines_are_joined_once_for_all_jobs(spark, monkeypatch, name):
+    from cohortkit.plans import queries
+    from cohortkit.sources import derived
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(self, lines=derived.DerivedSources._lines):
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        df = lines(self)
+        return df.mapInArrow(run, df.schema)
+
+    monkeypatch.setattr(derived.DerivedSources, "_lines", counted)
+    folder = f"{SF_SMALL}/./{name}/.."  # a path of its own: definitions are kept for each
+    monkeypatch.setattr(derived.DerivedSources, "_table", lambda self, t: self.spark.read.parquet(f"{SF_SMALL}/{t}.parquet"))
+    monkeypatch.setattr("cohortkit.sources.files._stamp", lambda spark, sf_dir: folder)
+    assert queries.QUERIES[name](spark, folder).count()
+    assert seen.value == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
