@@ -463,6 +463,7 @@ def test_ids_of_eight_digits_stay_apart(spark, tmp_dir):
     "file_dx_summary",
     "refresh_exact_base",
     "stored_exact_base",
+    "crosswalk_exact_base",
 ])
 def test_lines_are_joined_once_for_all_jobs(spark, monkeypatch, name):
     from cohortkit.plans import queries
